@@ -1 +1,8 @@
 """riskloom: risk scoring, model training and pipeline audit as PySpark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

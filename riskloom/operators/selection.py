@@ -105,13 +105,19 @@ def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.na.fill(fill) if fill else df
 
 
-def head_split(df: DataFrame, key: str, share: float = 0.7, out: str = "split") -> DataFrame:
-    """First ``share`` of the rows by a unique key are 'train', the others 'val'."""
-    n = df.agg(F.count(key)).first()[0]
+def head_split(
+    df: DataFrame, key: str, share: float = 0.7, out: str = "split", keys: DataFrame | None = None
+) -> DataFrame:
+    """First ``share`` of the rows by a unique key are 'train', the others 'val'.
+
+    ``keys`` may name a cheaper frame with the same keys, such as the table the features were derived from.
+    """
+    source = (df if keys is None else keys).select(key)
+    n = source.agg(F.count(key)).first()[0]
     cut = int(n * share)
     if cut == 0:
         return df.withColumn(out, F.lit("val"))
-    bound = order_values(df.select(key), [(key, cut - 1)], {key: n})[0]
+    bound = order_values(source, [(key, cut - 1)], {key: n})[0]
     return df.withColumn(out, F.when(F.col(key) <= F.lit(bound), "train").otherwise("val"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-TOPICS = ["scalar", "metrics"]
+TOPICS = ["scalar", "metrics", "history", "decisions", "models", "neighbours"]
 
 
 def load_all() -> None:
