@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,9 @@ EMBEDDING_DIM = 32
 BROADCAST_QUERIES = 4096
 BLOCK_ROWS = 8192
 
+# Number of lists of the approximate index.
+LISTS = 100
+
 # Distances closer than this many digits count as equal and are ordered by id.
 TIE_DIGITS = 9
 
@@ -110,25 +113,43 @@ def knn_search(
     return _rank(_block_join(queries, corpus, n, corpus.count(), k, exclude_self, block_rows, schema), k, max_distance)
 
 
-def _block_join(queries, corpus, n, m, k, exclude_self, block_rows, schema) -> DataFrame:
-    q_blocks, c_blocks = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
+def _match(k: int, exclude_self: bool):
+    """Task function of one block pair: the k best corpus rows per query of the block."""
 
-    def block(count: int):
-        return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        if len(a) and len(b):
+            c, c_ids = _unit_matrix(b["c_embedding"]), b["c_id"].to_numpy()
+            q, q_ids = _unit_matrix(a["q_embedding"]), a["q_id"].to_numpy()
+            parts = [
+                _candidates(q[s:s + 1024], q_ids[s:s + 1024], c, c_ids, k, exclude_self) for s in range(0, len(q), 1024)
+            ]
+        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "id": [], "distance": []})
 
-    left = queries.withColumn("qb", block(q_blocks)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-    right = corpus.withColumn("cb", block(c_blocks)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    return match
+
+
+def _sides(queries: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (
+        queries.select(F.col("id").alias("q_id"), F.col("embedding").alias("q_embedding")),
+        corpus.select(F.col("id").alias("c_id"), F.col("embedding").alias("c_embedding")),
+    )
 
-    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": a["id"][:0], "id": b["id"][:0], "distance": np.zeros(0)})
-        c, c_ids, parts = _unit_matrix(b["embedding"]), b["id"].to_numpy(), []
-        q, q_ids = _unit_matrix(a["embedding"]), a["id"].to_numpy()
-        for s in range(0, len(q), 1024):
-            parts.append(_candidates(q[s:s + 1024], q_ids[s:s + 1024], c, c_ids, k, exclude_self))
-        return pd.concat(parts)
 
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(match, schema)
+def _block_join(queries, corpus, n, m, k, exclude_self, block_rows, schema) -> DataFrame:
+    q_blocks, c_blocks = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
+
+    def block(column: str, count: int):
+        return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
+
+    left, right = _sides(queries, corpus)
+    left = left.withColumn("qb", block("q_id", q_blocks)).withColumn(
+        "cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
+    )
+    right = right.withColumn("cb", block("c_id", c_blocks)).withColumn(
+        "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
+    )
+    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(_match(k, exclude_self), schema)
 
 
 def nearest_pairs(rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -178,20 +199,63 @@ def nearest_pairs(rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> Data
     return both.orderBy(F.round("distance", TIE_DIGITS), "id_a", "id_b").limit(n)
 
 
-def lsh_search(
-    queries: DataFrame, corpus: DataFrame, k: int = 5, radius: float = 0.8, bucket: float = 0.5, tables: int = 6, seed: int = 42
+def list_centres(corpus: DataFrame, lists: int = LISTS, sample_rows: int = 50_000, seed: int = 42) -> np.ndarray:
+    """Centres of the index lists: k-means on unit vectors of a seeded sample."""
+    vectors = corpus.select(array_to_vector(unit(F.col("embedding"))).alias("v"), F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))).alias("m"))
+    sample = vectors.orderBy("m").limit(sample_rows)
+    model = KMeans(k=lists, featuresCol="v", seed=seed, maxIter=10, distanceMeasure="cosine").fit(sample)
+    return np.array(model.clusterCenters())
+
+
+def ivf_search(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, centres: np.ndarray | None = None, probes: int = 4,
+    exclude_self: bool = False, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Approximate neighbours: unit vectors hashed by random projections; only rows that share a bucket are compared."""
-    def vectors(df: DataFrame) -> DataFrame:
-        return df.select("id", array_to_vector(unit(F.col("embedding"))).alias("v"))
-
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=seed)
-    c = vectors(corpus)
-    model = lsh.fit(c)
-    joined = model.approxSimilarityJoin(vectors(queries), c, radius, "euclid")
-    half = F.col("euclid") * F.col("euclid") / F.lit(2.0)  # squared chord of unit vectors = 2 * cosine distance
-    pairs = joined.select(F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias("id"), half.alias("distance"))
-    return _rank(pairs, k, None)
+    """Approximate neighbours: a query looks only into the ``probes`` lists whose centres are nearest.
+
+    Every corpus row lies in the list of its nearest centre. A list with many rows, or one that many queries look
+    into, is cut into blocks of about ``block_rows`` rows on either side; each pair of blocks is one task.
+    Probing all lists gives the exact result.
+    """
+    centres = list_centres(corpus) if centres is None else centres
+    centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
+    probes = min(probes, len(centres))
+
+    def nearest_lists(n: int):
+        @F.pandas_udf("array<int>")
+        def assign(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype=object)
+            d = np.nan_to_num(_unit_matrix(x)) @ centres.T
+            return pd.Series(list(np.argsort(-d, axis=1, kind="stable")[:, :n].astype(np.int32)))
+
+        return assign
+
+    left, right = _sides(queries, corpus)
+    left = left.withColumn("list", F.explode(nearest_lists(probes)("q_embedding")))
+    right = right.withColumn("list", F.get(nearest_lists(1)("c_embedding"), 0))
+
+    def blocks_of(df: DataFrame, out: str) -> DataFrame:
+        size = F.ceil(F.count("*") / F.lit(block_rows)).cast("int")
+        return df.groupBy("list").agg(size.alias(out))  # one row per list
+
+    sizes = blocks_of(left, "q_blocks").join(blocks_of(right, "c_blocks"), "list")
+    small = F.broadcast(sizes)
+
+    def own(column: str, blocks: str):
+        return F.pmod(F.xxhash64(column), F.col(blocks)).cast("int")
+
+    def copies(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    left = left.join(small, "list").withColumn("qb", own("q_id", "q_blocks")).withColumn("cb", copies("c_blocks"))
+    right = right.join(small, "list").withColumn("cb", own("c_id", "c_blocks")).withColumn("qb", copies("q_blocks"))
+    keys = ["list", "qb", "cb"]
+    id_type = dict(corpus.dtypes)["id"]
+    found = left.select(*keys, "q_id", "q_embedding").groupBy(*keys).cogroup(
+        right.select(*keys, "c_id", "c_embedding").groupBy(*keys)
+    ).applyInPandas(_match(k, exclude_self), f"query_id {id_type}, id {id_type}, distance double")
+    return _rank(found, k, None)
 
 
 def explain_verdict(queries: DataFrame, corpus: DataFrame, k: int = 5, exclude_self: bool = False, **options) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-TOPICS = ["scalar", "metrics", "history", "decisions", "models", "neighbours"]
+TOPICS = ["scalar", "metrics", "history", "decisions", "models", "neighbours", "logsync", "storage"]
 
 
 def load_all() -> None:

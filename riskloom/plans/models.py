@@ -127,10 +127,10 @@ PAIRS4 = list(combinations(X4, 2))
 
 
 @query("pair_moments", with_views("scaled", f""", {HEAD}
-SELECT split, a, b, {', '.join(f'round({c}, 7) AS {c}' for c in MOMENT_COLS)} FROM ({moments_sql('t', PAIRS4)})"""))
+SELECT split, a, b, {', '.join(f'round({c}, 8) AS {c}' for c in MOMENT_COLS)} FROM ({moments_sql('t', PAIRS4)})"""))
 def pair_moments(spark, sf):
     df = P.pair_moments(split_txn(spark, sf), X4, "y", "split")
-    return df.select("split", "a", "b", *[F.round(c, 7).alias(c) for c in MOMENT_COLS])
+    return df.select("split", "a", "b", *[F.round(c, 8).alias(c) for c in MOMENT_COLS])
 
 
 @query("pair_fit", with_views("scaled", f""", {HEAD}, mo AS ({moments_sql('t', PAIRS4)})
@@ -175,8 +175,8 @@ def health_model_score(spark, sf):
 
 
 BASIS = ", ".join(
-    f"SELECT txn_id, {form} AS form, list_transform([{', '.join('*'.join(['1.0::double', *['x1'] * p, *['x4'] * q]) for p, q in powers)}], "
-    "lambda v: round(v, 10)) AS basis FROM scaled UNION ALL" for form, powers in P.FORMS.items()
+    f"SELECT txn_id, {form} AS form, [{', '.join('*'.join(['1.0::double', *['x1'] * p, *['x4'] * q]) for p, q in powers)}] "
+    "AS basis FROM scaled UNION ALL" for form, powers in P.FORMS.items()
 ).replace("UNION ALL, ", "UNION ALL ").removesuffix(" UNION ALL")
 
 
@@ -184,7 +184,7 @@ BASIS = ", ".join(
 def poly_basis(spark, sf):
     rows = V.scaled_txn(spark, sf)
     cells = F.array(*[
-        F.struct(F.lit(f).alias("form"), F.transform(P.poly_basis(F.col("x1"), F.col("x4"), f), lambda v: F.round(v, 10)).alias("basis"))
+        F.struct(F.lit(f).alias("form"), P.poly_basis(F.col("x1"), F.col("x4"), f).alias("basis"))
         for f in P.FORMS
     ])
     return rows.select("txn_id", F.explode(cells).alias("c")).select("txn_id", "c.*")

@@ -73,10 +73,22 @@ def knn_topk(spark, sf):
     return near.groupBy("query_id").agg(lists.alias("nearest"))
 
 
-@query("knn_search_lsh")
-def knn_search_lsh(spark, sf):
+@query("knn_search_lists")
+def knn_search_lists(spark, sf):
+    """Approximate search in the nearest index lists."""
     rows = cases(spark, sf)
-    return K.lsh_search(rows, rows, 5).select("query_id", "id", "rank", r6("distance"))
+    centres = K.list_centres(rows, lists=16)
+    return K.ivf_search(rows, rows, 5, centres, probes=4).select("query_id", "id", "rank", r6("distance"))
+
+
+@query("knn_search_all_lists", with_views("emb", f"""
+SELECT query_id, id, rank::int AS rank, round(distance, 6) AS distance FROM ({ranked_sql('a.vec_id <> b.vec_id')}) WHERE rank <= 2"""))
+def knn_search_all_lists(spark, sf):
+    """Looking into every list gives the exact neighbours."""
+    rows = cases(spark, sf)
+    centres = K.list_centres(rows, lists=4)
+    near = K.ivf_search(rows, rows, 2, centres, probes=4, exclude_self=True, block_rows=100)
+    return near.select("query_id", "id", "rank", r6("distance"))
 
 
 @query("nearest_pairs_self", with_views("emb", f"""

@@ -82,12 +82,16 @@ def scored_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def infra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infra_rows(table(spark, sf_dir, "lineitem"))
+
+
+def infra_rows(lines: DataFrame) -> DataFrame:
     latency = F.lit(100.0) + F.col("l_extendedprice") / F.lit(56.0)
     auth = F.when(
         ~((F.col("l_linenumber") == 7) & (F.col("l_tax") == 0)),
         F.when(F.col("l_returnflag") == "A", 1.0).when(F.col("l_returnflag") == "R", 0.5).otherwise(0.0),
     )
-    df = table(spark, sf_dir, "lineitem").select(
+    df = lines.select(
         F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_suppkey").cast("string").alias("customer_id"),
         latency.alias("amazon_api_latency"), auth.alias("cs_auth_status"),
         (F.lit(2.0) * F.col("l_quantity")).alias("system_cpu_load"),
@@ -159,18 +163,20 @@ def synced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two events per order, as one system reports the order and the other one the payment."""
-    orders = table(spark, sf_dir, "orders")
+    return envelope_rows(table(spark, sf_dir, "orders"))
+
+
+def envelope_rows(orders: DataFrame) -> DataFrame:
+    """Two events per order: one system reports the order, the other one the payment."""
     order_id = F.concat(F.lit("305-"), F.col("o_orderkey").cast("string"))
     at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
 
-    def envelope(tag: str, system: str, payload: list[Column]) -> DataFrame:
+    def envelope(tag: str, system: str, payload: list[Column]) -> Column:
         meta = F.struct(
             F.concat(F.lit(f"{tag}-"), F.col("o_orderkey").cast("string")).alias("event_id"),
             F.lit(system).alias("source_system"), at.alias("ingestion_ts"), F.lit("2.1").alias("schema_version"),
         )
-        body = F.struct(meta.alias("metadata"), F.struct(order_id.alias("order_id"), *payload).alias("payload"))
-        return orders.select(order_id.alias("key"), F.to_json(body).alias("value"))
+        return F.to_json(F.struct(meta.alias("metadata"), F.struct(order_id.alias("order_id"), *payload).alias("payload")))
 
     shop = envelope("S", "SHOP", [
         F.col("o_orderstatus").alias("order_status"),
@@ -181,7 +187,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(F.col("o_orderkey") % 3, "ACCEPT", "REJECT", "REVIEW").alias("decision"),
         F.floor("o_totalprice").alias("amount"), (F.col("o_custkey") % 101).cast("int").alias("fraud_score"),
     ])
-    return shop.unionByName(pay)
+    return orders.select(order_id.alias("key"), F.explode(F.array(shop, pay)).alias("value"))
 
 
 # --- pipeline runs, task spans, lint issues -----------------------------------------------------------------
