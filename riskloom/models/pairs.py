@@ -138,7 +138,7 @@ def mse_of(row: dict[str, float], form: int, c: np.ndarray) -> float:
 
 
 def pair_fit(moments: DataFrame, split: str, forms: Sequence[int] = (2,), train: str = "train", val: str = "val") -> DataFrame:
-    """Coefficients, training and validation error per pair and form: (a, b, form, coeffs, train_mse, val_mse, rmse)."""
+    """Coefficients, training and validation error per pair and form: (a, b, form, coeffs, train_mse, val_mse, n_train, rmse)."""
     names = moment_names(forms)
     key_type = dict(moments.dtypes)["a"]
     row = F.struct(*names)
@@ -154,10 +154,10 @@ def pair_fit(moments: DataFrame, split: str, forms: Sequence[int] = (2,), train:
                 t, v = ({n: r[f"{side}_{n}"] for n in names} for side in "tv")
                 for form in fit_forms:
                     c = solve(*gram_of(t, form))
-                    out.append((r["a"], r["b"], form, c.tolist(), mse_of(t, form, c), mse_of(v, form, c)))
-            yield pd.DataFrame(out, columns=["a", "b", "form", "coeffs", "train_mse", "val_mse"])
+                    out.append((r["a"], r["b"], form, c.tolist(), mse_of(t, form, c), mse_of(v, form, c), int(t["s00"])))
+            yield pd.DataFrame(out, columns=["a", "b", "form", "coeffs", "train_mse", "val_mse", "n_train"])
 
-    schema = f"a {key_type}, b {key_type}, form int, coeffs array<double>, train_mse double, val_mse double"
+    schema = f"a {key_type}, b {key_type}, form int, coeffs array<double>, train_mse double, val_mse double, n_train bigint"
     return sides.mapInPandas(fit, schema).withColumn("rmse", F.sqrt("val_mse"))
 
 
@@ -173,8 +173,7 @@ def train_pair_model(df: DataFrame, features: Sequence[str], label: str, split:
     nodes = [Node(f"node_{r.a}_{r.b}", (r.a, r.b), list(r.coeffs)) for r in best]
     z = df.select(nodes[0].column().alias("z1"), nodes[1].column().alias("z2"), label, split)
     top = pair_fit(pair_moments(z, ["z1", "z2"], label, split), split).first()
-    n = df.agg(F.count_if(F.col(split) == "train")).first()[0]
-    return PairModel(nodes, Node("master", ("z1", "z2"), list(top.coeffs)), float(top.rmse), int(n))
+    return PairModel(nodes, Node("master", ("z1", "z2"), list(top.coeffs)), float(top.rmse), int(top.n_train))
 
 
 def poly_basis(a: Column, b: Column, form: int) -> Column:

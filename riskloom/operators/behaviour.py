@@ -13,7 +13,7 @@ def micros(ts: Column) -> Column:
 
 
 def trailing_count(
-    df: DataFrame, key: str, ts: str, seconds: int, out: str = "velocity_1h", slices: int = 240
+    df: DataFrame, key: str, ts: str, seconds: int, out: str = "velocity_1h", slices: int = 720
 ) -> DataFrame:
     """Rows of the same key in the ``seconds`` up to and including the row's own time.
 
@@ -27,22 +27,27 @@ def trailing_count(
     lag = -(-span // width)
     rows = df.withColumn("_t", micros(F.col(ts))).withColumn("_s", F.floor(F.col("_t") / F.lit(width)))
     totals = rows.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_n"))
-    between = Window.partitionBy(key).orderBy("_s").rangeBetween(-(lag - 1), -1)
+    earlier = Window.partitionBy(key).orderBy("_s")
+
+    def slices_upto(distance: int) -> Column:
+        return F.coalesce(F.sum("_n").over(earlier.rangeBetween(Window.unboundedPreceding, -distance)), F.lit(0))
+
+    # A difference of two running totals: a sliding frame would add up its whole content again for every slice.
     totals = totals.select(
-        F.col(key).alias("_key"), F.col("_s").alias("_slice"),
-        F.coalesce(F.sum("_n").over(between), F.lit(0)).alias("_between"),
+        F.col(key).alias("_key"), F.col("_s").alias("_slice"), (slices_upto(1) - slices_upto(lag)).alias("_between")
     )
     own = rows.withColumn("_own", F.lit(1))
     tail = rows.select(
         key, (F.col("_t") + F.lit(span)).alias("_t"), (F.col("_s") + F.lit(lag)).alias("_s"), F.lit(0).alias("_own")
     )
-    part = Window.partitionBy(key, "_s").orderBy("_t")
-    upto = part.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = part.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    part = Window.partitionBy(key, "_s")
+    upto = part.orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = part.orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    copied = F.lit(1) - F.col("_own")
     counted = (
         own.unionByName(tail, allowMissingColumns=True)
         .withColumn("_upto", F.sum("_own").over(upto))
-        .withColumn("_tail", F.sum(F.lit(1) - F.col("_own")).over(onward))
+        .withColumn("_tail", F.sum(copied).over(part) - F.coalesce(F.sum(copied).over(before), F.lit(0)))
         .filter("_own = 1")
     )
     joined = counted.join(totals, (F.col(key) == F.col("_key")) & (F.col("_s") == F.col("_slice")), "left")

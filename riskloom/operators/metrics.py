@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.prefix import running_totals
+from riskloom.operators.prefix import running_totals, value_sums
 
 EPS = 1e-8
 
@@ -62,25 +62,25 @@ def with_accuracy(counts: DataFrame) -> DataFrame:
     return counts.withColumn("accuracy", ratio(right, n))
 
 
-def label_counts(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
+def score_counts(df: DataFrame, score: str = "score", label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score as a stage table: all metrics follow from it in later passes."""
     pos = F.when(F.col(label) == 1, 1).otherwise(0)
-    return df.select(*by, F.col(score).alias("score"), pos.alias("pos"), (F.lit(1) - pos).alias("neg"))
+    rows = df.select(*by, F.col(score).cast("double").alias("score"), pos.alias("pos"), (F.lit(1) - pos).alias("neg"))
+    return value_sums(rows, "score", ["pos", "neg"], list(by))
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, from high to low: positives and negatives at the score and above it."""
-    rows = running_totals(label_counts(df, score, label, by), "score", ["pos", "neg"], list(by), descending=True)
+    counts = score_counts(df, score, label, by)
+    rows = running_totals(counts, "score", ["pos", "neg"], list(by), descending=True, summed=True)
     return rows.select(
         *by, "score", "pos", "neg", (F.col("pos") + F.col("pos_before")).alias("cum_pos"),
         (F.col("neg") + F.col("neg_before")).alias("cum_neg"),
     )
 
 
-def auc(
-    df: DataFrame, score: str = "score", label: str = "is_fraud", one_class: float = 0.0, by: Sequence[str] = ()
-) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties counting half (average ranks)."""
-    rows = running_totals(label_counts(df, score, label, by), "score", ["pos", "neg"], list(by))
+def auc_of_counts(counts: DataFrame, one_class: float = 0.0, by: Sequence[str] = ()) -> DataFrame:
+    rows = running_totals(counts, "score", ["pos", "neg"], list(by), summed=True)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     pairs = pos * F.col("neg_before") + pos * neg / F.lit(2.0)
     sums = rows.groupBy(*by).agg(
@@ -90,6 +90,25 @@ def auc(
     return sums.select(*by, F.coalesce(value, F.lit(one_class)).alias("auc_roc"))
 
 
+def auc(
+    df: DataFrame, score: str = "score", label: str = "is_fraud", one_class: float = 0.0, by: Sequence[str] = ()
+) -> DataFrame:
+    """Share of (positive, negative) pairs in the right order, ties counting half (average ranks)."""
+    return auc_of_counts(score_counts(df, score, label, by), one_class, by)
+
+
+def confusion_of_counts(counts: DataFrame, threshold: float, inclusive: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    hit = flagged(F.col("score"), threshold, inclusive)
+
+    def total(c: str, cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0))
+
+    return counts.groupBy(*by).agg(
+        total("pos", hit).alias("tp"), total("neg", hit).alias("fp"),
+        total("pos", ~hit).alias("fn"), total("neg", ~hit).alias("tn"),
+    )
+
+
 def auc_trapezoid(df: DataFrame, score: str = "score", label: str = "is_fraud", one_class: float = 0.5) -> DataFrame:
     """Area under the ROC points by trapezoids; equal scores form one sloped step."""
     p = roc_points(df, score, label)
@@ -104,14 +123,15 @@ def evaluate(
     df: DataFrame, score: str = "score", label: str = "is_fraud", threshold: float = 0.5, inclusive: bool = False,
     one_class: float = 0.0, by: Sequence[str] = (), accuracy: bool = False,
 ) -> DataFrame:
-    """Precision, recall, F1, AUC and confusion counts; no rows give zeros."""
-    counts = with_prf(confusion(df, score, label, threshold, inclusive, by))
+    """Precision, recall, F1, AUC and confusion counts; no rows give zeros. The input is read once."""
+    table = score_counts(df, score, label, by)
+    counts = with_prf(confusion_of_counts(table, threshold, inclusive, by))
     if accuracy:
         counts = with_accuracy(counts)
-    rank = auc(df, score, label, one_class, by)
+    rank = auc_of_counts(table, one_class, by)
     if by:
         return counts.join(rank, list(by), "left")
-    return counts.withColumn("_one", F.lit(1)).join(rank.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return counts.withColumn("auc_roc", rank.scalar())
 
 
 def threshold_sweep(

@@ -6,7 +6,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import shuffle_width
+from riskloom.session import materialize, shuffle_width
 
 
 def range_bounds(df: DataFrame, value: str, parts: int) -> list[float]:
@@ -24,19 +24,24 @@ def with_range(df: DataFrame, value: str, bounds: list[float], out: str = "_rang
     return cut.transform(df).withColumn(out, F.col(out).cast("int"))
 
 
+def value_sums(df: DataFrame, value: str, sums: list[str], by: list[str]) -> DataFrame:
+    """Sums per distinct value as a stage table."""
+    return materialize(df.groupBy(*by, value).agg(*[F.sum(s).alias(s) for s in sums]), "value-sums")
+
+
 def running_totals(
     df: DataFrame, value: str, sums: list[str], by: list[str] | None = None, descending: bool = False,
-    parts: int | None = None,
+    parts: int | None = None, summed: bool = False,
 ) -> DataFrame:
     """One row per distinct value with its own sums (``<s>``) and the sums of all values before it (``<s>_before``).
 
-    Rows are first summed per distinct value (map-side). The value axis is cut into ranges; a window
-    runs inside each range, and the totals of earlier ranges, a frame of at most ``parts`` rows per group, are
-    added by an equi-join. No task sees more than one range.
+    Rows are first summed per distinct value (map-side) into a stage table, unless the frame is ``summed`` already. The
+    value axis is cut into ranges; a window runs inside each range, and the totals of earlier ranges, a frame of at
+    most ``parts`` rows per group, are added by an equi-join. No task sees more than one range.
     """
     by = by or []
-    bounds = range_bounds(df, value, parts or shuffle_width(df.sparkSession))
-    per_value = df.groupBy(*by, value).agg(*[F.sum(s).alias(s) for s in sums])
+    per_value = df if summed else value_sums(df, value, sums, by)
+    bounds = range_bounds(per_value, value, parts or shuffle_width(df.sparkSession))
     ranged = with_range(per_value, value, bounds)
 
     def order(c: str):

@@ -277,6 +277,19 @@ def model_size_check(spark, sf):
     return D.size_and_bounds(coefs).select("model_id", "n_nodes", "n_bytes", r6("max_coef"), "nodes_ok", "coef_ok", "size_ok")
 
 
+@query("coef_bound_check", f"""SELECT 'published' AS model_id, 2::bigint AS n_nodes, round({max(abs(c) for n in [*FRAUD.nodes, FRAUD.master] for c in n.coeffs)!r}e0, 6) AS max_coef,
+  false AS coef_ok, count(*) AS n_scored, sum(CASE WHEN s = 1 THEN 1 ELSE 0 END)::bigint AS n_clipped FROM
+  (WITH txn_b AS ({V.VIEW_SQL['txn_b']}), txn_f AS ({V.VIEW_SQL['txn_f']}), txn AS ({V.VIEW_SQL['txn']}) SELECT pair_score AS s FROM ({PAIR_SQL}))""")
+def coef_bound_check(spark, sf):
+    """Bounds of the published coefficients, and how many scores they drive to the upper limit."""
+    checks = D.size_and_bounds(FRAUD.to_table(spark, "published"))
+    scored = get_engine("pair_model")(V.txn(spark, sf)).agg(
+        F.count("*").alias("n_scored"), F.count_if(F.col("score") == 1).alias("n_clipped")
+    )
+    one = checks.select(F.struct("model_id", "n_nodes", r6("max_coef"), "coef_ok").alias("c")).scalar()
+    return scored.select(one.alias("c"), "n_scored", "n_clipped").select("c.*", "n_scored", "n_clipped")
+
+
 @query("model_comparison_table", with_views("txn", f"""
 , v AS ({' UNION ALL '.join(f"SELECT '{n}' AS model, ({e})::double AS score, is_fraud FROM txn" for n, e in (
     ('rule', '0.5*semantic_risk + 0.3*proxy_score + 0.2*least(1.0, velocity_1h/20)'), ('pseudo', PSEUDO), ('semantic', 'semantic_risk')))}),

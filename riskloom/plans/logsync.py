@@ -241,6 +241,15 @@ def sink_log_topic(spark, sf):
     return back.select("key", parsed.alias("v")).select("key", "v.*")
 
 
+@query("src_log_topic", with_views("log", """SELECT "partition", "offset", value FROM log"""))
+def src_log_topic(spark, sf):
+    """The log written as files of the envelope (partition, offset, value) and replayed from the start."""
+    path = scratch_dir(spark, "log-files")
+    V.log(spark, sf).write.json(path)
+    stream = R.read_log_topic(spark, path, schema="partition int, offset bigint, value string")
+    return R.run_to_files(stream, "log-replay")
+
+
 @query("velocity_1h", """SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
   AS velocity_1h FROM events""")
 def velocity_1h(spark, sf):

@@ -18,6 +18,7 @@ from riskloom.plans import views as V
 from riskloom.plans.scalar import r6
 from riskloom.plans.views import with_views
 from riskloom.registry import query
+from riskloom.session import materialize
 from riskloom.sources.tables import table
 
 X4 = ["x1", "x2", "x3", "x4"]
@@ -25,8 +26,10 @@ X3 = ["x1", "x2", "x3"]
 
 
 def split_txn(spark, sf):
+    """Model inputs of all transactions as a stage table that the passes of a trainer read."""
     keys = table(spark, sf, "events").select(F.col("event_id").alias("txn_id"))
-    return head_split(V.scaled_txn(spark, sf), "txn_id", keys=keys)
+    rows = head_split(V.scaled_txn(spark, sf), "txn_id", keys=keys).select(*X4, "y", "split")
+    return materialize(rows, "training-rows")
 
 
 def split_infra(spark, sf):

@@ -17,7 +17,7 @@ from riskloom.plans.views import with_views
 from riskloom.registry import query
 from riskloom.session import scratch_dir
 from riskloom.sources import files
-from riskloom.sources.store import unload
+from riskloom.sources.store import append_rows, ensure_table, unload
 from riskloom.sources.tables import table
 
 COLUMNS = [*V.FEATURES, "is_fraud"]
@@ -66,6 +66,13 @@ def src_jsonl(spark, sf):
     return files.read_jsonl(spark, path, schema).select("txn_id", *[r6(c) for c in V.FEATURES], "is_fraud")
 
 
+@query("sink_jsonl", "SELECT o_orderkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders")
+def sink_jsonl(spark, sf):
+    path = scratch_dir(spark, "jsonl-orders")
+    files.write_jsonl(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", r6("o_totalprice")), path)
+    return files.read_jsonl(spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double")
+
+
 @query("src_json_model", with_views("scaled", "SELECT txn_id, true AS same FROM scaled"))
 def src_json_model(spark, sf):
     """A model written as a document, read back, and compared with the original on all rows."""
@@ -75,6 +82,18 @@ def src_json_model(spark, sf):
     return V.scaled_txn(spark, sf).select("txn_id", (model.score() == FRAUD.score()).alias("same"))
 
 
+@query("sink_json_model")
+def sink_json_model(spark, sf):
+    """A model trained on all transactions, written as a document and read back as a coefficient table."""
+    from riskloom.models.pairs import train_pair_model
+    from riskloom.plans.models import X4, split_txn
+
+    path = scratch_dir(spark, "trained-model")
+    files.write_document(spark, train_pair_model(split_txn(spark, sf), X4, "y", "split").to_document(), path)
+    model = D.PairModel.from_document(files.read_document(spark, path))
+    return model.to_table(spark, "trained").select("layer", "position", "node", "term", r6("coef"))
+
+
 @query("src_zip_csv", """SELECT 'archive-'||c_custkey AS path, 1::bigint AS line, c_custkey::varchar AS c_custkey, c_name, NULL::varchar AS missing FROM customer""")
 def src_zip_csv(spark, sf):
     """One archive per customer, every second one plain text; the first CSV member counts."""
@@ -105,3 +124,40 @@ WHERE issue_type <> 'C'"""))
 def sink_unload_parquet(spark, sf):
     rows = V.issues(spark, sf).filter("issue_type <> 'C'").select("dag_id", "check_timestamp", "overall_score", "issue_type")
     return unload(rows, scratch_dir(spark, "unload")).withColumn("overall_score", F.round("overall_score", 6))
+
+
+def new_table(spark):
+    """An empty issue table in the shared folder."""
+    path = scratch_dir(spark, "issues")
+    name = "issues_" + path.rsplit("-", 1)[1]
+    ensure_table(spark, name, location=path)
+    return name
+
+
+@query("table_ensure", with_views("issues", """SELECT 'dag_id' AS col_name, 'string' AS data_type, count(*) AS n_rows FROM issues WHERE 1=0
+UNION ALL SELECT 'overall_score', 'double', 0 UNION ALL SELECT 'line_number', 'int', 0"""))
+def table_ensure(spark, sf):
+    """Creating a table that exists already changes nothing."""
+    name = new_table(spark)
+    ensure_table(spark, name)
+    stored = spark.table(name)
+    types = dict(stored.dtypes)
+    rows = [F.struct(F.lit(c).alias("col_name"), F.lit(types[c]).alias("data_type")) for c in ("dag_id", "overall_score", "line_number")]
+    return stored.agg(F.count("*").alias("n_rows")).select("n_rows", F.explode(F.array(*rows)).alias("c")).select("c.*", "n_rows")
+
+
+@query("table_append_batches", with_views("issues", """SELECT dag_id, check_timestamp, round(overall_score, 6) AS overall_score, issue_type, symbol,
+  symbol_code, message, line_number FROM issues"""))
+def table_append_batches(spark, sf):
+    name = new_table(spark)
+    rows = V.issues(spark, sf).withColumns({
+        "check_timestamp": F.col("check_timestamp").cast("timestamp"), "result_of_last_run": F.lit(None).cast("string"),
+        "time_of_last_run": F.lit(None).cast("timestamp"),
+    })
+    append_rows(rows.filter("issue_type = 'E'"), name)
+    append_rows(rows.filter("issue_type = 'no such type'"), name)
+    append_rows(rows.filter("issue_type <> 'E'"), name)
+    return spark.table(name).select(
+        "dag_id", F.col("check_timestamp").cast("timestamp_ntz").alias("check_timestamp"), r6("overall_score"), "issue_type",
+        "symbol", "symbol_code", "message", "line_number",
+    )

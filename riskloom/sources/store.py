@@ -12,8 +12,10 @@ ISSUE_SCHEMA = (
 )
 
 
-def ensure_table(spark: SparkSession, name: str, schema: str = ISSUE_SCHEMA) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet")
+def ensure_table(spark: SparkSession, name: str, schema: str = ISSUE_SCHEMA, location: str | None = None) -> None:
+    """Create a table unless it exists; with a location it is an external one."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{place}")
 
 
 def append_rows(df: DataFrame, name: str) -> None:

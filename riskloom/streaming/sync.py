@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType
 
 from riskloom.operators.joins import insert_ignore
 
@@ -20,7 +21,7 @@ TABLE_SCHEMA = "partition int, offset bigint, payload string, batch_id bigint"
 LAG_THRESHOLD = 5
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def json_error(text: pd.Series) -> pd.Series:
     """Why a text is no JSON document, null when it is one.
 
