@@ -18,8 +18,17 @@ TIME_SCALE = 15_811_131.0
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
 
+def cap(c: Column, hi: float) -> Column:
+    """At most ``hi``. A null stays null: least() and greatest() would skip it. NaN counts as large."""
+    return F.when(c > hi, F.lit(hi)).otherwise(c)
+
+
+def clip(c: Column, lo: float, hi: float) -> Column:
+    return F.when(c > hi, F.lit(hi)).when(c < lo, F.lit(lo)).otherwise(c)
+
+
 def clip01(c: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
+    return clip(c, 0.0, 1.0)
 
 
 def parse_number(c: Column) -> Column:
@@ -93,12 +102,12 @@ def ieee_semantic_risk() -> Column:
         + F.when(_text("DeviceType") == "mobile", 0.1).otherwise(0.0)
         + F.when(amount > 300, 0.2).when(amount > 100, 0.05).otherwise(0.0)
     )
-    return F.round(F.least(F.lit(1.0), risk), 6)
+    return F.round(cap(risk, 1.0), 6)
 
 
 def ieee_velocity() -> Column:
     seconds = _number_or_zero_text("TransactionDT")
-    return F.round(F.coalesce(F.least(F.lit(1.0), seconds / F.lit(TIME_SCALE)), F.lit(0.0)), 6)
+    return F.round(F.coalesce(cap(seconds / F.lit(TIME_SCALE), 1.0), F.lit(0.0)), 6)
 
 
 def ieee_proxy_score() -> Column:
@@ -109,12 +118,12 @@ def ieee_proxy_score() -> Column:
         + F.when(address.isNull() | (address == 0), 0.25).otherwise(0.0)
         + F.when(F.trim(_text("R_emaildomain")).isin(*RISKY_DOMAINS), 0.1).otherwise(0.0)
     )
-    return F.round(F.least(F.lit(1.0), risk), 6)
+    return F.round(cap(risk, 1.0), 6)
 
 
 def ieee_amount_dev() -> Column:
     amount = _number_or_zero_text("TransactionAmt")
-    return F.round(F.coalesce(F.least(F.lit(1.0), amount / F.lit(AMOUNT_SCALE)), F.lit(0.0)), 6)
+    return F.round(F.coalesce(cap(amount / F.lit(AMOUNT_SCALE), 1.0), F.lit(0.0)), 6)
 
 
 def prepare_ieee_cis(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -138,15 +147,15 @@ def decision(score: Column, threshold: float = 0.55) -> Column:
 
 
 def rule_score(sem: Column, vel: Column, proxy: Column) -> Column:
-    return F.lit(0.5) * sem + F.lit(0.3) * proxy + F.lit(0.2) * F.least(F.lit(1.0), vel / F.lit(20.0))
+    return F.lit(0.5) * sem + F.lit(0.3) * proxy + F.lit(0.2) * cap(vel / F.lit(20.0), 1.0)
 
 
 def weighted_score(weights: dict[str, float], sem: Column, vel: Column, proxy: Column, amt: Column) -> Column:
     total = (
         F.lit(weights.get("semantic_risk", 0.0)) * sem
         + F.lit(weights.get("proxy_score", 0.0)) * proxy
-        + F.lit(weights.get("velocity_1h", 0.0)) * F.least(F.lit(1.0), vel / F.lit(20.0))
-        + F.lit(weights.get("amount_deviation", 0.0)) * F.least(F.lit(1.0), amt / F.lit(1000.0))
+        + F.lit(weights.get("velocity_1h", 0.0)) * cap(vel / F.lit(20.0), 1.0)
+        + F.lit(weights.get("amount_deviation", 0.0)) * cap(amt / F.lit(1000.0), 1.0)
     )
     return clip01(total)
 
@@ -167,7 +176,7 @@ def risk_value(sem: Column, vel: Column, proxy: Column, amt: Column) -> Column:
 def efficiency_value(latency: Column, auth: Column, cpu: Column) -> Column:
     x1, x3 = latency / F.lit(2000.0), cpu / F.lit(100.0)
     raw = F.lit(0.6) * (F.lit(1.0) - x1) + F.lit(0.3) * auth - F.lit(0.4) * x1 * x3 - F.lit(0.1) * x3 * x3
-    return F.when(raw.isNotNull(), clip01(raw))
+    return clip01(raw)
 
 
 def health_status(score: Column) -> Column:

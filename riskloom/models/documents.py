@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import clip01
+
 TERMS = ("intercept", "a", "b", "ab")
 COEF_SCHEMA = "model_id string, layer int, position int, node string, inputs array<string>, term string, coef double"
 
@@ -41,7 +43,7 @@ class PairModel:
         return self.master.column(z)
 
     def score(self) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), self.raw_score()))
+        return clip01(self.raw_score())
 
     def to_document(self) -> dict:
         return {
@@ -100,7 +102,7 @@ def shortcut_score(model: PairModel, features: list[str]) -> Column:
     total = F.lit(float(model.master.coeffs[0]))
     for c, name in zip(model.master.coeffs[1:], features):
         total = total + F.lit(float(c)) * F.col(name)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))
+    return clip01(total)
 
 
 def size_and_bounds(coefs: DataFrame, max_coef: float = 50.0, nodes: int = 2) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import clip
 from riskloom.operators.scaling import Params, apply_zscore, fit_zscore
 
 LIMIT = 500.0
@@ -43,7 +44,7 @@ def linear(features: Sequence[str], weights: Sequence[float], bias: float) -> Co
 
 
 def sigmoid(z: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), z))))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-clip(z, -LIMIT, LIMIT)))
 
 
 def train_logistic(df: DataFrame, features: Sequence[str], label: str, steps: int = 50, rate: float = 0.001) -> Logistic:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import cap as at_most
+
 MICROS = 1_000_000
 
 
@@ -65,6 +67,6 @@ def deviation_from_mean(
     dev = F.abs(F.col(value) - F.col("_mu")) / F.nullif(F.col("_sd"), F.lit(0.0))
     return (
         df.join(stats, F.col(key) == F.col("_key"), "left")
-        .withColumn(out, F.round(F.coalesce(F.least(F.lit(cap), dev), F.lit(0.0)), 6))
+        .withColumn(out, F.coalesce(F.round(at_most(dev, cap), 6), F.lit(0.0)))
         .select(*df.columns, out)
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import cap as at_most
+from riskloom.functions.scalar import clip01
 from riskloom.operators.prefix import running_totals, value_sums
 
 EPS = 1e-8
@@ -179,7 +181,7 @@ def feasible(sweep: DataFrame) -> DataFrame:
 
 
 def squared_errors(df: DataFrame, pred: Column, label: Column) -> DataFrame:
-    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), pred))
+    clipped = clip01(pred)
     return df.agg(
         F.avg((pred - label) * (pred - label)).alias("mse"),
         F.avg((clipped - label) * (clipped - label)).alias("mse_clipped"),
@@ -205,4 +207,4 @@ def focal_loss(df: DataFrame, p: Column, y: Column, gamma: float = 2.0) -> DataF
 def class_weight(df: DataFrame, label: str = "is_fraud", cap: float = 12.0) -> DataFrame:
     rate = F.avg(F.col(label).cast("double"))
     raw = (F.lit(1.0) - rate) / (rate + F.lit(EPS))
-    return df.agg(rate.alias("rate"), raw.alias("raw_weight"), F.least(raw, F.lit(cap)).alias("weight"))
+    return df.agg(rate.alias("rate"), raw.alias("raw_weight"), at_most(raw, cap).alias("weight"))

@@ -19,6 +19,8 @@ def range_bounds(df: DataFrame, value: str, parts: int) -> list[float]:
 
 
 def with_range(df: DataFrame, value: str, bounds: list[float], out: str = "_range") -> DataFrame:
+    if not bounds:
+        return df.withColumn(out, F.lit(0))
     splits = [-float("inf"), *bounds, float("inf")]
     cut = Bucketizer(splits=splits, inputCol=value, outputCol=out, handleInvalid="keep")
     return cut.transform(df).withColumn(out, F.col(out).cast("int"))

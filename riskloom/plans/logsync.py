@@ -256,7 +256,7 @@ def velocity_1h(spark, sf):
     return trailing_count(table(spark, sf, "events"), "user_id", "ts", 3600).select("event_id", "velocity_1h")
 
 
-@query("amount_deviation", """SELECT event_id, round(coalesce(least(3.0, abs(value - avg(value) OVER w)/nullif(stddev_pop(value) OVER w, 0)), 0.0), 6)
+@query("amount_deviation", """SELECT event_id, round(CASE WHEN stddev_pop(value) OVER w > 0 THEN least(3.0, abs(value - avg(value) OVER w)/stddev_pop(value) OVER w) ELSE 0.0 END, 6)::double
   AS amount_deviation FROM events WINDOW w AS (PARTITION BY user_id)""")
 def amount_deviation(spark, sf):
     return deviation_from_mean(table(spark, sf, "events"), "user_id", "value").select("event_id", "amount_deviation")

@@ -24,6 +24,10 @@ def r10(name, expr=None):
     return F.round(F.col(name) if expr is None else expr, 10).alias(name)
 
 
+def r12(name, expr):
+    return F.round(expr, 12).alias(name)
+
+
 @query("feat_scale_const", with_views("infra", """
 SELECT order_id, round(amazon_api_latency/2000, 10) AS x1, cs_auth_status AS x2, round(system_cpu_load/100, 6) AS x3
 FROM infra"""))
@@ -300,30 +304,30 @@ def rule_score(spark, sf):
 
 @query("weighted_score", with_views("txn", """
 SELECT txn_id, round(greatest(0.0, least(1.0, 0.45*semantic_risk + 0.35*proxy_score + 0.15*least(1.0, velocity_1h/20)
-  + 0.05*least(1.0, amount_deviation/1000))), 6)::double AS score FROM txn"""))
+  + 0.05*least(1.0, amount_deviation/1000))), 12)::double AS score FROM txn"""))
 def weighted_score(spark, sf):
     weights = {"semantic_risk": 0.45, "proxy_score": 0.35, "velocity_1h": 0.15, "amount_deviation": 0.05}
     return V.txn(spark, sf).select(
-        "txn_id", r6("score", S.weighted_score(weights, *[F.col(c) for c in V.FEATURES]))
+        "txn_id", r12("score", S.weighted_score(weights, *[F.col(c) for c in V.FEATURES]))
     )
 
 
 @query("pseudo_score", with_views("txn", """
-SELECT txn_id, round(s, 6) AS score, s > 0.55 AS is_fraud
+SELECT txn_id, round(s, 12) AS score, s > 0.55 AS is_fraud
 FROM (SELECT txn_id, 0.4*semantic_risk + 0.3*proxy_score + 0.15*(semantic_risk*amount_deviation) AS s FROM txn)"""))
 def pseudo_score(spark, sf):
     s = S.pseudo_score(F.col("semantic_risk"), F.col("proxy_score"), F.col("amount_deviation"))
-    return V.txn(spark, sf).select("txn_id", r6("score", s), (s > 0.55).alias("is_fraud"))
+    return V.txn(spark, sf).select("txn_id", r12("score", s), (s > 0.55).alias("is_fraud"))
 
 
 @query("risk_label_rule", with_views("txn", """
-SELECT txn_id, round(greatest(0.0, least(1.0, v)), 6)::double AS risk, CASE WHEN v > 0.55 THEN 1 ELSE 0 END AS label
+SELECT txn_id, round(greatest(0.0, least(1.0, v)), 12)::double AS risk, CASE WHEN v > 0.55 THEN 1 ELSE 0 END AS label
 FROM (SELECT txn_id, 0.4*semantic_risk+0.05*velocity_1h/50+0.3*proxy_score+0.15*semantic_risk*amount_deviation AS v
   FROM txn)"""))
 def risk_label_rule(spark, sf):
     v = S.risk_value(*[F.col(c) for c in V.FEATURES])
     return V.txn(spark, sf).select(
-        "txn_id", r6("risk", S.clip01(v)), F.when(S.clip01(v) > 0.55, 1).otherwise(0).alias("label")
+        "txn_id", r12("risk", S.clip01(v)), F.when(S.clip01(v) > 0.55, 1).otherwise(0).alias("label")
     )
 
 

@@ -342,7 +342,7 @@ FROM events""",
     "txn_f": """
 SELECT txn_id, user_id, ts, event_type, value, semantic_risk, velocity_1h,
   CAST(CASE WHEN k%20<14 THEN 0.0 WHEN k%20<17 THEN 0.5 ELSE 1.0 END AS double) AS proxy_score,
-  round(coalesce(least(3.0, abs(value-mu)/nullif(sd,0)),0.0),6) AS amount_deviation FROM txn_b""",
+  round(CASE WHEN sd > 0 THEN least(3.0, abs(value-mu)/sd) ELSE 0.0 END, 6)::double AS amount_deviation FROM txn_b""",
     "txn": """
 SELECT *, CASE WHEN is_fraud=1 AND proxy_score=1 AND amount_deviation>1 THEN 'combined'
     WHEN is_fraud=1 AND proxy_score=1 THEN 'proxy_ring' WHEN is_fraud=1 AND velocity_1h>=5 THEN 'velocity_spike'

@@ -74,15 +74,21 @@ def expand_archives(files: DataFrame, columns: Sequence[str]) -> DataFrame:
     cols = list(columns)
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk: list[tuple] = []
+
+        def flush() -> pd.DataFrame:
+            out = pd.DataFrame(chunk, columns=["path", "line", *cols])
+            chunk.clear()
+            return out
+
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                chunk = []
                 for line, row in enumerate(_csv_rows(bytes(content)), start=1):
                     chunk.append((path, line, *[row.get(c) for c in cols]))
                     if len(chunk) == CHUNK_ROWS:
-                        yield pd.DataFrame(chunk, columns=["path", "line", *cols])
-                        chunk = []
-                yield pd.DataFrame(chunk, columns=["path", "line", *cols])
+                        yield flush()
+        if chunk:
+            yield flush()
 
     schema = "path string, line bigint, " + ", ".join(f"`{c}` string" for c in cols)
     return files.select("path", "content").mapInPandas(expand, schema)
