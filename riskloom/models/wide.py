@@ -105,6 +105,11 @@ def _gram_mse(g: np.ndarray, c: np.ndarray) -> float:
     return float(max(0.0, full @ g @ full) / g[0, 0])
 
 
+def _node_mse(g: np.ndarray, k: int) -> float:
+    """Error of one node's own output against the label."""
+    return float(max(0.0, g[k, k] - 2 * g[k, -1] + g[-1, -1]) / g[0, 0])
+
+
 def score_wide(df: DataFrame, features: str, model: WideModel, out: str = "score", clip: bool = True) -> DataFrame:
     """Second-layer output per row."""
     layer2 = np.asarray(model.layer2)
@@ -140,6 +145,9 @@ def train_wide(
     model = WideModel(nodes, [], clip_nodes, n_features=n_features, candidates=len(pairs) * len(forms))
     grams = _layer2_gram(df, features, label, split, model)
     train = grams["train"]
+    if clip_nodes:
+        for k, node in enumerate(nodes):
+            node.train_mse, node.val_mse = (_node_mse(grams[part], k + 1) for part in ("train", val))
     c = P.solve(train[:-1, :-1], train[:-1, -1])
     model.layer2 = c.tolist()
     model.errors = {f"{part}_mse": _gram_mse(g, c) for part, g in grams.items()}

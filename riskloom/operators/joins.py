@@ -27,14 +27,16 @@ def upsert_by_key(target: DataFrame, new: DataFrame, key: str, version: str) ->
 
 
 def pair_sources(events: DataFrame, key: str, source: str, left: str, right: str) -> DataFrame:
-    """One row per key that both source systems reported: (key, left event, right event)."""
-    cols = [c for c in events.columns if c not in (key, source)]
+    """One row per key that both source systems reported: (key, left event, right event).
 
-    def side(name: str, out: str) -> DataFrame:
-        only = events.filter(F.col(source) == name)
-        return only.groupBy(key).agg(F.min(F.struct(*cols)).alias(out))
-
-    return side(left, "left_event").join(side(right, "right_event"), key)
+    Both sides meet in one aggregation by key, so there is one shuffle and copies of an event collapse before it.
+    """
+    event = F.struct(*[c for c in events.columns if c not in (key, source)])
+    pairs = events.groupBy(key).agg(
+        F.min(F.when(F.col(source) == left, event)).alias("left_event"),
+        F.min(F.when(F.col(source) == right, event)).alias("right_event"),
+    )
+    return pairs.filter("left_event IS NOT NULL AND right_event IS NOT NULL")
 
 
 def agreement(decisions: Sequence[str], failed: str = "ERROR") -> Column:

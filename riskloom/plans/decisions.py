@@ -266,17 +266,6 @@ def gated_inference(spark, sf):
     return out
 
 
-@query("model_size_check")
-def model_size_check(spark, sf):
-    """Structure of the model trained on the transactions, and of the published one."""
-    from riskloom.plans.models import split_txn
-    from riskloom.models.pairs import train_pair_model
-
-    trained = train_pair_model(split_txn(spark, sf), ["x1", "x2", "x3", "x4"], "y", "split")
-    coefs = trained.to_table(spark, "trained").unionByName(FRAUD.to_table(spark, "published"))
-    return D.size_and_bounds(coefs).select("model_id", "n_nodes", "n_bytes", r6("max_coef"), "nodes_ok", "coef_ok", "size_ok")
-
-
 @query("coef_bound_check", f"""SELECT 'published' AS model_id, 2::bigint AS n_nodes, round({max(abs(c) for n in [*FRAUD.nodes, FRAUD.master] for c in n.coeffs)!r}e0, 6) AS max_coef,
   false AS coef_ok, count(*) AS n_scored, sum(CASE WHEN s = 1 THEN 1 ELSE 0 END)::bigint AS n_clipped FROM
   (WITH txn_b AS ({V.VIEW_SQL['txn_b']}), txn_f AS ({V.VIEW_SQL['txn_f']}), txn AS ({V.VIEW_SQL['txn']}) SELECT pair_score AS s FROM ({PAIR_SQL}))""")

@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import functions as F
 
+from riskloom.models import documents as D
 from riskloom.models import logistic as L
 from riskloom.models import network as N
 from riskloom.models import pairs as P
@@ -18,7 +19,8 @@ from riskloom.plans import views as V
 from riskloom.plans.scalar import r6
 from riskloom.plans.views import with_views
 from riskloom.registry import query
-from riskloom.session import materialize
+from riskloom.session import materialize, scratch_dir
+from riskloom.sources import files
 from riskloom.sources.tables import table
 
 X4 = ["x1", "x2", "x3", "x4"]
@@ -177,6 +179,35 @@ def health_model_score(spark, sf):
     )
 
 
+MAX_COEF = "greatest(" + ", ".join(f"max(abs(c{k}))" for k in range(4)) + ")"
+PUBLISHED_MAX = max(abs(c) for n in D.FRAUD_MODEL["layer1"] for c in [n["intercept"], *n["coeffs"]])
+
+
+@query("model_size_check", with_views("scaled", f""", {HEAD}, {model_fit_sql(X4)},
+m AS (SELECT greatest((SELECT {MAX_COEF} FROM best), (SELECT {MAX_COEF} FROM top)) AS c)
+SELECT 'trained' AS model_id, 2::bigint AS n_nodes, round(c, 4) AS max_coef, true AS nodes_ok, c < 50 AS coef_ok, true AS size_ok FROM m
+UNION ALL SELECT 'published', 2, round({PUBLISHED_MAX!r}e0, 4), true, {str(PUBLISHED_MAX < 50).lower()}, true"""))
+def model_size_check(spark, sf):
+    """Structure of the model trained on the transactions, and of the published one."""
+    trained = P.train_pair_model(split_txn(spark, sf), X4, "y", "split")
+    published = D.PairModel.from_document(D.FRAUD_MODEL)
+    coefs = trained.to_table(spark, "trained").unionByName(published.to_table(spark, "published"))
+    return D.size_and_bounds(coefs).select(
+        "model_id", "n_nodes", F.round("max_coef", 4).alias("max_coef"), "nodes_ok", "coef_ok", "size_ok"
+    )
+
+
+@query("sink_json_model", with_views("scaled", f", {HEAD}, {model_fit_sql(X4)} " + " UNION ALL ".join(
+    f"SELECT 1 AS layer, (rn - 1)::int AS position, 'node_'||a||'_'||b AS node, '{t}' AS term, round(c{k}, 4) AS coef FROM best "
+    f"UNION ALL SELECT 2, 0, 'master', '{t}', round(c{k}, 4) FROM top" for k, t in enumerate(D.TERMS))))
+def sink_json_model(spark, sf):
+    """A model trained on all transactions, written as a document and read back as a coefficient table."""
+    path = scratch_dir(spark, "trained-model")
+    files.write_document(spark, P.train_pair_model(split_txn(spark, sf), X4, "y", "split").to_document(), path)
+    model = D.PairModel.from_document(files.read_document(spark, path))
+    return model.to_table(spark, "trained").select("layer", "position", "node", "term", F.round("coef", 4).alias("coef"))
+
+
 BASIS = ", ".join(
     f"SELECT txn_id, {form} AS form, [{', '.join('*'.join(['1.0::double', *['x1'] * p, *['x4'] * q]) for p, q in powers)}] "
     "AS basis FROM scaled UNION ALL" for form, powers in P.FORMS.items()
@@ -237,6 +268,36 @@ def scaled_wide(spark, sf):
     return W.minmax_array(wide_rows(spark, sf), "x", n), n
 
 
+def wide_sql(pairs: int, scaled: bool, split: bool) -> str:
+    """Fits of the sampled pairs: (a, b, c0..c3, train_mse, val_mse) as ``fits``; the pair rows as ``tp``."""
+    cell = "(x - lo)/(hi - lo + 1e-8)" if scaled else "x"
+    part = "CASE WHEN ('0x'||substr(md5('42:'||vec_id),1,8))::BIGINT % 10 < 7 THEN 'train' ELSE 'val' END" if split else "'train'"
+    plain, basis = P.moment_powers((2,))
+
+    def mono(p, q):
+        return "*".join(["1.0::double", *["xa"] * p, *["xb"] * q])
+
+    sums = ", ".join([f"sum({mono(p, q)}) AS s{p}{q}" for p, q in plain] + [f"sum({mono(p, q)}*y) AS y{p}{q}" for p, q in basis])
+    twice = "" if split else " UNION ALL SELECT 'val' AS split, * EXCLUDE (split) FROM mo0"
+    return f"""WITH u AS (SELECT vec_id, (label IN (0,1,2))::int::double AS y, unnest(embedding::double[]) AS x,
+  generate_subscripts(embedding, 1) AS i FROM embeddings),
+mm AS (SELECT i, min(x) AS lo, max(x) AS hi FROM u GROUP BY i),
+sv AS (SELECT vec_id, y, {part} AS split, list({cell} ORDER BY i) AS v FROM u JOIN mm USING (i) GROUP BY vec_id, y),
+pr AS (SELECT a::int AS a, b::int AS b FROM range(64) r(a), range(64) t(b) WHERE a < b ORDER BY md5('42:'||a||':'||b) LIMIT {pairs}),
+tp AS (SELECT split, a, b, v[a+1] AS xa, v[b+1] AS xb, y FROM sv, pr),
+mo0 AS (SELECT split, a, b, {sums}, sum(y*y) AS yy FROM tp GROUP BY split, a, b), mo AS (SELECT split, * EXCLUDE (split) FROM mo0{twice}),
+fits AS ({fit_sql('SELECT * FROM mo')})"""
+
+
+def nodes_sql(order: str, keep: int, source: str = "fits") -> str:
+    return f"""SELECT (row_number() OVER (ORDER BY {order}) - 1)::int AS rank, a AS feat_i, b AS feat_j, 2 AS form_type,
+  round(val_mse, 6) AS val_mse, round(train_mse, 6) AS train_mse FROM {source} QUALIFY rank < {keep}"""
+
+
+CLIPPED_FITS = """cf AS (SELECT f.a, f.b, avg(d*d) FILTER (split='train') AS train_mse, avg(d*d) FILTER (split='val') AS val_mse FROM (
+  SELECT f.a, f.b, t.split, greatest(0.0, least(1.0, c0 + c1*xa + c2*xb + c3*xa*xb)) - y AS d FROM fits f JOIN tp t ON f.a=t.a AND f.b=t.b) f GROUP BY f.a, f.b)"""
+
+
 def wide_result(spark, model):
     nodes = W.model_rows(spark, model).select("rank", "feat_i", "feat_j", "form_type", r6("val_mse"), r6("train_mse"))
     return nodes
@@ -248,7 +309,7 @@ def pair_sample(spark, sf):
     return W.pair_sample(spark, wide_width(spark, sf), 300)
 
 
-@query("pair_model_train_generic")
+@query("pair_model_train_generic", f"{wide_sql(11, False, True)}, {CLIPPED_FITS} {nodes_sql('a, b', 11, source='cf')}")
 def pair_model_train_generic(spark, sf):
     rows, n = wide_rows(spark, sf), wide_width(spark, sf)
     return wide_result(spark, W.train_generic(rows, "x", "y", "split", n))
@@ -261,13 +322,13 @@ def pair_model_train_full(spark, sf):
     return W.model_errors(spark, model).select("metric", r6("value"))
 
 
-@query("pair_model_train_random")
+@query("pair_model_train_random", f"{wide_sql(50, True, False)} {nodes_sql('a, b', 50)}")
 def pair_model_train_random(spark, sf):
     rows, n = scaled_wide(spark, sf)
     return wide_result(spark, W.train_random(rows, "x", "y", n))
 
 
-@query("pair_model_train_selforg")
+@query("pair_model_train_selforg", f"{wide_sql(500, True, True)} {nodes_sql('val_mse, a, b', 50)}")
 def pair_model_train_selforg(spark, sf):
     rows, n = scaled_wide(spark, sf)
     return wide_result(spark, W.train_selforg(rows, "x", "y", "split", n))
@@ -316,27 +377,40 @@ def z_sql():
     return ", ".join(f"(x{i+1} - avg(x{i+1}) OVER ()) / (stddev_pop(x{i+1}) OVER () + 1e-8) AS q{i+1}" for i in range(4))
 
 
-def logreg_sql():
+def logreg_steps() -> str:
+    """Weights after 50 gradient steps as ``w50``; scaled rows as ``q``."""
     z = "w.b + " + " + ".join(f"w.w{i}*q{i}" for i in range(1, 5))
     err = f"(1/(1+exp(-greatest(-500, least(500, {z})))) - y) * CASE WHEN y=1 THEN k ELSE 1 END"
     steps = ", ".join(["b - 0.001*avg(e)", *[f"w{i} - 0.001*avg(e*q{i})" for i in range(1, 5)]])
-    return with_views("scaled", f""", q AS MATERIALIZED (SELECT y, (1-avg(y) OVER ())/avg(y) OVER () AS k, {z_sql()} FROM scaled),
-steps AS (SELECT 0 AS s)
-SELECT * FROM (WITH RECURSIVE w(s, b, w1, w2, w3, w4) AS (SELECT 0, 0.0::double, 0.0::double, 0.0::double, 0.0::double, 0.0::double
+    return f""", q AS MATERIALIZED (SELECT txn_id, y, (1-avg(y) OVER ())/avg(y) OVER () AS k, {z_sql()} FROM scaled),
+w50 AS MATERIALIZED (SELECT * FROM (WITH RECURSIVE w(s, b, w1, w2, w3, w4) AS (SELECT 0, 0.0::double, 0.0::double, 0.0::double, 0.0::double, 0.0::double
   UNION ALL SELECT s + 1, {steps} FROM (SELECT w.*, q.q1, q.q2, q.q3, q.q4, {err} AS e FROM w, q WHERE w.s < 50) GROUP BY s, b, w1, w2, w3, w4)
-SELECT 'bias' AS term, round(b, 8) AS weight FROM w WHERE s = 50 UNION ALL SELECT 'x1', round(w1, 8) FROM w WHERE s = 50
-UNION ALL SELECT 'x2', round(w2, 8) FROM w WHERE s = 50 UNION ALL SELECT 'x3', round(w3, 8) FROM w WHERE s = 50
-UNION ALL SELECT 'x4', round(w4, 8) FROM w WHERE s = 50)""")
+SELECT * FROM w WHERE s = 50))"""
 
 
-@query("logreg_train", logreg_sql())
+LOGREG_ROWS = """SELECT 'bias' AS term, round(b, 8) AS weight FROM w50 UNION ALL SELECT 'x1', round(w1, 8) FROM w50
+UNION ALL SELECT 'x2', round(w2, 8) FROM w50 UNION ALL SELECT 'x3', round(w3, 8) FROM w50 UNION ALL SELECT 'x4', round(w4, 8) FROM w50"""
+
+
+@query("logreg_train", with_views("scaled", f"{logreg_steps()} {LOGREG_ROWS}"))
 def logreg_train(spark, sf):
     model = L.train_logistic(V.scaled_txn(spark, sf), X4, "y")
     rows = [("bias", float(model.bias)), *zip(model.features, map(float, model.weights))]
     return spark.createDataFrame(rows, "term string, weight double").select("term", F.round("weight", 8).alias("weight"))
 
 
-@query("logreg_evaluate")
+def logreg_eval_sql() -> str:
+    from riskloom.plans.metrics import BEST, auc_sql, sweep_sql
+
+    score = "1/(1+exp(-greatest(-500, least(500, b + w1*q1 + w2*q2 + w3*q3 + w4*q4))))"
+    return with_views("scaled", f"""{logreg_steps()},
+scored AS MATERIALIZED (SELECT y::int AS is_fraud, {score} AS score FROM q, w50), a AS ({auc_sql(default='0.5')}),
+best AS (SELECT * FROM ({sweep_sql(BEST)}) ORDER BY f1 DESC, threshold LIMIT 1)
+SELECT threshold, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(auc_roc, 6) AS auc_roc,
+  CASE WHEN f1 >= 0.45 AND precision >= 0.5 AND recall >= 0.4 AND auc_roc >= 0.78 THEN 'PASS' ELSE 'FAIL' END AS gate FROM best, a""")
+
+
+@query("logreg_evaluate", logreg_eval_sql())
 def logreg_evaluate(spark, sf):
     """Best threshold and gate of the logistic model on the rows it was trained on."""
     rows = V.scaled_txn(spark, sf)

@@ -129,7 +129,7 @@ IEEE_RULES = {
 def _register_ieee(name):
     @query(name, with_views("raw_ieee", f"SELECT o_orderkey, {IEEE_SQL[name]} AS {name} FROM raw_ieee"))
     def run(spark, sf):
-        return V.raw_ieee(spark, sf).select("o_orderkey", IEEE_RULES[name]().alias(name))
+        return S.with_parsed(V.raw_ieee(spark, sf)).select("o_orderkey", IEEE_RULES[name]().alias(name))
 
 
 for _name in IEEE_SQL:

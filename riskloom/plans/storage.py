@@ -82,18 +82,6 @@ def src_json_model(spark, sf):
     return V.scaled_txn(spark, sf).select("txn_id", (model.score() == FRAUD.score()).alias("same"))
 
 
-@query("sink_json_model")
-def sink_json_model(spark, sf):
-    """A model trained on all transactions, written as a document and read back as a coefficient table."""
-    from riskloom.models.pairs import train_pair_model
-    from riskloom.plans.models import X4, split_txn
-
-    path = scratch_dir(spark, "trained-model")
-    files.write_document(spark, train_pair_model(split_txn(spark, sf), X4, "y", "split").to_document(), path)
-    model = D.PairModel.from_document(files.read_document(spark, path))
-    return model.to_table(spark, "trained").select("layer", "position", "node", "term", r6("coef"))
-
-
 @query("src_zip_csv", """SELECT 'archive-'||c_custkey AS path, 1::bigint AS line, c_custkey::varchar AS c_custkey, c_name, NULL::varchar AS missing FROM customer""")
 def src_zip_csv(spark, sf):
     """One archive per customer, every second one plain text; the first CSV member counts."""
