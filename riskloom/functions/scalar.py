@@ -44,24 +44,38 @@ def parse_number(c: Column) -> Column:
     return F.when(text.contains("_"), joined).when(~foreign, text.try_cast("double"))
 
 
-def to_number(c: Column) -> Column:
-    return F.coalesce(parse_number(c), F.lit(0.0))
+def to_number(c: Column, numeric: bool = False) -> Column:
+    """Number or 0; ``numeric`` says that the column holds numbers already and needs no parsing."""
+    return F.coalesce(c.cast("double") if numeric else parse_number(c), F.lit(0.0))
 
 
-def to_unit_interval(c: Column) -> Column:
+def to_unit_interval(c: Column, numeric: bool = False) -> Column:
     """Tolerant number clamped to [0, 1]; NaN sorts above all numbers and so becomes 1."""
-    return clip01(to_number(c))
+    return clip01(to_number(c, numeric))
 
 
-def to_binary(c: Column) -> Column:
-    x = parse_number(c)
+def to_binary(c: Column, numeric: bool = False) -> Column:
+    x = to_number(c, numeric)
     return F.when(~F.isnan(x) & (x > 0), 1).otherwise(0)
 
 
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def numeric_columns(df: DataFrame, candidates: Sequence[str]) -> bool:
+    """Whether all candidates the frame has hold numbers."""
+    types = dict(df.dtypes)
+    return all(types[c].split("(")[0] in NUMERIC_TYPES for c in candidates if c in types)
+
+
 def first_of(df: DataFrame, candidates: Sequence[str]) -> Column:
     """First candidate column that is neither null nor ''; columns the frame lacks are skipped."""
-    present = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in candidates if c in df.columns]
-    return F.coalesce(*present) if present else F.lit(None).cast("string")
+    present = [F.col(c) for c in candidates if c in df.columns]
+    if not present:
+        return F.lit(None).cast("string")
+    if numeric_columns(df, candidates):
+        return F.coalesce(*[c.cast("double") for c in present])
+    return F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in present])
 
 
 # Candidate columns per feature, in order of preference.
@@ -85,7 +99,10 @@ def normalize_benchmark(df: DataFrame, source_type: str = "ieee_cis", keep: Sequ
     """Raw fraud table of any supported layout -> the five feature columns."""
     if (source_type or "ieee_cis").lower() != "ieee_cis":
         raise ValueError(f"unsupported benchmark source: {source_type}")
-    features = [FIELD_CASTS[name](first_of(df, names)).alias(name) for name, names in FIELD_CANDIDATES.items()]
+    features = [
+        FIELD_CASTS[name](first_of(df, names), numeric_columns(df, names)).alias(name)
+        for name, names in FIELD_CANDIDATES.items()
+    ]
     return df.select(*keep, *features)
 
 

@@ -11,7 +11,7 @@ _FALLBACK: list[str] = []
 
 
 def build_session(app: str = "riskloom", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the library relies on (UTC, ANSI, AQE with skew handling)."""
+    """Session with the settings the library relies on: UTC, ANSI, AQE with skew handling, streaming state on disk."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -21,6 +21,8 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
@@ -31,11 +33,13 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and stage tables.
 
-    On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``. Only where that is
-    unset (local tests) a temporary folder of this machine is used.
+    On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``. Only a local session (tests) without
+    that setting uses a temporary folder of its machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _FALLBACK:
             _FALLBACK.append(tempfile.mkdtemp(prefix="riskloom-"))
         base = _FALLBACK[0]

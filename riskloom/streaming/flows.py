@@ -17,9 +17,11 @@ ENVELOPE = (
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder as a stream of its files."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A table of the data folder, one file or a folder of files, as a stream."""
+    base = f"{sf_dir.rstrip('/')}/{name}"
+    schema = spark.read.parquet(f"{base}.parquet").schema
+    # A stream takes the path of a single file only as a pattern; this one matches nothing but the name itself.
+    return spark.readStream.schema(schema).parquet(f"{base}.parque[t]")
 
 
 def read_log_topic(spark: SparkSession, source: str, servers: str | None = None, schema: str | None = None) -> DataFrame:

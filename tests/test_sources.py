@@ -71,11 +71,19 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-def test_scratch_folder_follows_the_session(spark):
-    class Fake:
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return "/shared/area/" if key == "spark.checkpoint.dir" else default
-
-    assert scratch_dir(Fake, "x").startswith("/shared/area/x-")
+class FakeSession:
+    """Only the settings of a session."""
+
+    def __init__(self, **settings):
+        self.settings = {k.replace("__", "."): v for k, v in settings.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_folder_follows_the_session():
+    shared = FakeSession(spark__master="yarn", spark__checkpoint__dir="/shared/area/")
+    assert scratch_dir(shared, "x").startswith("/shared/area/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession(spark__master="yarn"), "x")

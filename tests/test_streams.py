@@ -108,3 +108,12 @@ def test_late_rows_are_dropped(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         R.read_log_topic(spark, "topic", servers="nowhere:9092")
+
+
+def test_tables_as_one_file_or_a_folder(spark, sf):
+    path = scratch_dir(spark, "tables")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(f"{path}/events.parquet")
+    for folder in (sf, path):
+        stream = R.stream_table(spark, folder, "events").select("event_id")
+        assert R.run_to_files(stream, "copy").distinct().count() == events.count()
