@@ -55,8 +55,12 @@ def float_text(c: Column) -> Column:
     exponent = F.concat(
         F.when(power < 0, "e-").otherwise("e+"), F.lpad(steps, F.greatest(F.length(steps), F.lit(2)), "0")
     )
+    size = F.abs(c)
     return (
-        F.when(~text.contains("E"), text)
+        F.when((size >= 1e-3) & (size < 1e7), text)
+        .when(c == 0, text)
+        .when(F.isnan(c), "nan")
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
         .when((power >= 7) & (power < 16), F.concat(sign, large))
         .when(power == -4, F.concat(sign, small))
         .otherwise(F.concat(sign, mantissa, exponent))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import clip
 from riskloom.operators.scaling import Params, apply_zscore, fit_zscore
+from riskloom.session import materialize
 
 LIMIT = 500.0
 
@@ -48,20 +48,25 @@ def sigmoid(z: Column) -> Column:
 
 
 def train_logistic(df: DataFrame, features: Sequence[str], label: str, steps: int = 50, rate: float = 0.001) -> Logistic:
-    """Each step is one aggregation over the scaled rows, which are kept in memory or on disk meanwhile."""
-    params = fit_zscore(df, list(features))
-    rows = apply_zscore(df.select(*features, F.col(label).cast("double").alias("_y")), params)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    """Each step is one aggregation over the scaled rows.
+
+    The rows are a stage table, kept in memory or on disk meanwhile: its partitions follow its size, and a lost
+    executor costs a read of the table and not the pipeline behind it.
+    """
+    rows = materialize(df.select(*features, F.col(label).cast("double").alias("_y")), "logistic-rows")
+    params = fit_zscore(rows, list(features))
+    rows = apply_zscore(rows, params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         share = rows.agg(F.avg("_y")).first()[0]
-        heavy = (1.0 - share) / share if share else math.inf
-        weight = F.when(F.col("_y") == 1, F.lit(heavy)).otherwise(1.0)
-        w, b = [0.0] * len(features), 0.0
+        heavy = (1.0 - share) / share if share else 1.0  # without positives no row carries the weight
+        # SQL text: one call builds a step, where column objects would take dozens of calls to the JVM.
+        cols = [f"`{c}`" for c in features]
+        error = f"(1D / (1D + exp(-greatest({-LIMIT}D, least({LIMIT}D, _z)))) - _y) * CASE WHEN _y = 1 THEN {heavy!r}D ELSE 1D END"
+        slopes = [f"avg(_e * {c})" for c in cols]
+        w, b = [0.0] * len(cols), 0.0
         for _ in range(steps):
-            error = (sigmoid(linear(features, w, b)) - F.col("_y")) * weight
-            g = rows.select(error.alias("_e"), *features).agg(
-                F.avg("_e"), *[F.avg(F.col("_e") * F.col(c)) for c in features]
-            ).first()
+            z = " + ".join([f"{b!r}D", *[f"{x!r}D * {c}" for x, c in zip(w, cols)]])
+            g = rows.selectExpr("_y", f"{z} AS _z", *cols).selectExpr(f"{error} AS _e", *cols).selectExpr("avg(_e)", *slopes).first()
             b -= rate * g[0]
             w = [x - rate * d for x, d in zip(w, g[1:])]
     finally:

@@ -73,7 +73,7 @@ def test_text_device_hides_the_amount(spark):
 
 def test_float_text_equals_repr(spark):
     rng = np.random.default_rng(1)
-    values = [0.0, 12.0, 0.85, 1e-3, 1e-4, 1.5e-4, 1e-5, 2.5e-7, 1e7, 12345678.9, 1e15, 1.5e16, 1e16, 1e22, -1.25e-4, -2.5e9, 1e-100, 1.7e120]
+    values = [0.0, 12.0, 0.85, 1e-3, 1e-4, 1.5e-4, 1e-5, 2.5e-7, 1e7, 12345678.9, 1e15, 1.5e16, 1e16, 1e22, -1.25e-4, -2.5e9, 1e-100, 1.7e120, -0.0, 9999999.999, 0.001, 0.00099999, math.inf, -math.inf]
     values += list(rng.normal(size=50)) + list(rng.normal(size=50) * 1e-5) + list(rng.normal(size=50) * 1e10)
     rows = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", X.float_text(F.col("v")).alias("t"))
     assert [(r.v, r.t) for r in rows.collect() if r.t != repr(r.v)] == []
