@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, packing
+from riskloom.llm import bpe, chat, packing, urls
 from riskloom.registry import query
 from riskloom.sources.tables import table
 
@@ -24,3 +24,60 @@ def op7_byte_bpe(spark, sf):
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: Sites whose pages make up the list of unwanted URLs.
+UNWANTED = r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\."
+
+URL_SQL = r"""
+WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM cut),
+keyed AS (SELECT page_id, host, path, CASE WHEN host = '' THEN '' ELSE
+  regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+  || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS key
+  FROM (SELECT *, array_to_string(list_filter(string_split(query, '&'),
+    lambda p: NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)')), '&') AS kept FROM parts)),
+listed AS (SELECT DISTINCT key FROM keyed WHERE regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.')),
+rules(rule, own, start, decision) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+fits AS (SELECT k.*, r.rule, r.decision, row_number() OVER (PARTITION BY k.page_id ORDER BY length(r.rule) DESC) AS place
+  FROM keyed k LEFT JOIN rules r ON (k.host = r.own OR suffix(k.host, '.' || r.own)) AND starts_with(k.path, r.start))
+SELECT page_id, host, path, rule, coalesce(decision, CASE WHEN key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict,
+  key IN (SELECT key FROM listed) AS listed FROM fits WHERE place = 1"""
+
+
+@query("op8_bloom_url_filter", URL_SQL)
+def op8_bloom_url_filter(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return urls.judge(pages, pages.filter(urls.host_of(F.col("url")).rlike(UNWANTED)))
+
+
+CHAT_SQL = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id::bigint AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role || text) + length(regexp_replace(role || text, '[^\\<|]', '', 'g')) + 12)::bigint AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+@query("op9_event_sourced_chat", CHAT_SQL)
+def op9_event_sourced_chat(spark, sf):
+    marked = spark.sql("""
+        SELECT conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+        FROM VALUES (-7L, 0L, 'user'), (-7L, 1L, 'assistant') AS t(conv_id, turn, role)""")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(marked)
+    chats = chat.format_chats(chat.events_of(turns))
+    read = chats.withColumns({
+        "turns": chat.parsed(F.col("formatted")), "loss": chat.loss_text(F.col("formatted"), F.col("loss_spans")),
+    })
+    lines = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
