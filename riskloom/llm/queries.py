@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, packing, urls
+from riskloom.llm import bpe, chat, packing, quality, urls
 from riskloom.registry import query
 from riskloom.sources.tables import table
 
@@ -81,3 +81,9 @@ def op9_event_sourced_chat(spark, sf):
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query("op2_ngram_ratio_quality")
+def op2_ngram_ratio_quality(spark, sf):
+    judged = quality.assess(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
+    return judged.drop("text").withColumn("ratio", F.round("ratio", 6))
