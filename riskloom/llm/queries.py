@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, packing, quality, urls
+from riskloom.llm import bpe, chat, minhash, packing, quality, urls
 from riskloom.registry import query
 from riskloom.sources.tables import table
 
@@ -87,3 +87,22 @@ def op9_event_sourced_chat(spark, sf):
 def op2_ngram_ratio_quality(spark, sf):
     judged = quality.assess(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
     return judged.drop("text").withColumn("ratio", F.round("ratio", 6))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_distinct(list_transform(range(1, len(words) - 3),
+    lambda i: array_to_string(words[i:i+4], ' '))) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.size + y.size - common)),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a)
+SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, (SELECT min(other) FROM r WHERE r.doc_id = d.doc_id) AS component_id,
+  d.doc_id = (SELECT min(other) FROM r WHERE r.doc_id = d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id)"""
+
+
+@query("op3_tensored_minhash", NEAR_SQL)
+def op3_tensored_minhash(spark, sf):
+    return minhash.deduplicate(table(spark, sf, "documents"))
