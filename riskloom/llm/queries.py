@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, minhash, packing, quality, urls
+from riskloom.llm import bpe, chat, lattice, minhash, packing, quality, secrets, toxicity, urls
 from riskloom.registry import query
 from riskloom.sources.tables import table
 
@@ -106,3 +106,22 @@ FROM documents d LEFT JOIN n USING (doc_id)"""
 @query("op3_tensored_minhash", NEAR_SQL)
 def op3_tensored_minhash(spark, sf):
     return minhash.deduplicate(table(spark, sf, "documents"))
+
+
+@query("op5_toxicity_chain")
+def op5_toxicity_chain(spark, sf):
+    judged = toxicity.detect(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
+    return judged.drop("text")
+
+
+@query("op6_secret_forest")
+def op6_secret_forest(spark, sf):
+    return secrets.scan(table(spark, sf, "documents")).select(
+        "doc_id", "start", "length", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "probability",
+        "is_secret",
+    )
+
+
+@query("op4_subword_lattice")
+def op4_subword_lattice(spark, sf):
+    return lattice.score(table(spark, sf, "documents"))
