@@ -67,6 +67,15 @@ def local_components(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+def across(linked: np.ndarray, own: np.ndarray, bi: int, bj: int) -> np.ndarray:
+    """For a pair of different blocks only links between the two count: those inside are another group's work."""
+    return linked if bi == bj else linked & (own[:, None] != own[None, :])
+
+
+def edge_batch(a: np.ndarray, b: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(links)], ["a", "b", "links"])
+
+
 def by_group(
     batches: Iterator[pa.RecordBatch], keys: int, work: Callable[[pa.Table], list[pa.RecordBatch]],
 ) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.components import block_pairs, by_group, components, local_components, starts_of
+from riskloom.llm.components import across, block_pairs, by_group, components, local_components, starts_of
 from riskloom.llm.shingles import mix, shingle_sets, word_hashes
 from riskloom.llm.vocab import parts
 from riskloom.session import materialize
@@ -101,11 +101,6 @@ def agreeing(hashes: np.ndarray) -> np.ndarray:
     return same >= AGREE
 
 
-def across(linked: np.ndarray, own: np.ndarray, bi: int, bj: int) -> np.ndarray:
-    """For a pair of different blocks only links between the two count: those inside are another group's work."""
-    return linked if bi == bj else linked & (own[:, None] != own[None, :])
-
-
 def edge_batches(ids: list[np.ndarray], tops: list[np.ndarray]) -> list[pa.RecordBatch]:
     if not ids:
         return []

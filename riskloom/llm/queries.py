@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, lattice, minhash, packing, quality, secrets, toxicity, urls
+from riskloom.llm import bpe, chat, e8, lattice, minhash, packing, quality, secrets, toxicity, urls
 from riskloom.registry import query
 from riskloom.sources.tables import table
 
@@ -125,3 +125,18 @@ def op6_secret_forest(spark, sf):
 @query("op4_subword_lattice")
 def op4_subword_lattice(spark, sf):
     return lattice.score(table(spark, sf, "documents"))
+
+
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c"""
+
+
+@query("op10_e8_lattice", VECTOR_SQL)
+def op10_e8_lattice(spark, sf):
+    return e8.deduplicate(table(spark, sf, "embeddings"))
