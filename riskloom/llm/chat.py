@@ -60,11 +60,13 @@ def fold(events: DataFrame) -> DataFrame:
     )
     cut = F.min(F.when(F.col("kind") == "regenerate", F.col("message"))).over(later)
     alive = rows.withColumn("cut", cut).filter("cut IS NULL OR message < cut").filter("kind IN ('delta', 'edit')")
-    edited = F.max(F.when(F.col("kind") == "edit", F.col("seq"))).over(Window.partitionBy("conv_id", "message"))
-    live = alive.withColumn("edited", edited).filter("edited IS NULL OR seq >= edited")
+    own = Window.partitionBy("conv_id", "message")
+    edited = F.max(F.when(F.col("kind") == "edit", F.col("seq"))).over(own)
+    given = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).over(own)
+    live = alive.withColumns({"edited": edited, "given": given}).filter("edited IS NULL OR seq >= edited")
     parts = F.sort_array(F.collect_list(F.struct("seq", "text")))
     return live.groupBy("conv_id", "message").agg(
-        F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"),
+        F.max("given").alias("role"),
         F.array_join(F.transform(parts, lambda p: p.text), "").alias("text"),
     )
 

@@ -53,7 +53,7 @@ def with_chain(rows: DataFrame, earlier: list[str]) -> DataFrame:
 def learner(label: str) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="_features", labelCol=label, probabilityCol="_probability", rawPredictionCol="_raw",
-        predictionCol="_prediction", regParam=0.003, elasticNetParam=1.0, maxIter=20,
+        predictionCol="_prediction", regParam=0.01, elasticNetParam=0.2, maxIter=20,
     )
 
 

@@ -1,0 +1,68 @@
+import random
+
+import pytest
+
+from riskloom.llm import secrets
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(50)]
+    rows, real = [], {}
+    for k in range(120):
+        words = [rng.choice(names) for _ in range(40)]
+        if k % 3 == 0:
+            value = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+            words.insert(rng.randrange(40), f'token = "{value}"')
+            real[k] = value
+        if k % 2 == 0:
+            words.insert(rng.randrange(40), "".join(rng.choice("0123456789") for _ in range(16)))
+        rows.append((k, " ".join(words), f"src{k % 4}"))
+    return rows, real
+
+
+def test_finds_secrets_and_leaves_numbers(spark, corpus):
+    rows, real = corpus
+    extra = [(500, None, None), (501, "", "s"), (None, 'secret: "correct horse1battery"', "s"), (502, "é😀 key = '" + "a1" * 16 + "' end", "s")]
+    docs = spark.createDataFrame(
+        [(*r, 1, "x") for r in rows + extra], "doc_id long, text string, source string, n_chars long, value string"
+    )
+    found = secrets.scan(docs).collect()
+    texts = {r[0]: r[1] for r in rows + extra}
+    for f in found:
+        assert texts[f.doc_id][f.start : f.start + f.length] == f.value
+    assert {f.doc_id: f.value for f in found if f.is_secret and f.doc_id is not None and f.doc_id < 500} == real
+    assert any(not f.is_secret for f in found)
+    out = secrets.redact(docs, secrets.scan(docs))
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert len(got) == len(texts)
+    for k, value in real.items():
+        assert value not in got[k].text and secrets.MASK in got[k].text and got[k].n_chars == len(got[k].text)
+    assert all(got[k].text == texts[k] for k in texts if k not in real and k is not None and k != 502)
+
+
+def test_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "nothing here"), (2, None)], "doc_id long, text string")
+    assert secrets.scan(docs).count() == 0
+    assert secrets.scan(docs.limit(0)).count() == 0
+    assert secrets.redact(docs, secrets.scan(docs)).count() == 2
+    hexed = "0123456789abcdef" * 2
+    one = spark.createDataFrame([(1, f'api_key = "{hexed}"'), (1, f'api_key = "{hexed}"'), (2, "1234567890123456")],
+                                "doc_id long, text string")
+    found = secrets.scan(one.filter("doc_id = 1")).collect()  # only one kind of labelled findings
+    assert [(f.value, f.is_secret) for f in found] == [(hexed, True)] * 2
+    assert {(f.doc_id, f.is_secret) for f in secrets.scan(one).collect()} == {(1, True), (2, False)}
+
+
+def test_forest_learns_from_given_labels(spark, corpus):
+    rows, _ = corpus
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    from pyspark.sql import functions as F
+
+    given = secrets.with_features(secrets.findings(docs), secrets.dictionary(docs)).withColumn(
+        "is_secret", (F.col("digit_share") == 1).cast("double")  # the other way round
+    )
+    found = secrets.scan(docs, given).collect()
+    assert all(f.is_secret == f.value.isdigit() for f in found)
