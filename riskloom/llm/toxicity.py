@@ -5,24 +5,26 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, Normalizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.exprs import lower_ascii, text_of, words
+from riskloom.llm.exprs import lower_ascii, text_of
+from riskloom.llm.quality import tokens
 from riskloom.session import materialize
 
 #: The chain: (category, SQL over a row of labels). The last one decides.
 CATEGORIES = (("low_quality", "1 - quality"), ("toxic", "toxic"))
-#: The most frequent words of the training documents, of those in MIN_DOCS of them at least, are features.
-VOCABULARY = 1 << 16
+#: Features are the words of MIN_DOCS training documents at least whose share of a category's documents lies MIN_Z
+#: standard deviations off what chance would give: the most telling ones, VOCABULARY at most.
+VOCABULARY = 4096
 MIN_DOCS = 5
+MIN_Z = 4.0
 #: Labelled documents that the models are fitted on: those of the least hashes of their ids.
 TRAINING_DOCS = 20_000
 FOLDS = 3
-THRESHOLD = 0.5
-EDGE_SIGNS = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+THRESHOLD = 0.4
 
 
 @dataclass
@@ -34,15 +36,31 @@ class Chain:
 
 
 def terms(text: Column) -> Column:
-    """Words in lower case without signs at their edges."""
-    bare = F.transform(words(lower_ascii(text)), lambda w: F.regexp_replace(w, EDGE_SIGNS, ""))
-    return F.filter(bare, lambda w: w != "")
+    """The distinct words and runs of signs, in lower case."""
+    return F.array_distinct(tokens(lower_ascii(text)))
 
 
 def with_words(rows: DataFrame, vocabulary: CountVectorizerModel) -> DataFrame:
-    """``_words``: each known word's share of the text's known words."""
-    counted = vocabulary.transform(rows)
-    return Normalizer(p=1.0, inputCol="_counts", outputCol="_words").transform(counted).drop("_terms", "_counts")
+    """``_words``: which of the known words a text holds."""
+    return vocabulary.transform(rows).drop("_terms")
+
+
+def telling_words(rows: DataFrame, categories=CATEGORIES) -> CountVectorizerModel:
+    names = [f"_y_{c}" for c, _ in categories]
+    n, *positive = rows.agg(F.count("*"), *[F.sum(y) for y in names]).first()
+    found = rows.select(F.explode("_terms").alias("term"), *names).groupBy("term").agg(
+        F.count("*").alias("docs"), *[F.sum(y).alias(y) for y in names]
+    ).filter(F.col("docs") >= MIN_DOCS)
+    shares = [(y, (p or 0.0) / n) for y, p in zip(names, positive)] if n else []
+    off = [F.abs(F.col(y) - F.col("docs") * p) / F.sqrt(F.col("docs") * (p * (1 - p))) for y, p in shares if 0 < p < 1]
+    if off:
+        chosen = found.withColumn("z", F.greatest(F.lit(0.0), *off)).filter(F.col("z") >= MIN_Z)
+        known = [r.term for r in chosen.orderBy(F.desc("z"), "term").limit(VOCABULARY).collect()]
+    else:
+        known = []
+    return CountVectorizerModel.from_vocabulary(
+        known or ["\n"], inputCol="_terms", outputCol="_words"  # a line feed is no word: without words all is zero
+    ).setBinary(True)
 
 
 def with_chain(rows: DataFrame, earlier: list[str]) -> DataFrame:
@@ -53,7 +71,7 @@ def with_chain(rows: DataFrame, earlier: list[str]) -> DataFrame:
 def learner(label: str) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="_features", labelCol=label, probabilityCol="_probability", rawPredictionCol="_raw",
-        predictionCol="_prediction", regParam=0.01, elasticNetParam=0.2, maxIter=20,
+        predictionCol="_prediction", regParam=0.0004, maxIter=40,
     )
 
 
@@ -84,8 +102,7 @@ def fit_chain(
     gets a model that always answers that value.
     """
     split = materialize(training_rows(docs, labels, categories, limit), "toxicity")
-    counter = CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=VOCABULARY, minDF=MIN_DOCS)
-    vocabulary = counter.fit(split)
+    vocabulary = telling_words(split, categories)
     rows = materialize(with_words(split, vocabulary), "toxicity")
     models, earlier = [], []
     for k, (category, _) in enumerate(categories):

@@ -22,7 +22,7 @@ def corpus():
 
 def test_held_out_accuracy(spark, corpus):
     rows, labels = corpus
-    extra = [(900, None, 1.0), (901, "", 1.0), (None, "scum " * 30, 1.0), (902, "x" * 30000, 1.0)]
+    extra = [(900, None, 1.0), (901, "", 1.0), (None, "scum, idiot and moron. " * 9, 1.0), (902, "x" * 30000, 1.0)]
     docs = spark.createDataFrame([(i, t, 0.5) for i, t in rows] + extra, "doc_id long, text string, p_toxic double")
     frame = spark.createDataFrame(labels + [(None, 1, 1), (3, None, 1), (999, 0, 1)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.detect(docs, frame).collect()}
