@@ -79,8 +79,9 @@ def compare_engines(df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
     for name in names:
         try:
             scored = get_engine(name)(out)
+            scored.schema  # a frame that does not fit fails here, when its plan is resolved
             out = scored.withColumnsRenamed({"score": f"{name}_score", "decision": f"{name}_decision"}).drop("engine")
-        except ValueError:
+        except Exception:  # whatever an engine fails with, the others are still compared
             out = out.withColumns({f"{name}_score": F.lit(None).cast("double"), f"{name}_decision": F.lit("ERROR")})
     cells = [c for n in names for c in (f"{n}_score", f"{n}_decision")]
     return out.select(key, *cells, agreement([f"{n}_decision" for n in names]).alias("agree"))

@@ -72,8 +72,9 @@ def failures_latest_first(failures: DataFrame) -> DataFrame:
     """Failures by end time, newest first; the newest is flagged. Without an end the execution time counts."""
     at = F.coalesce("end_date", "execution_date", F.lit("1970-01-01").cast("timestamp_ntz"))
     timed = failures.withColumn("ended", at)
-    top = timed.agg(F.max_by("dag_id", F.struct("ended", "dag_id"))).scalar()
-    return timed.withColumn("is_latest", F.col("dag_id") == top).orderBy(F.col("ended").desc(), F.col("dag_id").desc())
+    place = F.struct("ended", "dag_id", "run_id")
+    top = timed.agg(F.max(place)).scalar()
+    return timed.withColumn("is_latest", place == top).orderBy(*[F.col(c).desc() for c in ("ended", "dag_id", "run_id")])
 
 
 def failure_totals(failures: DataFrame) -> DataFrame:

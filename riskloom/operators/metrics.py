@@ -27,6 +27,15 @@ def grid(first: float, last: float, step: float) -> list[float]:
     return [round(first + i * step, 10) for i in range(n + 1)]
 
 
+def known(score: Column) -> Column:
+    """A missing score counts as 0, as in the source's number parser, so no row leaves the counts."""
+    return F.coalesce(score.cast("double"), F.lit(0.0))
+
+
+def positive(label: str) -> Column:
+    return F.coalesce(F.col(label) == 1, F.lit(False))
+
+
 def flagged(score: Column, threshold: float | Column, inclusive: bool = False) -> Column:
     t = threshold if isinstance(threshold, Column) else F.lit(threshold)
     return score >= t if inclusive else score > t
@@ -36,7 +45,7 @@ def confusion(
     df: DataFrame, score: str = "score", label: str = "is_fraud", threshold: float | Column = 0.5,
     inclusive: bool = False, by: Sequence[str] = (),
 ) -> DataFrame:
-    hit, pos = flagged(F.col(score), threshold, inclusive), F.col(label) == 1
+    hit, pos = flagged(known(F.col(score)), threshold, inclusive), positive(label)
     return df.groupBy(*by).agg(
         F.count_if(hit & pos).alias("tp"), F.count_if(hit & ~pos).alias("fp"),
         F.count_if(~hit & pos).alias("fn"), F.count_if(~hit & ~pos).alias("tn"),
@@ -66,8 +75,8 @@ def with_accuracy(counts: DataFrame) -> DataFrame:
 
 def score_counts(df: DataFrame, score: str = "score", label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score as a stage table: all metrics follow from it in later passes."""
-    pos = F.when(F.col(label) == 1, 1).otherwise(0)
-    rows = df.select(*by, F.col(score).cast("double").alias("score"), pos.alias("pos"), (F.lit(1) - pos).alias("neg"))
+    pos = F.when(positive(label), 1).otherwise(0)
+    rows = df.select(*by, known(F.col(score)).alias("score"), pos.alias("pos"), (F.lit(1) - pos).alias("neg"))
     return value_sums(rows, "score", ["pos", "neg"], list(by))
 
 
@@ -148,8 +157,8 @@ def threshold_sweep(
     ts = sorted(thresholds)
     passed = F.lit(0)
     for t in ts:
-        passed = passed + flagged(F.col(score), t, inclusive).cast("int")
-    pos = F.when(F.col(label) == 1, 1).otherwise(0)
+        passed = passed + flagged(known(F.col(score)), t, inclusive).cast("int")
+    pos = F.when(positive(label), 1).otherwise(0)
     levels = df.select(passed.alias("level"), pos.alias("pos"), (F.lit(1) - pos).alias("neg"))
     levels = levels.groupBy("level").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     grid_rows = df.sparkSession.createDataFrame(

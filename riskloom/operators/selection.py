@@ -26,7 +26,7 @@ class _Target:
 
     def bracket(self) -> Column:
         c = F.col(self.column)
-        cond = c.isNotNull()
+        cond = c.isNotNull() & ~F.isnan(c.cast("double"))  # a missing value may also be written as NaN
         if self.lo is not None:
             cond = cond & (c > F.lit(self.lo))
         if self.hi is not None:
@@ -90,7 +90,7 @@ def order_values(df: DataFrame, wanted: list[tuple[str, int]], counts: dict[str,
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Interpolated median per column, exact on any number of rows."""
-    n = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    n = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))).alias(c) for c in cols]).first().asDict()
     wanted = [(c, r) for c in cols for r in ((n[c] - 1) // 2, n[c] // 2)]
     values = order_values(df, wanted, n)
     out = {}

@@ -182,7 +182,7 @@ def benchmark_gate(spark, sf):
 SELECT 'record' AS source, round(h, 6) AS health_score, CASE WHEN h < 0.35 THEN 'DISABLED' ELSE 'ENABLED' END AS status
 FROM (SELECT avg(architecture_efficiency) AS h FROM infra WHERE cs_auth_status IS NOT NULL)
 UNION ALL SELECT 'synced rows', CASE WHEN (SELECT count(*) FROM main_table) > 0 THEN 0.8::double ELSE 0.5::double END, 'ENABLED'
-UNION ALL SELECT 'no rows', 0.5::double, 'ENABLED' UNION ALL SELECT 'record without score', 0.75::double, 'ENABLED'"""))
+UNION ALL SELECT 'no rows', 0.5::double, 'ENABLED' UNION ALL SELECT 'nothing readable', 0.75::double, 'ENABLED' UNION ALL SELECT 'record without score', 0.75::double, 'ENABLED'"""))
 def health_gate(spark, sf):
     record = V.infra(spark, sf).filter("cs_auth_status IS NOT NULL").agg(
         F.avg("architecture_efficiency").alias("health_score")
@@ -190,7 +190,7 @@ def health_gate(spark, sf):
     synced = V.synced_rows(spark, sf)
     cases = {
         "record": (record, synced), "synced rows": (record.filter("health_score > 2"), synced),
-        "no rows": (None, synced.filter("offset < 0")),
+        "no rows": (None, synced.filter("offset < 0")), "nothing readable": (None, None),
         "record without score": (record.withColumn("health_score", F.lit(None).cast("double")), synced),
     }
     out = None

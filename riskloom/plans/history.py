@@ -83,7 +83,7 @@ def failure_totals(spark, sf):
 
 
 @query("failures_latest_first", with_views("runs", f""", {STATES}
-SELECT dag_id, run_id, status_type, ended, row_number() OVER (ORDER BY ended DESC, dag_id DESC) = 1 AS is_latest
+SELECT dag_id, run_id, status_type, ended, row_number() OVER (ORDER BY ended DESC, dag_id DESC, run_id DESC) = 1 AS is_latest
 FROM (SELECT *, coalesce(end_date, execution_date) AS ended FROM states) ORDER BY ended DESC, dag_id DESC"""))
 def failures_latest_first(spark, sf):
     df = H.failures_latest_first(H.run_states(V.runs(spark, sf)))
@@ -185,9 +185,13 @@ def concurrency_by_minute(spark, sf):
 
 
 @query("concurrency_pivot", with_views("task_spans", f""", {MINUTES}
-SELECT * FROM (PIVOT grp ON dag_group USING count(*) GROUP BY minute)"""))
+, t AS (SELECT dag_group, count(*) AS total FROM grp GROUP BY dag_group)
+SELECT m.minute, list(coalesce(l.load, 0) ORDER BY t.total DESC, t.dag_group) AS loads
+FROM (SELECT DISTINCT minute FROM grp) m CROSS JOIN t LEFT JOIN loads l ON l.minute = m.minute AND l.dag_group = t.dag_group GROUP BY m.minute"""))
 def concurrency_pivot(spark, sf):
-    return C.pivot_minutes(C.by_minute(V.task_spans(spark, sf)))
+    """The loads of each minute in the order of the pivoted columns, heaviest group first."""
+    wide = C.pivot_minutes(C.by_minute(V.task_spans(spark, sf)))
+    return wide.select("minute", F.array(*[F.col(f"`{c}`") for c in wide.columns if c != "minute"]).alias("loads"))
 
 
 @query("concurrency_peak", with_views("task_spans", f""", {MINUTES}

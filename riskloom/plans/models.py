@@ -354,19 +354,21 @@ def score_wide_model(spark, sf):
     return W.score_wide(rows, "x", model).select("vec_id", r6("score"))
 
 
-@query("label_last_col", """SELECT count(*) AS n_rows, 3 AS n_features, 'label' AS target,
-  round(avg(CASE WHEN label IN (0,1,2) THEN 1 ELSE 0 END), 6) AS rate, round(avg(embedding[1]::double), 6) AS mean_first FROM embeddings""")
+@query("label_last_col", """SELECT count(*) AS n_rows, 64 AS n_features, 'label' AS target,
+  round(avg(CASE WHEN label IN (0,1,2) THEN 1 ELSE 0 END), 6) AS rate, round(avg(embedding[1]::double), 6) AS mean_first,
+  round(avg(list_sum(embedding::double[])), 6) AS mean_sum FROM embeddings""")
 def label_last_col(spark, sf):
     from riskloom.operators.schema import assemble, target_column
 
     rows = table(spark, sf, "embeddings").select(
-        *[F.get("embedding", i).cast("double").alias(f"f{i}") for i in range(3)], F.col("label").isin(0, 1, 2).cast("int").alias("label")
+        *[F.get("embedding", i).cast("double").alias(f"f{i}") for i in range(64)], F.col("label").isin(0, 1, 2).cast("int").alias("label")
     )
     target, features = target_column(rows)
     packed = assemble(rows, features, target)
     return packed.agg(
         F.count("*").alias("n_rows"), F.lit(len(features)).alias("n_features"), F.lit(target).alias("target"),
         r6("rate", F.avg("y")), r6("mean_first", F.avg(F.get("x", 0))),
+        r6("mean_sum", F.avg(F.aggregate("x", F.lit(0.0), lambda s, v: s + v))),
     )
 
 
@@ -472,11 +474,11 @@ PSEUDO_PARTS = (
 )
 
 
-@query("pseudo_embedding", with_views("txn", f"""SELECT txn_id, list_transform([{', '.join(PSEUDO_PARTS)}], lambda v: round(v::float::double, 4)) AS embedding FROM txn"""))
+@query("pseudo_embedding", with_views("txn", f"""SELECT txn_id, list_transform([{', '.join(PSEUDO_PARTS)}], lambda v: round(v::float::double, 4) + 0.0::double) AS embedding FROM txn"""))
 def pseudo_embedding(spark, sf):
     cols = [F.col(c) for c in V.FEATURES]
     rows = V.txn(spark, sf).select("txn_id", N.pseudo_embedding(F.col("txn_id"), *cols).alias("e"))
-    return rows.select("txn_id", F.transform("e", lambda v: F.round(v.cast("double"), 4)).alias("embedding"))
+    return rows.select("txn_id", F.transform("e", lambda v: F.round(v.cast("double"), 4) + 0.0).alias("embedding"))
 
 
 @query("mlp_train")

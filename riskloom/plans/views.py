@@ -47,7 +47,7 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = deviation_from_mean(txn_base(spark, sf_dir), "user_id", "value")
     df = trailing_count(df, "user_id", "ts", DAY)
     sem, vel, proxy, amt = (F.col(c) for c in FEATURES)
-    df = df.withColumn("velocity_1h", F.least(F.lit(50), vel).cast("double"))
+    df = df.withColumn("velocity_1h", vel.cast("double"))
     df = df.withColumn("is_fraud", F.when(S.risk_value(sem, vel, proxy, amt) > 0.55, 1).otherwise(0))
     fraud = F.col("is_fraud") == 1
     return df.withColumn(
@@ -335,7 +335,7 @@ VIEW_SQL: dict[str, str] = {
 SELECT event_id AS txn_id, user_id, ts, event_type, value,
   (('0x'||substr(md5(event_type||props),1,8))::BIGINT % 100)/100.0::double AS semantic_risk,
   CAST(json_extract_string(props,'$.k') AS int) AS k,
-  least(50, count(*) OVER (PARTITION BY user_id ORDER BY ts
+  (count(*) OVER (PARTITION BY user_id ORDER BY ts
         RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW))::double AS velocity_1h,
   avg(value) OVER (PARTITION BY user_id) AS mu, stddev_pop(value) OVER (PARTITION BY user_id) AS sd
 FROM events""",

@@ -16,20 +16,26 @@ ZIP_MAGIC = b"PK\x03\x04"
 CHUNK_ROWS = 10_000
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, every field as text."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+def read_csv_strings(
+    spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = False
+) -> DataFrame:
+    """CSV with a header, every field as text: columns by their names in any order, null where the file lacks one.
+
+    Quotes inside quoted fields are doubled, and quoted fields may hold line breaks. Files with line breaks are not
+    split, so such a file is read by one task.
+    """
+    rows = spark.read.options(header=True, escape='"', multiLine=line_breaks).csv(path)
+    return rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def read_csv_inferred(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV with types: from ``schema``, or inferred with one extra pass."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(header=True, escape='"')
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*columns).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

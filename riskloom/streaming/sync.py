@@ -35,8 +35,8 @@ def json_error(text: pd.Series) -> pd.Series:
         try:
             json.loads(t)
             return None
-        except ValueError as e:
-            return str(e)
+        except Exception as e:  # whatever the decoder fails with (deep nesting is no ValueError), the row is dead
+            return str(e) or type(e).__name__
 
     return text.map(check)
 
@@ -177,5 +177,5 @@ def audit(
         done = written == 0 or gap <= 0
         report.append((n, written, gap, "Synced" if done else "Retrying"))
         if done:
-            break
-    return report
+            return report
+    raise RuntimeError(f"{gap} rows are still missing after {max_rounds} rounds: {report}")

@@ -225,3 +225,33 @@ def test_gates(spark):
     assert off.first().status == "DISABLED"
     assert G.gated(spark.range(3), G.gate_result(good), off).count() == 0
     assert G.gated(spark.range(3), G.gate_result(good), G.health_gate(None, spark.range(1))).count() == 3
+
+
+def test_rows_without_score_stay_in_the_counts(spark):
+    rows = spark.createDataFrame([(None, 1), (0.9, 1), (0.2, 0), (None, 0), (0.7, None)], "score double, is_fraud int")
+    c = M.confusion(rows).first()
+    assert (c.tp, c.fp, c.fn, c.tn) == (1, 1, 1, 2)
+    e = M.evaluate(rows).first()
+    assert (e.tp, e.fp, e.fn, e.tn, e.recall) == (1, 1, 1, 2, 0.5)
+    for r in M.threshold_sweep(rows, [0.5, 0.8]).collect():
+        assert r.tp + r.fp + r.fn + r.tn == 5
+
+
+def test_median_skips_missing_numbers(spark):
+    rows = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, float("nan"), float("nan"), float("nan"), None)], "x double")
+    from riskloom.operators.selection import exact_medians
+
+    assert exact_medians(rows, ["x"]) == {"x": 2.0}
+
+
+def test_only_one_failure_is_the_latest(spark):
+    rows = [("a", 1, "2024-01-02"), ("a", 2, "2024-01-02"), ("b", 3, "2024-01-01")]
+    df = spark.createDataFrame(rows, "dag_id string, run_id long, t string").selectExpr(
+        "dag_id", "run_id", "cast(t as timestamp_ntz) AS end_date", "cast(t as timestamp_ntz) AS execution_date"
+    )
+    assert [r.is_latest for r in H.failures_latest_first(df).collect()] == [True, False, False]
+
+
+def test_default_health_without_any_table(spark):
+    row = G.health_gate(None, None).first()
+    assert (row.health_score, row.status) == (0.75, "ENABLED")

@@ -87,3 +87,11 @@ def test_scratch_folder_follows_the_session():
     assert scratch_dir(shared, "x").startswith("/shared/area/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(FakeSession(spark__master="yarn"), "x")
+
+
+def test_csv_strings_keep_quotes_and_line_breaks(spark, tmp_path):
+    rows = [('a "b" c', "x\ny", "1"), (",", "z", None)]
+    path = str(tmp_path / "quoted")
+    files.write_csv(spark.createDataFrame(rows, "a string, b string, c string"), path, ["b", "c", "a"])
+    got = files.read_csv_strings(spark, path, ["a", "b", "c", "d"], line_breaks=True).collect()
+    assert sorted((r.a, r.b, r.c, r.d) for r in got) == sorted([(*rows[1], None), (*rows[0], None)])

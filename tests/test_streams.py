@@ -117,3 +117,11 @@ def test_tables_as_one_file_or_a_folder(spark, sf):
     for folder in (sf, path):
         stream = R.stream_table(spark, folder, "events").select("event_id")
         assert R.run_to_files(stream, "copy").distinct().count() == events.count()
+
+
+def test_a_payload_nested_too_deeply_is_a_dead_letter(spark):
+    rows = spark.createDataFrame([(0, 0, "[" * 200_000), (0, 1, "{}")], "partition int, offset long, value string")
+    from riskloom.streaming import sync
+
+    main, dead = sync.dlq_split(rows)
+    assert [r.offset for r in main.collect()] == [1] and [r.offset for r in dead.collect()] == [0]
