@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,12 +100,7 @@ def error_lines(log: Column, words: Sequence[str] = ERROR_WORDS) -> Column:
     """Lines with an error word; else the stack trace without noise lines; else lines that start 'ERROR -'."""
     lines = F.split(log, "\n")
 
-    def marked(line: Column) -> Column:
-        low = F.lower(line)
-        hit = low.contains(words[0])
-        for w in words[1:]:
-            hit = hit | low.contains(w)
-        return hit
+    any_word = "(?iu)" + "|".join(re.escape(w) for w in words)  # one scan per line, whatever the case
 
     def noise(line: Column) -> Column:
         bare = F.trim(line)
@@ -113,7 +109,7 @@ def error_lines(log: Column, words: Sequence[str] = ERROR_WORDS) -> Column:
             hit = hit | bare.startswith(start)
         return hit
 
-    hits = F.filter(lines, marked)
+    hits = F.filter(lines, lambda line: line.rlike(any_word))
     trace_text = F.regexp_extract(log, r"(?is)(Traceback \(most recent call last\):.*)", 1)
     trace = F.when(trace_text != "", F.filter(F.split(trace_text, "\n"), lambda x: ~noise(x)))
     plain = F.filter(lines, lambda x: F.trim(x).startswith("ERROR -"))

@@ -108,7 +108,9 @@ def auc(
     return auc_of_counts(score_counts(df, score, label, by), one_class, by)
 
 
-def confusion_of_counts(counts: DataFrame, threshold: float, inclusive: bool = False, by: Sequence[str] = ()) -> DataFrame:
+def confusion_of_counts(
+    counts: DataFrame, threshold: float | Column, inclusive: bool = False, by: Sequence[str] = (),
+) -> DataFrame:
     hit = flagged(F.col("score"), threshold, inclusive)
 
     def total(c: str, cond: Column) -> Column:

@@ -83,9 +83,13 @@ def broadcast_stats(spark, sf):
 SELECT txn_id, 'pair_model' AS engine, round(pair_score, 6) AS score, CASE WHEN pair_score > 0.55 THEN 'BLOCK' ELSE 'ALLOW' END AS decision FROM ({PAIR_SQL})
 UNION ALL SELECT txn_id, 'hash', {HASH}, CASE WHEN {HASH} > 0.55 THEN 'BLOCK' ELSE 'ALLOW' END FROM txn"""))
 def engine_dispatch(spark, sf):
-    df = V.txn(spark, sf)
-    parts = [get_engine(name)(df).select("txn_id", "engine", r6("score"), "decision") for name in ("pair_model", "no such engine")]
-    return parts[0].unionByName(parts[1])
+    rows, cells = V.txn(spark, sf), []
+    for name in ("pair_model", "no such engine"):  # both engines on one frame, so its rows are computed once
+        names = {c: f"{c}_{len(cells)}" for c in ("engine", "score", "decision")}
+        rows = get_engine(name)(rows).withColumnsRenamed(names)
+        cells.append(F.struct(*[F.col(new).alias(c) for c, new in names.items()]))
+    out = rows.select("txn_id", F.explode(F.array(*cells)).alias("r")).select("txn_id", "r.*")
+    return out.select("txn_id", "engine", r6("score"), "decision")
 
 
 REPLY = "CASE txn_id%4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.25 WHEN 2 THEN 0.5 ELSE 1.0 END"

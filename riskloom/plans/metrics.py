@@ -283,11 +283,12 @@ def variant_comparison(spark, sf):
         for n, w, t in VARIANTS
     ])
     rows = V.txn(spark, sf).select("is_fraud", F.explode(cells).alias("v")).select("is_fraud", "v.*")
-    own = M.with_prf(M.confusion(rows, threshold=F.col("threshold"), by=["variant", "threshold"]))
-    half = M.with_prf(M.confusion(rows, threshold=0.5, by=["variant"])).select(
+    counts = M.score_counts(rows, by=["variant", "threshold"])  # all three results follow from it
+    own = M.with_prf(M.confusion_of_counts(counts, F.col("threshold"), by=["variant", "threshold"]))
+    half = M.with_prf(M.confusion_of_counts(counts, 0.5, by=["variant"])).select(
         "variant", *[F.col(c).alias(f"{c}_at_half") for c in ("precision", "recall", "f1")]
     )
-    out = own.join(half, "variant").join(M.auc(rows, by=["variant"]), "variant")
+    out = own.join(half, "variant").join(M.auc_of_counts(counts, by=["variant"]), "variant")
     return out.select("variant", "threshold", "tp", "fp", "fn", "tn", *[r6(c) for c in (
         "precision", "recall", "f1", "auc_roc", "precision_at_half", "recall_at_half", "f1_at_half")])
 

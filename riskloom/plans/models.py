@@ -27,11 +27,15 @@ X4 = ["x1", "x2", "x3", "x4"]
 X3 = ["x1", "x2", "x3"]
 
 
-def split_txn(spark, sf):
-    """Model inputs of all transactions as a stage table that the passes of a trainer read."""
+def split_once(spark, sf):
+    """Model inputs of all transactions, for a single pass."""
     keys = table(spark, sf, "events").select(F.col("event_id").alias("txn_id"))
-    rows = head_split(V.scaled_txn(spark, sf), "txn_id", keys=keys).select(*X4, "y", "split")
-    return materialize(rows, "training-rows")
+    return head_split(V.scaled_txn(spark, sf), "txn_id", keys=keys).select(*X4, "y", "split")
+
+
+def split_txn(spark, sf):
+    """The same as a stage table that the passes of a trainer read."""
+    return materialize(split_once(spark, sf), "training-rows")
 
 
 def split_infra(spark, sf):
@@ -134,7 +138,7 @@ PAIRS4 = list(combinations(X4, 2))
 @query("pair_moments", with_views("scaled", f""", {HEAD}
 SELECT split, a, b, {', '.join(f'round({c}, 8) AS {c}' for c in MOMENT_COLS)} FROM ({moments_sql('t', PAIRS4)})"""))
 def pair_moments(spark, sf):
-    df = P.pair_moments(split_txn(spark, sf), X4, "y", "split")
+    df = P.pair_moments(split_once(spark, sf), X4, "y", "split")
     return df.select("split", "a", "b", *[F.round(c, 8).alias(c) for c in MOMENT_COLS])
 
 
@@ -142,14 +146,14 @@ def pair_moments(spark, sf):
 SELECT a, b, {', '.join(f'round(c{k}, 5) AS c{k}' for k in range(4))}, round(train_mse, 6) AS train_mse,
   round(sqrt(val_mse), 6) AS rmse FROM ({fit_sql('SELECT * FROM mo')})"""))
 def pair_fit(spark, sf):
-    fits = P.pair_fit(P.pair_moments(split_txn(spark, sf), X4, "y", "split"), "split")
+    fits = P.pair_fit(P.pair_moments(split_once(spark, sf), X4, "y", "split"), "split")
     return fits.select("a", "b", *[F.round(F.get("coeffs", k), 5).alias(f"c{k}") for k in range(4)], r6("train_mse"), r6("rmse"))
 
 
 @query("topk_nodes", with_views("scaled", f""", {HEAD}, mo AS ({moments_sql('t', PAIRS4)})
 SELECT a, b, round(sqrt(val_mse), 6) AS rmse FROM ({fit_sql('SELECT * FROM mo')}) ORDER BY val_mse, a, b LIMIT 2"""))
 def topk_nodes(spark, sf):
-    fits = P.pair_fit(P.pair_moments(split_txn(spark, sf), X4, "y", "split"), "split")
+    fits = P.pair_fit(P.pair_moments(split_once(spark, sf), X4, "y", "split"), "split")
     return P.topk_nodes(fits, 2).select("a", "b", r6("rmse"))
 
 

@@ -19,9 +19,8 @@ def ensure_table(spark: SparkSession, name: str, schema: str = ISSUE_SCHEMA, loc
 
 
 def append_rows(df: DataFrame, name: str) -> None:
-    """Append to a table; a frame without rows writes nothing."""
-    if not df.isEmpty():
-        df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+    """Append to a table; a frame without rows adds none."""
+    df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
 
 
 def outside_retention(
