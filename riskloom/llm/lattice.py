@@ -11,19 +11,18 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.exprs import lower_ascii, text_of, words
-from riskloom.llm.vocab import vocabulary
+from riskloom.llm.exprs import text_of
+from riskloom.llm.shingles import span_hashes, word_hashes, word_spans
+from riskloom.llm.vocab import parts, vocabulary
 from riskloom.session import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
 BLANK = "▁"  # stands for the blank before a word in the vocabulary
-#: Stands for the end of a text among the tokens; no word holds a line feed.
-END = "\n"
 HELD_OUT = 2
 MODULUS = 7
 #: Rounds of expectation and maximisation over the distinct training words.
-ROUNDS = 3
-#: Words with at least this share of all tokens are broadcast; there can be 500,000 of them at most.
+ROUNDS = 2
+#: Words with at least this share of all words go to every task; there can be 500,000 of them at most.
 COMMON_SHARE = 1 / 500_000
 #: Cells (words times bytes) of one matrix.
 CELLS = 400_000
@@ -161,20 +160,32 @@ class Lattice:
         return total
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased words (A to Z), then one end."""
-    return F.array_append(words(lower_ascii(text)), F.lit(END))
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % MODULUS == HELD_OUT, F.lit(False))
 
 
-def token_counts(docs: DataFrame) -> DataFrame:
-    """Every token of all texts with its count (``total``) and that in the texts to learn from (``seen``)."""
-    learn = (~held_out(F.col("doc_id"))).cast("int")
-    split = docs.select(learn.alias("learn"), F.explode(tokens(text_of("text"))).alias("token"))
-    return split.groupBy("token").agg(F.count("*").alias("total"), F.sum("learn").cast("bigint").alias("seen"))
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Every lower-cased word (A to Z) of all texts with its count (``total``) and that in the texts to learn from
+    (``seen``). Tasks count batches of texts first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            learn, start = batch.column(0).to_numpy(zero_copy_only=False).astype(float), 0
+            for part in parts(batch.column(1).to_pylist()):
+                data, starts, ends, counts = word_spans(part)
+                _, first, own, total = np.unique(
+                    span_hashes(data, starts, ends), return_index=True, return_inverse=True, return_counts=True
+                )
+                seen = np.bincount(own, np.repeat(learn[start : start + len(part)], counts), len(total))
+                raw = data.tobytes()
+                found = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(found, pa.binary()).cast(pa.string()), pa.array(total), pa.array(seen.astype(np.int64)),
+                ], ["token", "total", "seen"])
+                start += len(part)
+
+    rows = docs.select((~held_out(F.col("doc_id"))).alias("learn"), text_of("text").alias("text"))
+    counted = rows.mapInArrow(run, "token string, total bigint, seen bigint")
+    return counted.groupBy("token").agg(F.sum("total").alias("total"), F.sum("seen").alias("seen"))
 
 
 def fit_pieces(counts: DataFrame, path: str, rounds: int = ROUNDS) -> Pieces:
@@ -182,7 +193,7 @@ def fit_pieces(counts: DataFrame, path: str, rounds: int = ROUNDS) -> Pieces:
     segmentations. Each word counts once, as the lattice stands for words not seen yet. Only sums per piece (a
     vocabulary's length of them) reach the driver."""
     model = read_pieces(path)
-    training = counts.filter((F.col("seen") > 0) & (F.col("token") != END)).select("token")
+    training = counts.filter("seen > 0").select("token")
     n_words = training.count()
     for _ in range(rounds):
         def run(batches: Iterator[pa.RecordBatch], model: Pieces = model) -> Iterator[pa.RecordBatch]:
@@ -201,19 +212,59 @@ def fit_pieces(counts: DataFrame, path: str, rounds: int = ROUNDS) -> Pieces:
 
 
 def with_word_logs(counts: DataFrame, model: Pieces) -> DataFrame:
-    """``lattice``: log10 of each token's lattice probability; the end of a text is no word and has none."""
+    """``word`` (a 64-bit hash) and ``lattice`` (log10 of the lattice's probability) of each word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model)
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            logs = lattice.log10(texts)
-            logs[[k for k, t in enumerate(texts) if t == END]] = -np.inf
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs)], ["token", "total", "seen", "lattice"])
+            words = word_hashes(texts, lower=False)[0].view(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(words), batch.column(1), batch.column(2), pa.array(lattice.log10(texts)),
+            ], ["word", "total", "seen", "lattice"])
 
-    schema = "token string, total bigint, seen bigint, lattice double"
+    schema = "word bigint, total bigint, seen bigint, lattice double"
     return counts.select("token", "total", "seen").mapInArrow(run, schema)
 
 
+def text_sums(rows: DataFrame, common: np.ndarray, logs: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Of frames (doc_id, row, text): the sums over each row's common words, and its other words with their counts.
+
+    ``common`` holds sorted word hashes, ``logs`` their (known, base, own) in three lines.
+    """
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            start = 0
+            for part in parts(batch.column(2).to_pylist()):
+                words, counts = word_hashes(part)
+                own = np.repeat(np.arange(len(part)), counts)
+                at = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
+                hit = common[at] == words if len(common) else np.zeros(len(words), dtype=bool)
+                yield batch.slice(start, len(part)), words, counts, own, at, hit
+                start += len(part)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, counts, own, at, hit in looked_up(batches):
+            known, base, chosen = (np.bincount(own[hit], line[at[hit]], len(counts)) for line in logs)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(counts.astype(np.int64)), pa.array(known.astype(np.int64)),
+                pa.array(base), pa.array(chosen),
+            ], ["doc_id", "row", "n_words", "known", "base", "own"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, words, _, own, _, hit in looked_up(batches):
+            pairs = np.stack([own[~hit].astype(np.uint64), words[~hit]])
+            pairs, uses = np.unique(pairs, axis=1, return_counts=True) if pairs.size else (pairs, np.zeros(0, np.int64))
+            row = batch.column(1).to_numpy()[pairs[0].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row), pa.array(pairs[1].view(np.int64)), pa.array(uses.astype(np.int64))], ["row", "word", "uses"]
+            )
+
+    return (
+        rows.mapInArrow(sums, "doc_id bigint, row bigint, n_words bigint, known bigint, base double, own double"),
+        rows.mapInArrow(others, "row bigint, word bigint, uses bigint"),
+    )
+
+
 def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -223,18 +274,20 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> Dat
     the vocabulary's scores and are refitted on the training words. A text's probability is the product over its words
     and its end; over all words it sums to one at most, unlike the base score, which grants each unseen word as much.
 
-    Counts cover all texts. Tokens with a large share of the corpus are joined by broadcast, so a bounded number of
-    them; the others meet the counts in a shuffle, summed per text before.
+    Counts cover all texts. Words with a large share of the corpus, a bounded number of them, are looked up in the
+    tasks; the others of a text meet the counts in a shuffle, by 64-bit hashes.
 
     A null text is empty and has only its end. A null doc_id is learnt from. Repeated rows are rows of their own. An
     empty table gives no rows; without any training text only the lattice counts. Other columns are ignored.
     """
     path = path or vocabulary(VOCABULARY)
-    counts = materialize(token_counts(docs), "tokens")
+    counts = materialize(word_counts(docs), "words")
     n, distinct, once, twice, total = counts.agg(
         F.coalesce(F.sum("seen"), F.lit(0)), F.count_if(F.col("seen") > 0), F.count_if(F.col("seen") == 1),
         F.count_if(F.col("seen") == 2), F.coalesce(F.sum("total"), F.lit(0)),
     ).first()
+    ends = docs.filter(~held_out(F.col("doc_id"))).count()
+    n, distinct = n + ends, distinct + (ends > 0)
     model = fit_pieces(counts, path, rounds)
     discount = (once + 1) / (once + 2 * twice + 2)
     unseen = discount * distinct / n if n else 1.0
@@ -244,37 +297,33 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> Dat
     log_likely = F.when((F.col("seen") > 0) | (F.col("lattice") > -290), F.log10(likely)).otherwise(
         F.col("lattice") + float(np.log10(unseen))
     )
-    table = materialize(with_word_logs(counts, model).select(
-        "token", "total", (F.col("seen") > 0).cast("int").alias("known"),
+    logs = materialize(with_word_logs(counts, model).select(
+        "word", "total", (F.col("seen") > 0).cast("int").alias("known"),
         F.log10((F.col("seen") + 1) / F.lit(float(n + distinct + 1))).alias("base"), log_likely.alias("own"),
-    ), "token-logs")
-    common = F.broadcast(table.filter(F.col("total") >= total * COMMON_SHARE).drop("total"))
-
-    rows = docs.select("doc_id", text_of("text").alias("text"))
-    keyed = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row"),
-                        F.explode(tokens(F.col("text"))).alias("token")).join(common, "token", "left")
-
-    def sums(found: DataFrame, weight: Column) -> list[Column]:
-        return [
-            F.sum(weight).alias("n_tokens"), F.sum(weight * F.col("known")).alias("n_known"),
-            F.sum(weight * F.col("base")).alias("base"), F.sum(weight * F.col("own")).alias("own"),
-        ]
-
-    frequent = keyed.filter("base IS NOT NULL").groupBy("doc_id", "row").agg(
-        *sums(keyed, F.lit(1)), F.count_if(F.col("token") == END).alias("copies")
-    )
-    few = keyed.filter("base IS NULL").groupBy("doc_id", "row", "token").agg(F.count("*").alias("uses"))
-    rare = few.join(table.drop("total"), "token").groupBy("doc_id", "row").agg(
-        *sums(few, F.col("uses")), F.sum(F.when(F.col("token") == END, F.col("uses")).otherwise(0)).alias("copies")
-    )
-    scored = frequent.unionByName(rare).groupBy("doc_id", "row").agg(
-        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "own", "copies")]
-    )
-    each = scored.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return each.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"),
-        (F.col("n_tokens") / F.col("copies")).cast("bigint").alias("n_tokens"),
-        (F.col("n_known") / F.col("copies")).cast("bigint").alias("n_known"),
-        F.lit(int(n)).cast("bigint").alias("train_tokens"), (F.col("base") / F.col("copies")).alias("base_score"),
-        (F.col("own") / F.col("copies")).alias("score"),
+    ), "word-logs")
+    frequent = logs.filter(F.col("total") >= total * COMMON_SHARE).orderBy("word").toPandas()  # 500,000 rows at most
+    order = np.argsort(frequent["word"].to_numpy().astype(np.int64).view(np.uint64))
+    common = frequent["word"].to_numpy().astype(np.int64).view(np.uint64)[order]
+    lines = frequent[["known", "base", "own"]].to_numpy().astype(float)[order].T
+    end = (float(ends > 0), float(np.log10((ends + 1) / (n + distinct + 1))), float(np.log10(max(ends - discount, 0.1) / max(n, 1))))
+
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("doc_id", text_of("text")).alias("row"),
+                       text_of("text").alias("text"))
+    summed, rare = text_sums(rows, common, lines)
+    summed = materialize(summed, "text-sums")
+    # rows of equal id and text share a key: their other words are summed over all of them
+    copies = summed.groupBy("row").agg(F.count("*").alias("copies"))
+    more = rare.join(logs.drop("total"), "word").groupBy("row").agg(
+        *[F.sum(F.col("uses") * F.col(c)).alias(f"more_{c}") for c in ("known", "base", "own")]
+    ).join(copies, "row")
+    whole = summed.join(more, "row", "left")
+
+    def added(name: str, at_end: float) -> Column:
+        return F.col(name) + F.coalesce(F.col(f"more_{name}") / F.col("copies"), F.lit(0.0)) + F.lit(at_end)
+
+    return whole.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), (F.col("n_words") + 1).alias("n_tokens"),
+        F.round(added("known", end[0])).cast("bigint").alias("n_known"),
+        F.lit(int(n)).cast("bigint").alias("train_tokens"), added("base", end[1]).alias("base_score"),
+        added("own", end[2]).alias("score"),
     )

@@ -26,8 +26,8 @@ def powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, text after text, and the number of words of each text.
+def word_spans(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, where their words start and end, and the number of words of each text.
 
     Words are the runs of characters other than blank and tab to carriage return; ``lower`` lowers A to Z first.
     """
@@ -35,19 +35,27 @@ def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.nd
     data = np.frombuffer(b" ".join(coded) + b" ", dtype=np.uint8)
     if lower:
         data = LOWERED[data]
-    inside = ~SPACE_BYTES[data]
-    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+    edge = np.diff((~SPACE_BYTES[data]).astype(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     limits = np.cumsum([len(c) + 1 for c in coded]) if coded else np.zeros(0, dtype=np.int64)
-    counts = np.diff(np.searchsorted(starts, limits), prepend=0)
+    return data, starts, ends, np.diff(np.searchsorted(starts, limits), prepend=0)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans without gaps other than white space between them."""
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64), counts
+        return np.zeros(0, dtype=np.uint64)
     lengths = ends - starts
     begin = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-    cells = (data[inside].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[place]
-    sums = np.add.reduceat(cells, begin)
-    return mix(sums + lengths.astype(np.uint64) * STEP), counts
+    cells = (data[~SPACE_BYTES[data]].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[place]
+    return mix(np.add.reduceat(cells, begin) + lengths.astype(np.uint64) * STEP)
+
+
+def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, text after text, and the number of words of each text."""
+    data, starts, ends, counts = word_spans(texts, lower)
+    return span_hashes(data, starts, ends), counts
 
 
 def shingle_sets(words: np.ndarray, counts: np.ndarray, size: int = 5) -> list[np.ndarray]:

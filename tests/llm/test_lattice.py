@@ -91,7 +91,7 @@ def test_scores(spark):
 
 def test_model_is_normalised_and_prefers_its_language(spark):
     docs = spark.createDataFrame(corpus(), "doc_id long, text string")
-    counts = lattice.token_counts(docs)
+    counts = lattice.word_counts(docs)
     model = lattice.fit_pieces(counts, vocabulary(lattice.VOCABULARY))
     first = np.array([p[:1] == b" " for p in model.pieces])
     assert np.exp(model.logs[first]).sum() == pytest.approx(1) and np.exp(model.logs[~first]).sum() == pytest.approx(1)
