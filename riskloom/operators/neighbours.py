@@ -1,4 +1,4 @@
-"""Exact nearest neighbours by cosine distance, blocked matrix products, and an approximate mode."""
+"""Exact nearest neighbours by cosine distance: lists around pivots, pruned by the triangle inequality, in blocks."""
 
 from __future__ import annotations
 
@@ -6,21 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.vector import unit
+from riskloom.session import materialize
 
 EMBEDDING_DIM = 32
 
-# Largest query set that is shipped to every task; beyond it both sides are cut into blocks.
-BROADCAST_QUERIES = 4096
 BLOCK_ROWS = 8192
 
-# Number of lists of the approximate index.
-LISTS = 100
+# Most lists of the index: their pivots go to every task.
+MAX_LISTS = 16384
 
 # Distances closer than this many digits count as equal and are ordered by id.
 TIE_DIGITS = 9
@@ -76,41 +72,81 @@ def _rank(candidates: DataFrame, k: int, max_distance: float | None) -> DataFram
     return top if max_distance is None else top.filter(F.col("distance") <= max_distance)
 
 
+def pivots(corpus: DataFrame, lists: int) -> np.ndarray:
+    """The vectors that name the lists: rows of the corpus with the least hashes of their ids."""
+    some = corpus.filter(F.exists("embedding", lambda v: v != 0)).orderBy(F.xxhash64("id"), "id").limit(lists)
+    rows = some.select("embedding").toPandas()  # at most MAX_LISTS vectors
+    return _unit_matrix(rows["embedding"]) if len(rows) else np.zeros((0, 1))
+
+
+def _chords(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Straight-line distances of unit vectors; they obey the triangle inequality, cosine distances do not."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * (x @ centres.T), 0.0))
+
+
 def knn_search(
     queries: DataFrame, corpus: DataFrame, k: int = 5, max_distance: float | None = None, exclude_self: bool = False,
-    broadcast_limit: int = BROADCAST_QUERIES, block_rows: int = BLOCK_ROWS,
+    lists: int | None = None, probes: int = 2, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """k nearest corpus rows per query, both frames with (id, embedding): (query_id, id, distance, rank).
+    """k nearest corpus rows per query, both frames with (id, embedding): (query_id, id, distance, rank). Exact.
 
-    The number of queries is counted first. A small set goes to every task and the corpus is neither
-    shuffled nor copied. Otherwise both sides are hashed by id into blocks of about ``block_rows`` rows, and each
-    pair of blocks is one task. Either way a task emits at most k rows per query, never all pairs.
+    Every corpus row lies in the list of its nearest pivot; there are about half as many lists as the root of the
+    corpus, MAX_LISTS at most. A query first looks into its ``probes`` nearest lists. The k-th distance found there
+    bounds the rest: by the triangle inequality only lists whose pivot is near enough for their radius can hold a nearer
+    row, and only those are searched in a second pass. Crowded lists are cut into blocks on either side, each pair of
+    blocks is one task, and a task emits at most k rows per query.
     """
     queries, corpus = queries.select("id", "embedding"), corpus.select("id", "embedding")
-    n = queries.count()
     id_type = dict(corpus.dtypes)["id"]
     schema = f"query_id {id_type}, id {id_type}, distance double"
-    if n <= broadcast_limit:
-        small = queries.toPandas()  # at most broadcast_limit rows
-        if not len(small):
-            return queries.sparkSession.createDataFrame([], schema + ", rank int")
-        q, q_ids = _unit_matrix(small["embedding"]), small["id"].to_numpy()
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = None
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                found = _candidates(q, q_ids, _unit_matrix(pdf["embedding"]), pdf["id"].to_numpy(), k, exclude_self)
-                both = found if best is None else pd.concat([best, found])
-                both = both.assign(_d=both["distance"].round(TIE_DIGITS)).sort_values(["query_id", "_d", "id"])
-                best = both.groupby("query_id", sort=False).head(k).drop(columns="_d")
-            if best is not None:
-                yield best
+    n = corpus.count()
+    centres = pivots(corpus, lists or min(MAX_LISTS, max(1, round(n**0.5 / 2))))
+    if not len(centres):
+        return queries.sparkSession.createDataFrame([], schema + ", rank int")
+    probes = min(probes, len(centres))
 
-        return _rank(corpus.mapInPandas(scan, schema), k, max_distance)
+    @F.pandas_udf("list int, away double")
+    def placed(x: pd.Series) -> pd.DataFrame:
+        if not len(x):
+            return pd.DataFrame({"list": [], "away": []})
+        d = _chords(np.nan_to_num(_unit_matrix(x)), centres)
+        near = d.argmin(axis=1)
+        return pd.DataFrame({"list": near.astype(np.int32), "away": d[np.arange(len(d)), near]})
+
+    @F.pandas_udf("array<int>")
+    def nearest_lists(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        d = _chords(np.nan_to_num(_unit_matrix(x)), centres)
+        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :probes].astype(np.int32)))
 
-    return _rank(_block_join(queries, corpus, n, corpus.count(), k, exclude_self, block_rows, schema), k, max_distance)
+    left, right = _sides(queries, corpus)
+    right = materialize(right.withColumn("_at", placed("c_embedding")).select("*", "_at.*").drop("_at"), "lists")
+    radius = np.full(len(centres), -np.inf)
+    for row in right.groupBy("list").agg(F.max("away").alias("away")).collect():  # one row per list
+        radius[row["list"]] = row.away
+
+    first = materialize(_search_lists(
+        left.withColumn("list", F.explode(nearest_lists("q_embedding"))), right, k, exclude_self, block_rows, schema
+    ), "nearest")
+    found = _rank(first, k, None).groupBy("query_id").agg(F.max("distance").alias("far"), F.count("*").alias("n"))
+
+    @F.pandas_udf("array<int>")
+    def other_lists(x: pd.Series, far: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        unit = _unit_matrix(x)
+        d = _chords(np.nan_to_num(unit), centres)
+        bound = np.sqrt(2.0 * np.maximum(far.fillna(np.inf).to_numpy(dtype=float), 0.0) + 1e-8) + 1e-6
+        open_ = (d - radius[None, :] <= bound[:, None]) & ~np.isnan(unit).any(axis=1)[:, None]
+        np.put_along_axis(open_, np.argsort(d, axis=1, kind="stable")[:, :probes], False, axis=1)
+        return pd.Series([np.flatnonzero(o).astype(np.int32) for o in open_])
+
+    far = F.when(F.col("n") >= k, F.col("far"))
+    bounded = left.join(found, F.col("q_id") == F.col("query_id"), "left").select("q_id", "q_embedding", far.alias("far"))
+    more = bounded.withColumn("list", F.explode(other_lists("q_embedding", "far"))).drop("far")
+    second = _search_lists(more, right, k, exclude_self, block_rows, schema)
+    return _rank(first.unionByName(second), k, max_distance)
 
 
 def _match(k: int, exclude_self: bool):
@@ -136,20 +172,26 @@ def _sides(queries: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame]
     )
 
 
-def _block_join(queries, corpus, n, m, k, exclude_self, block_rows, schema) -> DataFrame:
-    q_blocks, c_blocks = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
+def _search_lists(left, right, k, exclude_self, block_rows, schema) -> DataFrame:
+    """Candidates of queries (list, q_id, q_embedding) among rows (list, c_id, c_embedding) of the same list."""
+    def blocks_of(df: DataFrame, out: str) -> DataFrame:
+        size = F.ceil(F.count("*") / F.lit(block_rows)).cast("int")
+        return df.groupBy("list").agg(size.alias(out))  # one row per list
 
-    def block(column: str, count: int):
-        return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
+    small = F.broadcast(blocks_of(left, "q_blocks").join(blocks_of(right, "c_blocks"), "list"))
 
-    left, right = _sides(queries, corpus)
-    left = left.withColumn("qb", block("q_id", q_blocks)).withColumn(
-        "cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
-    )
-    right = right.withColumn("cb", block("c_id", c_blocks)).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
-    )
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(_match(k, exclude_self), schema)
+    def own(column: str, blocks: str):
+        return F.pmod(F.xxhash64(column), F.col(blocks)).cast("int")
+
+    def copies(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    left = left.join(small, "list").withColumn("qb", own("q_id", "q_blocks")).withColumn("cb", copies("c_blocks"))
+    right = right.join(small, "list").withColumn("cb", own("c_id", "c_blocks")).withColumn("qb", copies("q_blocks"))
+    keys = ["list", "qb", "cb"]
+    return left.select(*keys, "q_id", "q_embedding").groupBy(*keys).cogroup(
+        right.select(*keys, "c_id", "c_embedding").groupBy(*keys)
+    ).applyInPandas(_match(k, exclude_self), schema)
 
 
 def nearest_pairs(rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -199,65 +241,6 @@ def nearest_pairs(rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> Data
     return both.orderBy(F.round("distance", TIE_DIGITS), "id_a", "id_b").limit(n)
 
 
-def list_centres(corpus: DataFrame, lists: int = LISTS, sample_rows: int = 50_000, seed: int = 42) -> np.ndarray:
-    """Centres of the index lists: k-means on unit vectors of a seeded sample."""
-    vectors = corpus.select(array_to_vector(unit(F.col("embedding"))).alias("v"), F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))).alias("m"))
-    sample = vectors.orderBy("m").limit(sample_rows)
-    model = KMeans(k=lists, featuresCol="v", seed=seed, maxIter=10, distanceMeasure="cosine").fit(sample)
-    return np.array(model.clusterCenters())
-
-
-def ivf_search(
-    queries: DataFrame, corpus: DataFrame, k: int = 5, centres: np.ndarray | None = None, probes: int = 4,
-    exclude_self: bool = False, block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Approximate neighbours: a query looks only into the ``probes`` lists whose centres are nearest.
-
-    Every corpus row lies in the list of its nearest centre. A list with many rows, or one that many queries look
-    into, is cut into blocks of about ``block_rows`` rows on either side; each pair of blocks is one task.
-    Probing all lists gives the exact result.
-    """
-    centres = list_centres(corpus) if centres is None else centres
-    centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
-    probes = min(probes, len(centres))
-
-    def nearest_lists(n: int):
-        @F.pandas_udf("array<int>")
-        def assign(x: pd.Series) -> pd.Series:
-            if not len(x):
-                return pd.Series([], dtype=object)
-            d = np.nan_to_num(_unit_matrix(x)) @ centres.T
-            return pd.Series(list(np.argsort(-d, axis=1, kind="stable")[:, :n].astype(np.int32)))
-
-        return assign
-
-    left, right = _sides(queries, corpus)
-    left = left.withColumn("list", F.explode(nearest_lists(probes)("q_embedding")))
-    right = right.withColumn("list", F.get(nearest_lists(1)("c_embedding"), 0))
-
-    def blocks_of(df: DataFrame, out: str) -> DataFrame:
-        size = F.ceil(F.count("*") / F.lit(block_rows)).cast("int")
-        return df.groupBy("list").agg(size.alias(out))  # one row per list
-
-    sizes = blocks_of(left, "q_blocks").join(blocks_of(right, "c_blocks"), "list")
-    small = F.broadcast(sizes)
-
-    def own(column: str, blocks: str):
-        return F.pmod(F.xxhash64(column), F.col(blocks)).cast("int")
-
-    def copies(blocks: str):
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-    left = left.join(small, "list").withColumn("qb", own("q_id", "q_blocks")).withColumn("cb", copies("c_blocks"))
-    right = right.join(small, "list").withColumn("cb", own("c_id", "c_blocks")).withColumn("qb", copies("q_blocks"))
-    keys = ["list", "qb", "cb"]
-    id_type = dict(corpus.dtypes)["id"]
-    found = left.select(*keys, "q_id", "q_embedding").groupBy(*keys).cogroup(
-        right.select(*keys, "c_id", "c_embedding").groupBy(*keys)
-    ).applyInPandas(_match(k, exclude_self), f"query_id {id_type}, id {id_type}, distance double")
-    return _rank(found, k, None)
-
-
 def explain_verdict(queries: DataFrame, corpus: DataFrame, k: int = 5, exclude_self: bool = False, **options) -> DataFrame:
     """Verdict per query from its k nearest stored cases; corpus: (id, embedding, is_fraud)."""
     flags = corpus.select("id", "is_fraud")

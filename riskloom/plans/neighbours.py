@@ -58,9 +58,9 @@ def knn_search_fraud_only(spark, sf):
 @query("knn_search_blocked", with_views("emb", f"""
 SELECT query_id, id, rank::int AS rank, round(distance, 6) AS distance FROM ({ranked_sql('a.vec_id <> b.vec_id')}) WHERE rank <= 2"""))
 def knn_search_blocked(spark, sf):
-    """The form for query sets that are too large to ship to every task."""
+    """Lists cut into several blocks."""
     rows = cases(spark, sf)
-    near = K.knn_search(rows, rows, 2, exclude_self=True, broadcast_limit=0, block_rows=200)
+    near = K.knn_search(rows, rows, 2, exclude_self=True, lists=2, block_rows=100)
     return near.select("query_id", "id", "rank", r6("distance"))
 
 
@@ -73,21 +73,20 @@ def knn_topk(spark, sf):
     return near.groupBy("query_id").agg(lists.alias("nearest"))
 
 
-@query("knn_search_lists")
+@query("knn_search_lists", with_views("emb", f"""
+SELECT query_id, id, rank::int AS rank, round(distance, 6) AS distance FROM ({ranked_sql()}) WHERE rank <= 5"""))
 def knn_search_lists(spark, sf):
-    """Approximate search in the nearest index lists."""
+    """Many lists, of which a query looks into one first."""
     rows = cases(spark, sf)
-    centres = K.list_centres(rows, lists=16)
-    return K.ivf_search(rows, rows, 5, centres, probes=4).select("query_id", "id", "rank", r6("distance"))
+    return K.knn_search(rows, rows, 5, lists=40, probes=1).select("query_id", "id", "rank", r6("distance"))
 
 
 @query("knn_search_all_lists", with_views("emb", f"""
 SELECT query_id, id, rank::int AS rank, round(distance, 6) AS distance FROM ({ranked_sql('a.vec_id <> b.vec_id')}) WHERE rank <= 2"""))
 def knn_search_all_lists(spark, sf):
-    """Looking into every list gives the exact neighbours."""
+    """All lists in the first pass."""
     rows = cases(spark, sf)
-    centres = K.list_centres(rows, lists=4)
-    near = K.ivf_search(rows, rows, 2, centres, probes=4, exclude_self=True, block_rows=100)
+    near = K.knn_search(rows, rows, 2, exclude_self=True, lists=4, probes=4, block_rows=100)
     return near.select("query_id", "id", "rank", r6("distance"))
 
 
