@@ -222,4 +222,5 @@ def usage_band(peak: Column, limit: Column) -> Column:
 def iso_timestamp(*candidates: Column) -> Column:
     """First non-empty candidate parsed as ISO time in UTC; text that is no time gives null."""
     text = F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates])
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.coalesce(F.try_to_timestamp(zoned), F.try_to_timestamp(text)))

@@ -71,10 +71,9 @@ def log_high_watermark(spark, sf):
 
 
 @query("max_offset_union", with_views("log main_table", """
-SELECT coalesce(max(m), 0) AS max_offset FROM (SELECT max("offset") AS m FROM main_table WHERE json_valid(value)
-  UNION SELECT max("offset") FROM main_table WHERE NOT json_valid(value))"""))
+SELECT coalesce(max("offset"), 0) AS max_offset FROM main_table"""))
 def max_offset_union(spark, sf):
-    return Y.max_offset(*Y.dlq_split(V.synced_rows(spark, sf)))
+    return Y.max_offset(V.synced_rows(spark, sf))
 
 
 @query("union_distinct", with_views("log main_table", """
@@ -98,13 +97,14 @@ SELECT "partition", end_offset, synced, end_offset - synced AS gap, end_offset -
   (SELECT "partition", max("offset")+1 AS end_offset FROM log GROUP BY "partition") JOIN
   (SELECT "partition", count(*) AS synced FROM main_table GROUP BY "partition") USING ("partition")"""))
 def sync_gap(spark, sf):
-    return Y.sync_gap(V.log(spark, sf), *Y.dlq_split(V.synced_rows(spark, sf)))
+    return Y.sync_gap(V.log(spark, sf), V.synced_rows(spark, sf))
 
 
 @query("sync_gap_total", with_views("log main_table", """
-SELECT (SELECT sum(m)::bigint FROM (SELECT max("offset")+1 AS m FROM log GROUP BY "partition")) - count(*) AS gap, true AS lagging FROM main_table"""))
+SELECT (SELECT sum(m)::bigint FROM (SELECT max("offset")+1 AS m FROM log GROUP BY "partition")) - count(*) AS gap,
+  (SELECT sum(m)::bigint FROM (SELECT max("offset")+1 AS m FROM log GROUP BY "partition")) - count(*) >= 5 AS lagging FROM main_table"""))
 def sync_gap_total(spark, sf):
-    return Y.total_gap(Y.sync_gap(V.log(spark, sf), *Y.dlq_split(V.synced_rows(spark, sf))))
+    return Y.total_gap(Y.sync_gap(V.log(spark, sf), V.synced_rows(spark, sf)))
 
 
 @query("insert_ignore", with_views("log main_table", """SELECT "partition", "offset", value FROM log

@@ -489,7 +489,7 @@ def pseudo_embedding(spark, sf):
 def mlp_train(spark, sf):
     """Network on the training rows, judged on the validation rows."""
     rows, n = scaled_wide(spark, sf)
-    model = N.train_mlp(rows.filter("split = 'train'"), "x", "y", (32, 16), n)
+    model = N.train_mlp(rows.filter("split = 'train'"), "x", "y", N.HIDDEN_LAYERS, n)
     scored = N.score_mlp(rows.filter("split = 'val'"), "x", model)
     return M.evaluate(scored, label="y", one_class=0.5).select(
         "tp", "fp", "fn", "tn", r6("precision"), r6("recall"), r6("f1"), r6("auc_roc")

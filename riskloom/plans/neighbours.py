@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from riskloom.functions.vector import cosine_distance as distance
@@ -33,8 +35,8 @@ FROM emb a, (SELECT list(m ORDER BY i) AS c FROM (SELECT i, avg(v) AS m FROM (
 def cosine_distance(spark, sf):
     """Distance of every vector to the mean vector."""
     rows = cases(spark, sf)
-    means = rows.select(F.posexplode("embedding").alias("i", "v")).groupBy("i").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    centre = means.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"])).scalar()
+    mean = vector_to_array(Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>"))))
+    centre = rows.agg(mean.alias("m")).scalar()
     return rows.select(F.col("id").alias("vec_id"), "embedding", centre.alias("c")).select(
         "vec_id", r6("distance", distance(F.col("embedding"), F.col("c")))
     )

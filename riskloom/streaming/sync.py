@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 from collections.abc import Callable
 
 import pandas as pd
@@ -92,17 +94,18 @@ def watermark_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def max_offset(main: DataFrame, dead: DataFrame) -> DataFrame:
-    """Largest offset over both tables, 0 when both are empty."""
-    both = main.agg(F.max("offset").alias("m")).union(dead.agg(F.max("offset").alias("m"))).distinct()
-    return both.agg(F.coalesce(F.max("m"), F.lit(0)).alias("max_offset"))
+def together(tables: tuple[DataFrame, ...], *columns: str) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, [t.select(*columns) for t in tables])
 
 
-def sync_gap(log: DataFrame, main: DataFrame, dead: DataFrame, threshold: int = LAG_THRESHOLD) -> DataFrame:
-    """Missing rows per partition; dead letters count as arrived."""
-    there = main.select("partition").unionByName(dead.select("partition")).groupBy("partition").agg(
-        F.count("*").alias("synced")
-    )
+def max_offset(*tables: DataFrame) -> DataFrame:
+    """Largest offset over the tables that a log is copied into, 0 when all are empty."""
+    return together(tables, "offset").agg(F.coalesce(F.max("offset"), F.lit(0)).alias("max_offset"))
+
+
+def sync_gap(log: DataFrame, *tables: DataFrame, threshold: int = LAG_THRESHOLD) -> DataFrame:
+    """Missing rows per partition; rows of all tables, dead letters too, count as arrived."""
+    there = together(tables, "partition").groupBy("partition").agg(F.count("*").alias("synced"))
     gap = high_watermarks(log).join(there, "partition", "left").withColumn("synced", F.coalesce("synced", F.lit(0)))
     return gap.withColumn("gap", F.col("end_offset") - F.col("synced")).withColumn("lagging", F.col("gap") >= threshold)
 
@@ -125,20 +128,21 @@ def sync_batch(main_path: str, dead_path: str) -> Callable[[DataFrame, int], Non
     """Writer of one micro-batch.
 
     A repeated batch overwrites its own folder. Offsets that earlier batches already wrote are left out; only stored
-    rows from the smallest offset of the batch on are read for that, a filter that reaches the parquet scan.
+    rows from the batch's smallest offset of each partition on are read for that, a filter that reaches the parquet scan.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = checked(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            first = rows.agg(F.min("offset")).first()[0]
-            if first is None:
+            firsts = rows.groupBy("partition").agg(F.min("offset").alias("first")).collect()  # one row per partition
+            if not firsts:
                 return
+            later = functools.reduce(operator.or_, [
+                (F.col("partition") == f.partition) & (F.col("offset") >= f.first) for f in firsts
+            ])
             for path, part in ((main_path, main_rows(rows)), (dead_path, dead_rows(rows))):
-                stored = read_table(spark, path).filter(
-                    (F.col("offset") >= first) & (F.col("batch_id") != batch_id)
-                )
+                stored = read_table(spark, path).filter(later & (F.col("batch_id") != batch_id))
                 new = insert_ignore(stored, part, KEY).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                 new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
         finally:
@@ -163,15 +167,11 @@ def audit(
     """Sync rounds until nothing new was found or no gap is left: (round, rows written, gap, state) per round."""
     spark = bounded_log.sparkSession
     ensure_tables(spark, main_path, dead_path)
-
-    def arrived() -> int:
-        return read_table(spark, main_path).count() + read_table(spark, dead_path).count()
-
     report = []
     for n in range(1, max_rounds + 1):
-        before = arrived()
-        start_sync(open_log(), main_path, dead_path, checkpoint).awaitTermination()
-        written = arrived() - before
+        sync = start_sync(open_log(), main_path, dead_path, checkpoint)
+        sync.awaitTermination()
+        written = sum(p["numInputRows"] for p in sync.recentProgress)
         gaps = sync_gap(bounded_log, read_table(spark, main_path), read_table(spark, dead_path))
         gap = total_gap(gaps).first().gap
         done = written == 0 or gap <= 0
