@@ -33,6 +33,20 @@ def checked_store(rows: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:
     )
 
 
+def put_vectors(store: DataFrame, new: DataFrame, now: str, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """The store (checked rows with created_at) after an insert-or-replace of ``new`` at ``now``.
+
+    A replaced row takes all values of the new one but keeps the time when its id first came. Two new rows of one id are
+    decided by their values, so the result does not depend on the order of the rows.
+    """
+    values = ["embedding", "fraud_score", "is_fraud", "metadata"]
+    arrived = checked_store(new, dim).withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
+    both = store.withColumn("_new", F.lit(0)).unionByName(arrived.withColumn("_new", F.lit(1)))
+    last = F.max_by(F.struct(*values), F.struct("_new", F.xxhash64(*values))).alias("_row")
+    merged = both.groupBy("transaction_id").agg(last, F.min("created_at").alias("created_at"))
+    return merged.select("transaction_id", "_row.*", "created_at")
+
+
 def _unit_matrix(vectors: pd.Series) -> np.ndarray:
     m = np.stack(vectors.to_numpy()).astype(np.float64)
     n = np.linalg.norm(m, axis=1, keepdims=True)

@@ -133,19 +133,20 @@ def stored_and_new(spark, sf):
     k = F.col("vec_id") % 4
     meta = F.to_json(F.struct((F.col("vec_id") % 10).cast("string").alias("label")))
     rows = V.emb(spark, sf).select("transaction_id", "embedding", "fraud_score", "is_fraud", meta.alias("metadata"), "vec_id")
-    old = K.checked_store(rows.filter(k != 0), 64)
-    new = K.checked_store(rows.filter(k < 2).withColumns({
-        "fraud_score": F.lit(1.0) - F.col("fraud_score"), "metadata": F.lit(None).cast("string")}), 64)
+    old = K.checked_store(rows.filter(k != 0), 64).withColumn("created_at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    new = rows.filter(k < 2).withColumns({
+        "fraud_score": F.lit(1.0) - F.col("fraud_score"), "metadata": F.lit(None).cast("string")})
     return old, new
 
 
 @query("embedding_store", with_views("emb", f"""
 SELECT transaction_id, len(embedding)::int AS dim, round(CASE WHEN vec_id%4 < 2 THEN 1 - fraud_score ELSE fraud_score END, 6) AS fraud_score,
-  is_fraud, CASE WHEN vec_id%4 < 2 THEN '{{}}' ELSE {META} END AS metadata FROM emb"""))
+  is_fraud, CASE WHEN vec_id%4 < 2 THEN '{{}}' ELSE {META} END AS metadata,
+  CASE WHEN vec_id%4 = 0 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-01' END AS created_at FROM emb"""))
 def embedding_store(spark, sf):
     old, new = stored_and_new(spark, sf)
-    return upsert_by_key(old, new, "transaction_id", "transaction_id").select(
-        "transaction_id", F.size("embedding").alias("dim"), r6("fraud_score"), "is_fraud", "metadata"
+    return K.put_vectors(old, new, "2024-02-01", 64).select(
+        "transaction_id", F.size("embedding").alias("dim"), r6("fraud_score"), "is_fraud", "metadata", "created_at"
     )
 
 
