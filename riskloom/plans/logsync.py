@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.models import documents as D
+from riskloom.models.engines import get_engine
 from riskloom.operators.behaviour import deviation_from_mean, trailing_count
 from riskloom.operators.joins import insert_ignore, pair_sources
 from riskloom.plans import views as V
-from riskloom.plans.decisions import HEALTH, H_NAMES, model_sql
+from riskloom.plans.decisions import HEALTH, H_NAMES, PAIR_SQL, model_sql
 from riskloom.plans.scalar import r6
 from riskloom.plans.views import with_views
 from riskloom.registry import query
@@ -179,6 +180,17 @@ def stream_score(spark, sf):
     return R.run_to_files(R.score_stream(stream, score), "stream-score")
 
 
+@query("stream_score_pair", with_views("txn", f"""
+SELECT txn_id, round(pair_score, 6) AS score, CASE WHEN pair_score > 0.55 THEN 'BLOCK' ELSE 'ALLOW' END AS decision FROM ({PAIR_SQL})"""))
+def stream_score_pair(spark, sf):
+    """The fraud engine on a stream of feature rows."""
+    path, rows = scratch_dir(spark, "features"), V.txn(spark, sf).select("txn_id", *V.FEATURES)
+    rows.write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    scored = R.score_stream(stream, lambda df: get_engine("pair_model")(df).select("txn_id", r6("score"), "decision"))
+    return R.run_to_files(scored, "stream-score-pair")
+
+
 FLAT = """SELECT '305-'||o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ingestion_ts, '2.1' AS schema_version,
   o_orderkey, o_orderstatus, o_custkey, o_totalprice FROM orders"""
 SHOP = f"""SELECT 'S-'||o_orderkey AS event_id, 'SHOP' AS source_system, ingestion_ts, schema_version, order_id, o_orderstatus AS order_status,
