@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,6 +37,31 @@ class DenseNetwork:
     x_mean: np.ndarray | None = None
     x_std: np.ndarray | None = None
 
+    @staticmethod
+    def from_document(text: str) -> "DenseNetwork":
+        """Network of a published JSON document: weights, biases, bn_* and normalization, the latter two optional."""
+        d = json.loads(text)
+
+        def arrays(key: str) -> list[np.ndarray] | None:
+            return [np.array(x, dtype=float) for x in d[key]] if key in d else None
+
+        scale = {k: np.array(v, dtype=float) for k, v in d.get("normalization", {}).items()}
+        return DenseNetwork(
+            arrays("weights"), [b.ravel() for b in arrays("biases")],
+            *[None if (x := arrays(key)) is None else [v.ravel() for v in x]
+              for key in ("bn_gamma", "bn_beta", "bn_running_mean", "bn_running_var")],
+            scale.get("X_mean"), scale.get("X_std"),
+        )
+
+    def to_document(self) -> str:
+        """The same layout as text."""
+        parts = {"bn_gamma": self.gamma, "bn_beta": self.beta, "bn_running_mean": self.mean, "bn_running_var": self.var}
+        doc = {"weights": [w.tolist() for w in self.weights], "biases": [b.tolist() for b in self.biases]}
+        doc |= {k: [x.tolist() for x in v] for k, v in parts.items() if v is not None}
+        if self.x_mean is not None:
+            doc["normalization"] = {"X_mean": self.x_mean.tolist(), "X_std": self.x_std.tolist()}
+        return json.dumps(doc)
+
     def check_size(self) -> None:
         size = sum(w.nbytes for w in self.weights)
         if size > MAX_WEIGHT_BYTES:

@@ -44,6 +44,18 @@ class WideModel:
         d["nodes"] = [WideNode(**n) for n in d["nodes"]]
         return WideModel(**d)
 
+    def to_published(self) -> dict:
+        """The published layout of such a network."""
+        nodes = [{"feat_i": n.a, "feat_j": n.b, "form_type": n.form, "coeffs": list(n.coeffs), "val_mse": n.val_mse,
+                  "train_mse": n.train_mse} for n in self.nodes]
+        return {"n_features": self.n_features, "layer1_nodes": nodes, "layer2_coeffs": list(self.layer2)}
+
+    @staticmethod
+    def from_published(d: dict) -> "WideModel":
+        nodes = [WideNode(n["feat_i"], n["feat_j"], n["form_type"], n["coeffs"], n.get("val_mse"), n.get("train_mse"))
+                 for n in d["layer1_nodes"]]
+        return WideModel(nodes, d["layer2_coeffs"], n_features=d.get("n_features", 0))
+
     def node_outputs(self, x: np.ndarray) -> np.ndarray:
         out = np.empty((len(x), len(self.nodes)))
         for k, n in enumerate(self.nodes):

@@ -358,6 +358,35 @@ def score_wide_model(spark, sf):
     return W.score_wide(rows, "x", model).select("vec_id", r6("score"))
 
 
+# A small network in the published layout: (feature, feature, form, coefficients) and the second layer.
+STORED_NODES = [(0, 1, 4, [0.1, 0.2, -0.1, 0.05, 0.03, -0.02]), (2, 3, 6, [0.2, -0.1, 0.1, 0.02, 0.01, 0.04, -0.03, 0.02]),
+                (62, 63, 2, [0.3, 0.1, 0.2, -0.05])]
+STORED_LAYER2 = [0.1, 0.5, 0.4, 0.3]
+
+
+def stored_sql() -> str:
+    """The same network written out: powers of embedding cells times coefficients."""
+    def node(a, b, terms):
+        return " + ".join(f"({c!r}e0 * pow(e[{a + 1}], {p}) * pow(e[{b + 1}], {q}))" for c, (p, q) in terms)
+
+    basis = {2: [(0, 0), (1, 0), (0, 1), (1, 1)], 4: [(0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2)],
+             6: [(0, 0), (1, 0), (0, 1), (1, 1), (2, 0), (0, 2), (2, 1), (1, 2)]}
+    parts = [f"{w!r}e0 * ({node(a, b, zip(c, basis[form]))})" for w, (a, b, form, c) in zip(STORED_LAYER2[1:], STORED_NODES)]
+    return f"{STORED_LAYER2[0]!r}e0 + {' + '.join(parts)}"
+
+
+@query("score_wide_document", f"""SELECT vec_id, round(greatest(0.0, least(1.0, y))::double, 6) AS score
+FROM (SELECT vec_id, {stored_sql()} AS y FROM (SELECT vec_id, embedding::double[] AS e FROM embeddings))""")
+def score_wide_document(spark, sf):
+    """A network document in the published layout, written, read back and applied."""
+    path = scratch_dir(spark, "wide-document")
+    model = W.WideModel([W.WideNode(*n) for n in STORED_NODES], STORED_LAYER2, n_features=64)
+    files.write_document(spark, model.to_published(), path)
+    rows = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    scored = W.score_wide(rows, "x", W.WideModel.from_published(files.read_document(spark, path)))
+    return scored.select("vec_id", r6("score"))
+
+
 @query("label_last_col", """SELECT count(*) AS n_rows, 64 AS n_features, 'label' AS target,
   round(avg(CASE WHEN label IN (0,1,2) THEN 1 ELSE 0 END), 6) AS rate, round(avg(embedding[1]::double), 6) AS mean_first,
   round(avg(list_sum(embedding::double[])), 6) AS mean_sum FROM embeddings""")

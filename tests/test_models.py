@@ -197,3 +197,19 @@ def test_pseudo_embedding_is_stable(spark):
     a, b = ([r.e for r in d.orderBy("id").collect()] for d in (df, df.repartition(3)))
     assert a == b and len(a[0]) == 32 and a[0] != a[1]
     assert a[0][:4] == pytest.approx([0.5, 0.2, 1.0, 0.5])
+
+
+def test_network_document_round_trip(spark):
+    rng = np.random.default_rng(2)
+    doc = {
+        "weights": [rng.normal(size=(4, 3)).tolist(), rng.normal(size=(3, 1)).tolist()], "biases": [[[0.1, 0.2, 0.3]], [[0.4]]],
+        "bn_gamma": [[[1.0, 2.0, 0.5]]], "bn_beta": [[[0.0, 0.1, 0.2]]], "bn_running_mean": [[[0.1, 0.0, 0.2]]],
+        "bn_running_var": [[[1.0, 0.5, 2.0]]], "normalization": {"X_mean": [0.0, 1.0, 2.0, 3.0], "X_std": [1.0, 2.0, 1.0, 0.5]},
+    }
+    net = N.DenseNetwork.from_document(json.dumps(doc))
+    x = rng.normal(size=(6, 4))
+    z = (x - np.array([0, 1, 2, 3.0])) / (np.array([1, 2, 1, 0.5]) + N.EPS) @ np.array(doc["weights"][0]) + np.array([0.1, 0.2, 0.3])
+    z = np.array([1, 2, 0.5]) * (z - np.array([0.1, 0, 0.2])) / np.sqrt(np.array([1, 0.5, 2]) + N.EPS) + np.array([0, 0.1, 0.2])
+    y = 1 / (1 + np.exp(-(np.maximum(z, 0) @ np.array(doc["weights"][1]) + 0.4)))
+    assert np.allclose(net.forward(x), y.ravel())
+    assert np.allclose(N.DenseNetwork.from_document(net.to_document()).forward(x), y.ravel())
