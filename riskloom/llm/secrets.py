@@ -135,7 +135,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     text is shuffled.
     """
     known = dictionary(docs)
-    rows = with_features(findings(docs), known)
+    rows = materialize(with_features(findings(docs), known), "candidates")
     forest = fit_forest(weak_label(rows) if labelled is None else labelled)
     if forest is None:
         decided = F.col("value").rlike(ISSUED) & (F.col("named") == 1) & (F.col("assigned") == 1)
