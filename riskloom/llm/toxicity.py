@@ -22,7 +22,7 @@ VOCABULARY = 4096
 MIN_DOCS = 5
 MIN_Z = 4.0
 #: Labelled documents that the models are fitted on: those of the least hashes of their ids.
-TRAINING_DOCS = 20_000
+TRAINING_DOCS = 10_000
 FOLDS = 3
 THRESHOLD = 0.4
 
@@ -94,14 +94,16 @@ def training_rows(
 
 def fit_chain(
     docs: DataFrame, labels: DataFrame, categories=CATEGORIES, limit: int = TRAINING_DOCS,
-) -> Chain:
+) -> Chain | None:
     """Fit one linear model per category. Each is given the probabilities of the categories before it, which come
     from models fitted without the row's own fold; the models that are kept are fitted on all folds.
 
     The rows to fit on are bounded and written to the shared folder once. A category of which only one value occurs
-    gets a model that always answers that value.
+    gets a model that always answers that value. Without any labelled document there is no chain.
     """
     split = materialize(training_rows(docs, labels, categories, limit), "toxicity")
+    if split.isEmpty():
+        return None
     vocabulary = telling_words(split, categories)
     rows = materialize(with_words(split, vocabulary), "toxicity")
     models, earlier = [], []
@@ -140,6 +142,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
 
 def detect(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Fit a chain on the labelled documents and score all. Without any usable label nothing is toxic."""
-    if labels.filter("toxic IS NOT NULL AND quality IS NOT NULL").join(docs.select("doc_id"), "doc_id").isEmpty():
+    chain = fit_chain(docs, labels)
+    if chain is None:
         return docs.withColumns({**{f"p_{c}": F.lit(0.0) for c, _ in CATEGORIES}, "is_toxic": F.lit(False)})
-    return score(docs, fit_chain(docs, labels), threshold)
+    return score(docs, chain, threshold)
