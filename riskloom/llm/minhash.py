@@ -79,14 +79,14 @@ def signatures(docs: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, hashes binary")
 
 
-def keys_of(signed: DataFrame) -> DataFrame:
-    """(key, doc_id), COLLECTION ** 2 rows per document."""
+def keys_of(signed: DataFrame, tables: slice = slice(None)) -> DataFrame:
+    """(key, doc_id), a row per document and table: COLLECTION ** 2 of them, or the chosen ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
                 hashes = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint32)
-                keys = table_keys(hashes.reshape(part.num_rows, -1))
+                keys = np.ascontiguousarray(table_keys(hashes.reshape(part.num_rows, -1))[:, tables])
                 ids = np.repeat(part.column(0).to_numpy(), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], ["key", "doc_id"])
 
@@ -109,27 +109,30 @@ def edge_batches(ids: list[np.ndarray], tops: list[np.ndarray]) -> list[pa.Recor
 
 
 def bucket_edges(buckets: DataFrame) -> DataFrame:
-    """In each bucket (key, bi, bj): documents whose minhashes agree, as edges to one of them; never all pairs."""
+    """In each bucket (key, bi, bj): documents whose minhashes agree, as edges between the groups that they are in so
+    far; never all pairs, and none inside a group."""
     def work(table: pa.Table) -> list[pa.RecordBatch]:
         ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
         bi, bj = table.column("bi").to_numpy(), table.column("bj").to_numpy()
         hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), dtype=np.uint32)
-        hashes = hashes.reshape(len(ids), -1).astype(np.uint16)
+        hashes, group = hashes.reshape(len(ids), -1).astype(np.uint16), table.column("grp").to_numpy()
         starts = starts_of(table, 3)
         found, tops = [], []
         for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+            if (group[s:e] == group[s]).all():
+                continue
             if e - s == 2 and bi[s] == bj[s]:
                 if (hashes[s] == hashes[s + 1]).sum() >= AGREE:
-                    found.append(ids[s : s + 1])
-                    tops.append(ids[s + 1 : s + 2])
-            elif e - s > 1:
+                    found.append(group[s : s + 1])
+                    tops.append(group[s + 1 : s + 2])
+            else:
                 label = local_components(across(agreeing(hashes[s:e]), own[s:e], bi[s], bj[s]))
-                moved = np.flatnonzero(label != np.arange(e - s))
-                found.append(ids[s:e][moved])
-                tops.append(ids[s:e][label[moved]])
+                moved = np.flatnonzero(group[s:e] != group[s:e][label])
+                found.append(group[s:e][moved])
+                tops.append(group[s:e][label[moved]])
         return edge_batches(found, tops)
 
-    chosen = buckets.select("key", "bi", "bj", "own", "doc_id", "hashes")
+    chosen = buckets.select("key", "bi", "bj", "own", "doc_id", "grp", "hashes")
     dealt = chosen.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
     return dealt.mapInArrow(lambda batches: by_group(batches, 3, work), "a bigint, b bigint").distinct()
 
@@ -190,7 +193,8 @@ def deduplicate(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     1. One pass over the texts gives each row's set size, fingerprint and minhashes. Rows with equal sets form a class;
        only its smallest doc_id goes on, so exact copies cost one row each.
     2. Every pair of one small key from each of two collections of minhashes is a table key. Keys held by one document
-       are dropped; in the buckets of the others documents whose minhashes agree are tied to one of them. Large buckets
+       are dropped; in the buckets of the others documents whose minhashes agree are tied to one of them: first in the
+       tables that share no small key, then in all, where only ties between different groups are left. Large buckets
        are cut into pairs of blocks.
     3. The components of these ties are the groups in which links are confirmed on full sets, again in blocks.
     4. The components of the confirmed links are the result.
@@ -209,11 +213,18 @@ def deduplicate(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     )
     classes = materialize(classes, "classes")
     heads = classes.select(F.col("class_id").alias("doc_id"), "hashes")
-    keys = keys_of(heads)
-    shared = keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
-    placed = keys.join(shared, "key").join(heads, "doc_id")
-    ties = bucket_edges(block_pairs(placed, ["key"], "held", "doc_id", BLOCK))
-    grouped = components(ties).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
+    grouped = None
+    for tables in (slice(0, None, COLLECTION + 1), slice(None)):  # first those that share no small key, then all
+        keys = keys_of(heads, tables)
+        shared = keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
+        known = heads.withColumn("grp", F.col("doc_id"))
+        if grouped is not None:
+            known = heads.join(grouped, "doc_id", "left").withColumn("grp", F.coalesce("grp", "doc_id"))
+        placed = keys.join(shared, "key").join(known, "doc_id")
+        ties = bucket_edges(block_pairs(placed, ["key"], "held", "doc_id", BLOCK))
+        if grouped is not None:
+            ties = ties.unionByName(grouped.select(F.col("doc_id").alias("a"), F.col("grp").alias("b")))
+        grouped = components(ties).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
     sizes = grouped.groupBy("grp").agg(F.count("*").alias("size"))
     members = grouped.join(sizes, "grp").join(heads, "doc_id").select("doc_id", "grp", "size", "hashes")
     with_text = members.join(texts.filter("doc_id IS NOT NULL"), "doc_id")
