@@ -11,17 +11,28 @@ from pyspark.sql import functions as F
 from riskloom.llm.exprs import let, lower_ascii, text_of, words
 from riskloom.session import materialize
 
-#: A run of 16 key characters with a digit in it, or a quoted value of 8 characters after an equals sign or colon.
+KEY_SIGNS = r"A-Za-z0-9+/_\-"
+#: Keys that their prefix gives away.
+PREFIXED = r"(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_\w{36,}|sk_live_\w{16,}|xox[abp]-[\w\-]{10,})"
+HEXADECIMAL = r"(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})"
+#: Forms of issued keys: plain hexadecimal of usual lengths, and prefixes.
+ISSUED = rf"^(?:{HEXADECIMAL}|{PREFIXED})$"
+NAME = r"(?i:api|auth|credential|key|passphrase|passwd|password|pwd|secret|token)[\w\-]{0,16}\W{0,6}"
+#: In this order: an issued form; a value of 8 characters behind a telling name and an equals sign or colon, up to white
+#: space, the next assignment or an issued form; a run of 16 key characters with a digit in it; a quoted value of 8
+#: characters after an equals sign or colon. Long repetitions are possessive: Java keeps no stack for them.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{0,64}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
+    rf"(?<![A-Za-z0-9]){PREFIXED}"
+    rf"|(?<![{KEY_SIGNS}]){HEXADECIMAL}(?![{KEY_SIGNS}=])"
+    rf"""|(?<=[=:\s])(?<=[=:]\s{{0,4}})(?<={NAME})(?!["'])"""
+    rf"""(?:(?!(?<![A-Za-z0-9]){PREFIXED}|[,;&]["']?[\w\-]{{1,64}}["']?\s{{0,4}}[=:])\S){{8,}}+"""
+    rf"|(?:(?<![{KEY_SIGNS}])|\G)(?=[A-Za-z+/_\-]*+[0-9])(?:[A-Za-z0-9]|[+/_\-](?!{PREFIXED})){{16,}}+={{0,2}}"
     r"""|(?<=[=:] {0,2}["'])[^\s"']{8,}(?=["'])"""
 )
 #: Neighbourhood of a candidate, in characters on each side; names stand in the last words before it.
 CONTEXT = 64
-NAMES = r"(?i)(api|auth|credential|key|passphrase|passwd|password|pwd|secret|token)[A-Za-z_]{0,16}\W{0,6}$"
+NAMES = f"{NAME}$"
 ASSIGNED = r"""[=:]\s{0,4}["']?$"""
-#: Forms of issued keys: plain hexadecimal of usual lengths, and prefixes.
-ISSUED = r"^(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{64}|AKIA[0-9A-Z]{16}|gh[pousr]_\w{36,}|sk_live_\w{16,}|xox[abp]-[\w\-]{10,})$"
 #: The dictionary: the most frequent words of four letters at least in all texts.
 DICTIONARY_WORDS = 1000
 #: Labelled findings that the forest is fitted on: those of the least hashes.
