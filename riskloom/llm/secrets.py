@@ -45,6 +45,7 @@ PLACES = 64
 FEATURES = [
     "length", "class_changes", "digit_share", "upper_share", "distinct_share", "hexadecimal", "dictionary_share",
     "slashes", "place", "named", "assigned", "quoted", "word_before_known",
+    "issued",
 ]
 
 
@@ -90,7 +91,7 @@ def with_features(found: DataFrame, known: list[str]) -> DataFrame:
     flags = {
         "hexadecimal": value.rlike("^[0-9a-fA-F]+$"), "named": F.col("before").rlike(NAMES),
         "assigned": F.col("before").rlike(ASSIGNED), "quoted": F.col("after").rlike("""^["']"""),
-        "word_before_known": last.isin(known),
+        "word_before_known": last.isin(known), "issued": value.rlike(PREFIXED),
     }
     return found.withColumns({
         "length": length, "class_changes": F.regexp_count(value, F.lit("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+")) - 1,
@@ -102,14 +103,20 @@ def with_features(found: DataFrame, known: list[str]) -> DataFrame:
     })
 
 
+def certain() -> Column:
+    """Prefixed keys wherever they stand, and other issued forms assigned to a telling name."""
+    return F.col("value").rlike(f"^{PREFIXED}$") | (
+        F.col("value").rlike(ISSUED) & (F.col("named") == 1) & (F.col("assigned") == 1)
+    )
+
+
 def weak_label(rows: DataFrame) -> DataFrame:
-    """``is_secret`` of findings that need no judgement: 1.0 for issued forms assigned to a telling name; 0.0 for bare
-    numbers, dictionary text and unassigned values of few different characters. Others are left out."""
-    real = F.col("value").rlike(ISSUED) & (F.col("named") == 1) & (F.col("assigned") == 1)
+    """``is_secret`` of findings that need no judgement: 1.0 for what is ``certain``; 0.0 for bare numbers, dictionary
+    text and unassigned values of few different characters. Others are left out."""
     false = (F.col("digit_share") == 1) | (F.col("dictionary_share") > 0.5) | (
         (F.col("assigned") == 0) & ((F.col("distinct_share") < 0.2) | (F.col("slashes") > 2))
     )
-    return rows.withColumn("is_secret", F.when(real, 1.0).when(false, 0.0)).filter("is_secret IS NOT NULL")
+    return rows.withColumn("is_secret", F.when(certain(), 1.0).when(false, 0.0)).filter("is_secret IS NOT NULL")
 
 
 def assembled(rows: DataFrame) -> DataFrame:
@@ -139,7 +146,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     Candidates come from the whole text by pattern. A random forest on the value's length, character classes and
     dictionary words, on the document's source and on the words around it gives the probability that it is a secret.
     The forest is fitted on ``labelled`` findings, by default on those candidates of the same documents that a strict
-    rule decides; if these are all of one kind, only what the rule calls a secret is one.
+    rule decides; if these are all of one kind, only what the rule calls a secret is one. By default keys of an
+    unmistakable prefix are secrets whatever the forest says.
 
     ``start`` counts code points from 0. Null and empty texts have no candidates; null doc_ids are kept; repeated rows
     repeat their findings. Documents without a column ``source`` share one place. Other columns are ignored, and no
@@ -149,10 +157,13 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     rows = materialize(with_features(findings(docs), known), "candidates")
     forest = fit_forest(weak_label(rows) if labelled is None else labelled)
     if forest is None:
-        decided = F.col("value").rlike(ISSUED) & (F.col("named") == 1) & (F.col("assigned") == 1)
-        scored = rows.withColumn("probability", decided.cast("double"))
+        scored = rows.withColumn("probability", certain().cast("double"))
     else:
         scored = forest.transform(assembled(rows)).withColumn("probability", vector_to_array("_probability")[1])
+    if labelled is None:  # a few prefixed keys among many other labels do not move a forest
+        scored = scored.withColumn(
+            "probability", F.when(F.col("value").rlike(f"^{PREFIXED}$"), 1.0).otherwise(F.col("probability"))
+        )
     return scored.select(
         "doc_id", "start", F.col("length").cast("bigint").alias("length"), "value", "probability",
         (F.col("probability") >= threshold).alias("is_secret"),
