@@ -173,21 +173,22 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
 def redact(docs: DataFrame, found: DataFrame, mask: str = MASK) -> DataFrame:
     """The rows of ``docs`` with every secret of the document replaced in ``text``; n_chars follows where it exists.
 
-    Only texts that hold a candidate are joined with the findings; all others pass as they are.
+    Only texts that hold a candidate are joined with the findings; all others pass as they are. Documents without an id
+    share their findings, so each loses the secrets of all of them.
     """
     columns = docs.columns
     values = found.filter("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(
         F.array_sort(F.collect_set("value"), lambda a, b: F.char_length(b) - F.char_length(a)).alias("_values")
     )
     candidate = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    joined = docs.filter(candidate).join(values, F.col("doc_id") == F.col("_id"), "left")
+    joined = docs.filter(candidate).join(values, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     hidden = F.aggregate(
         F.coalesce("_values", F.array().cast("array<string>")), F.col("text"),
         lambda text, value: F.replace(text, value, F.lit(mask)),
     )
     changed = {"text": hidden}
     if "n_chars" in columns:
-        changed["n_chars"] = F.when(F.col("_id").isNotNull(), F.char_length(hidden)).otherwise(F.col("n_chars")).cast(
+        changed["n_chars"] = F.when(F.col("_values").isNotNull(), F.char_length(hidden)).otherwise(F.col("n_chars")).cast(
             docs.schema["n_chars"].dataType
         )
     return docs.filter(~candidate).unionByName(joined.withColumns(changed).select(*columns))
