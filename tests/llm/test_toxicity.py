@@ -51,3 +51,13 @@ def test_without_labels_or_rows(spark, corpus):
     assert toxicity.detect(docs.limit(0), frame).count() == 0
     one_kind = spark.createDataFrame([(k, 1, 0) for k in range(5)], "doc_id long, quality int, toxic int")
     assert not any(r.is_toxic for r in toxicity.detect(docs, one_kind).collect())
+
+
+def test_repetition_of_one_word_tells(spark):
+    texts = [(k, f"quiet {k % 7} words and more" + " clown" * (3 if k % 4 == 0 else k % 2)) for k in range(240)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(160)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.is_toxic for r in toxicity.detect(docs, labels).collect()}
+    assert all(got[k] == (k % 4 == 0) for k in range(160, 240))
+    terms = docs.filter("doc_id = 4").select(toxicity.terms(docs.text).alias("t")).first().t
+    assert {"clown", "clown 2", "clown 3"} <= set(terms) and "quiet 2" not in terms and len(set(terms)) == len(terms)
