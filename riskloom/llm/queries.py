@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, e8, lattice, minhash, packing, quality, secrets, toxicity, urls
+from riskloom.llm import (
+    audit, bitplanes, bpe, chat, e8, lattice, minhash, occurrences, packing, quality, secrets, toxicity, urls,
+)
 from riskloom.registry import query
 from riskloom.sources.tables import table
 
@@ -140,3 +142,71 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, compone
 @query("op10_e8_lattice", VECTOR_SQL)
 def op10_e8_lattice(spark, sf):
     return e8.deduplicate(table(spark, sf, "embeddings"))
+
+
+def centroid_sql(rounds: int) -> str:
+    """Rounds of assignment and means, one after the other."""
+    apart = "list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    parts = ["""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding,
+    lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, e FROM v
+    ORDER BY sha256('1:' || vec_id) LIMIT 16)"""]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS MATERIALIZED (SELECT v.row, v.vec_id, v.e, min(struct_pack(distance := {apart}, cluster := c.cluster)) AS near
+    FROM v CROSS JOIN c{k} c GROUP BY ALL)""")
+        if k < rounds:
+            parts.append(f"""m{k} AS (SELECT near.cluster AS cluster, i, sum(e[i])::BIGINT AS s, count(*) AS n
+    FROM a{k} CROSS JOIN range(1, 65) r(i) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(moved, c.e) AS e FROM c{k} c LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM m{k} GROUP BY cluster) USING (cluster))""")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, cluster::INT AS cluster, near.distance AS distance,
+  sum(near.distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(near.distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.cluster = near.cluster"""
+
+
+@query("op11_bit_plane_centroids", centroid_sql(bitplanes.ROUNDS))
+def op11_bit_plane_centroids(spark, sf):
+    return bitplanes.cluster(table(spark, sf, "embeddings"))
+
+
+@query("op12_pair_occurrence_bpe")
+def op12_pair_occurrence_bpe(spark, sf):
+    coded = occurrences.decode(occurrences.encode(table(spark, sf, "documents")))
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+AUDIT_SQL = r"""
+WITH words AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+flags AS (SELECT doc_id, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM words),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+docs AS (SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+    FROM flags LEFT JOIN known USING (doc_id) GROUP BY ALL),
+f AS (SELECT * FROM (VALUES (1, 'A'), (2, 'B'), (3, 'C'), (4, 'D'), (5, 'E')) AS f(k, name)),
+orders AS (SELECT [a.k, b.k, c.k, d.k, e.k] AS ks, a.name || b.name || c.name || d.name || e.name AS filter_order
+    FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+steps AS (SELECT filter_order, step, ks[step] AS k, ks[1:step - 1] AS earlier FROM orders, range(1, 6) s(step)),
+met AS (SELECT part, filter_order, step, k, good, toxic, n, fails, fails[k] AS own,
+    len(list_filter(earlier, lambda j: fails[j])) > 0 AS gone, len(list_filter(fails, lambda x: x)) AS failed FROM docs, steps),
+counts AS (SELECT part, filter_order, step, k, coalesce(sum(n) FILTER (NOT own AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (own AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (own AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (own AND failed = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (own AND NOT gone AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (own AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost FROM met GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) OVER (PARTITION BY part, k)::BIGINT AS shapley FROM counts"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark, sf):
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
