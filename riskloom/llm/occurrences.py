@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -19,7 +21,10 @@ from riskloom.llm.vocab import parts, vocabulary
 VOCABULARY = "word_bpe_49k.json"
 NEVER = np.int32(2**31 - 1)
 #: A task forgets its chunks' ids when it holds ids of so many chunks or chunks of so many characters.
-KNOWN_CHUNKS, KNOWN_CHARS = 400_000, 20_000_000
+KNOWN_CHUNKS, KNOWN_CHARS = 300_000, 10_000_000
+SPACE = re.compile(r"\s")
+#: Characters of texts that are encoded together.
+BATCH_CHARS = 2_000_000
 #: Chunks that go through the normaliser and splitter in one call.
 TOGETHER = 1000
 
@@ -144,24 +149,38 @@ class ChunkEncoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.vocabulary, self.merges = spec["model"]["vocab"], Merges(spec["model"])
-        self.suffix = spec["model"]["end_of_word_suffix"]
+        ids, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+        self.merges = Merges(spec["model"])
+        # First symbols by code point: of a character inside a piece and of a piece's last one.
+        letters = [c for c in ids if len(c) == 1]
+        self.inner, self.last = (np.full(max(map(ord, letters)) + 1, -1, dtype=np.int32) for _ in range(2))
+        for c in letters:
+            self.inner[ord(c)], self.last[ord(c)] = ids[c], ids[c + suffix]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         library = Tokenizer.from_file(path)
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        # The file's own pattern, for chunks of printable ASCII: there its normaliser only lowers letters, and the bytes
+        # of a piece are its characters. Blanks between the chunks are matched as well.
+        rule = next(r for r in spec["pre_tokenizer"]["pretokenizers"] if r["type"] == "Split")
+        self.ascii_pieces = regex.compile(rule["pattern"]["Regex"] + "| ").findall
         self.known: dict[str, bytes] = {}
+        self.piece_ids: dict[str, bytes] = {}
         self.held = 0
 
+    def ascii_split(self, chunks: list[str]) -> Iterator[list[str]]:
+        """The pieces of each chunk of printable ASCII."""
+        found: list[str] = []
+        for piece in self.ascii_pieces(" ".join(chunks).lower() + " "):
+            if piece == " ":
+                yield found
+                found = []
+            else:
+                found.append(piece)
+
     def pieces(self, chunks: list[str]) -> list[list[str]]:
-        """The pieces of each chunk; many chunks go through the library in one call, with blanks between them."""
+        """The pieces of chunks without white space; many go through the library in one call, with blanks between them."""
         normal = self.normal(" ".join(chunks))
-        if normal.count(" ") != len(chunks) - 1:
-            # Some chunk holds other white space.
-            if len(chunks) == 1:
-                return [[piece for piece, _ in self.split(normal)]]
-            middle = len(chunks) // 2
-            return self.pieces(chunks[:middle]) + self.pieces(chunks[middle:])
         found: list[list[str]] = [[] for _ in chunks]
         ends = iter(np.cumsum([len(c) + 1 for c in normal.split(" ")]).tolist())
         k, end = 0, next(ends)
@@ -171,23 +190,33 @@ class ChunkEncoder:
             found[k].append(piece)
         return found
 
+    def alone(self, chunk: str) -> list[str]:
+        """The pieces of any chunk."""
+        return [piece for piece, _ in self.split(self.normal(chunk))]
+
     def merged(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of each of these distinct pieces."""
-        ids, symbols = self.vocabulary, []
-        for piece in pieces:
-            symbols.extend(map(ids.__getitem__, piece[:-1]))
-            symbols.append(ids[piece[-1] + self.suffix])
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        return dict(zip(pieces, Occurrences(self.merges, np.array(symbols, dtype=np.int32), sizes).run()))
+        points = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype="<u4")
+        symbols, ends = self.inner[points], np.cumsum(sizes) - 1
+        symbols[ends] = self.last[points[ends]]
+        return dict(zip(pieces, Occurrences(self.merges, symbols, sizes).run()))
 
     def learn(self, chunks: list[str]) -> None:
         """Enter chunks that are not known yet."""
-        odd = [c for c in chunks if self.cut.search(c)]
-        plain = list(set(chunks).difference(odd)) if odd else chunks
-        found = [made for i in range(0, len(plain), TOGETHER) for made in self.pieces(plain[i : i + TOGETHER])]
-        marked = [[part if k % 2 else self.pieces([part])[0] for k, part in enumerate(self.cut.split(c))] for c in odd]
+        odd = [c for c in chunks if "|" in c and self.cut.search(c)]
+        marked = [[part if k % 2 else self.alone(part) for k, part in enumerate(self.cut.split(c))] for c in odd]
+        rest = set(chunks).difference(odd)
+        simple = [c for c in rest if c.isascii() and c.isprintable()]
+        spaced = [c for c in rest.difference(simple) if SPACE.search(c)]
+        other = list(rest.difference(simple, spaced))
+        plain = simple + other + spaced
+        found = list(self.ascii_split(simple)) if simple else []
+        found += [made for i in range(0, len(other), TOGETHER) for made in self.pieces(other[i : i + TOGETHER])]
+        found += map(self.alone, spaced)
         distinct = set().union(*found, *(part for parted in marked for part in parted[::2]))
-        ids = self.merged(list(distinct))
+        ids = self.piece_ids
+        ids.update(self.merged(list(distinct - ids.keys())))
         for chunk, made in zip(plain, found):
             self.known[chunk] = ids[made[0]] if len(made) == 1 else b"".join([ids[p] for p in made])
         for chunk, parted in zip(odd, marked):
@@ -199,7 +228,7 @@ class ChunkEncoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         chunks = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > KNOWN_CHUNKS or self.held > KNOWN_CHARS:
-            self.known, self.held = {}, 0
+            self.known, self.piece_ids, self.held = {}, {}, 0
         fresh = list(set().union(*chunks) - self.known.keys())
         self.held += sum(map(len, fresh))
         self.learn(fresh)
@@ -226,7 +255,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             start = 0
-            for part in parts(texts):
+            for part in parts(texts, BATCH_CHARS):
                 raw = encoder(part)
                 ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
@@ -238,10 +267,28 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 @functools.cache
-def tokens_of(path: str) -> dict[int, str]:
+def tokens_of(path: str) -> pa.Array:
+    """The token of each id, null where the vocabulary has none."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    named = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tokens: list[str | None] = [None] * (max(named.values()) + 1)
+    for token, i in named.items():
+        tokens[i] = token
+    return pa.array(tokens, pa.string())
+
+
+def joined(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The tokens of each list joined by one blank; what stands for no token is left out."""
+    flat = pc.list_flatten(ids)
+    known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens))), False)
+    found = tokens.take(pc.if_else(known, flat, None))
+    kept = pc.is_valid(found)
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    left = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])[ends].astype(np.int32)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(left), found.filter(kept)), " ")
+    return pc.if_else(pc.is_valid(ids), texts, None)
 
 
 def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
@@ -253,17 +300,11 @@ def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = tokens_of(path)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                texts = [
-                    None if ids is None else " ".join([tokens[k] for k in ids if k in tokens])
-                    for ids in part.column(1).to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"]
-                )
+                texts = joined(part.column(1), tokens_of(path))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), texts], ["doc_id", "ids", "decoded"])
 
     chosen = coded.select(F.col("doc_id").cast("bigint"), F.col("ids").cast("array<int>"))
     return chosen.mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
