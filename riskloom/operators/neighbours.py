@@ -1,12 +1,14 @@
-"""Exact nearest neighbours by cosine distance: lists around pivots, pruned by the triangle inequality, in blocks."""
+"""Exact nearest neighbours by cosine distance: a tree of pivots, pruned by the triangle inequality, in blocks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import materialize
@@ -18,8 +20,15 @@ BLOCK_ROWS = 8192
 # Most lists of the index: their pivots go to every task.
 MAX_LISTS = 16384
 
+# Nodes whose lists are looked at for a query's first bound.
+NEAR_NODES = 4
+
+# Queries compared at once.
+QUERY_ROWS = 1024
+
 # Distances closer than this many digits count as equal and are ordered by id.
 TIE_DIGITS = 9
+TIE = 10.0**-TIE_DIGITS
 
 
 def checked_store(rows: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:
@@ -69,23 +78,6 @@ def _best(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return rows[keep], cols[keep]
 
 
-def _candidates(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int, exclude_self: bool):
-    dist = 1.0 - q @ c.T
-    if exclude_self:
-        dist[q_ids[:, None] == c_ids[None, :]] = np.nan
-    with np.errstate(invalid="ignore"):
-        rows, cols = _best(np.where(np.isnan(dist), np.inf, dist), c_ids, k)
-    d = dist[rows, cols]
-    ok = ~np.isnan(d)
-    return pd.DataFrame({"query_id": q_ids[rows][ok], "id": c_ids[cols][ok], "distance": d[ok]})
-
-
-def _rank(candidates: DataFrame, k: int, max_distance: float | None) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.round("distance", TIE_DIGITS), "id")
-    top = candidates.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return top if max_distance is None else top.filter(F.col("distance") <= max_distance)
-
-
 def pivots(corpus: DataFrame, lists: int) -> np.ndarray:
     """The vectors that name the lists: rows of the corpus with the least hashes of their ids."""
     some = corpus.filter(F.exists("embedding", lambda v: v != 0)).orderBy(F.xxhash64("id"), "id").limit(lists)
@@ -98,189 +90,412 @@ def _chords(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (x @ centres.T), 0.0))
 
 
-def knn_search(
-    queries: DataFrame, corpus: DataFrame, k: int = 5, max_distance: float | None = None, exclude_self: bool = False,
-    lists: int | None = None, probes: int = 2, block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """k nearest corpus rows per query, both frames with (id, embedding): (query_id, id, distance, rank). Exact.
+def _widened(bound: np.ndarray) -> np.ndarray:
+    """A bound on chords that keeps what ties with it and what rounding moves beyond it."""
+    return np.sqrt(bound**2 + 10 * TIE) + 1e-6
 
-    Every corpus row lies in the list of its nearest pivot; there are about half as many lists as the root of the
-    corpus, MAX_LISTS at most. A query first looks into its ``probes`` nearest lists. The k-th distance found there
-    bounds the rest: by the triangle inequality only lists whose pivot is near enough for their radius can hold a nearer
-    row, and only those are searched in a second pass. Crowded lists are cut into blocks on either side, each pair of
-    blocks is one task, and a task emits at most k rows per query.
+
+@dataclass
+class PivotTree:
+    """Corpus rows in lists around pivots, and the lists in nodes around the first pivots.
+
+    ``rows`` is a stage table (list, slot, id, embedding, flagged); the arrays are bounded by MAX_LISTS and go to every
+    task. ``near`` holds each list's smallest distances to its pivot, of all and of the flagged rows: with a query's
+    distance to the pivot they bound the query's k-th distance from above before any row is looked at.
     """
-    queries, corpus = queries.select("id", "embedding"), corpus.select("id", "embedding")
-    id_type = dict(corpus.dtypes)["id"]
-    schema = f"query_id {id_type}, id {id_type}, distance double"
-    n = corpus.count()
-    centres = pivots(corpus, lists or min(MAX_LISTS, max(1, round(n**0.5 / 2))))
+
+    rows: DataFrame
+    centres: np.ndarray
+    node_of: np.ndarray
+    nodes: np.ndarray
+    radius: np.ndarray
+    near: np.ndarray
+    flagged_near: np.ndarray
+    first_slot: np.ndarray
+    slots: np.ndarray
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rows": None}  # tasks get the arrays only
+
+    @functools.cached_property
+    def members(self) -> list[np.ndarray]:
+        return [np.flatnonzero(self.node_of == j) for j in range(len(self.nodes))]
+
+    @functools.cached_property
+    def node_radius(self) -> np.ndarray:
+        """How far a row of the node's lists can be from the node's pivot."""
+        out = np.full(len(self.nodes), -np.inf)
+        for j, lists in enumerate(self.members):
+            if len(lists):
+                out[j] = (_chords(self.centres[lists], self.nodes[j: j + 1])[:, 0] + self.radius[lists]).max()
+        return out
+
+    def slotted(self) -> DataFrame:
+        """The rows with their slots; a crowded list's rows are spread over its slots."""
+        known = self.rows.sparkSession.createDataFrame(pd.DataFrame({  # at most MAX_LISTS rows
+            "list": np.arange(len(self.slots), dtype=np.int32), "_first": self.first_slot, "_n": self.slots
+        }), "list int, _first bigint, _n bigint")
+        return self.rows.join(F.broadcast(known), "list").withColumn(
+            "slot", (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_n"))).cast("int")
+        ).drop("_first", "_n")
+
+    def bounds(self, x: np.ndarray, k: int, near: np.ndarray, probes: int) -> np.ndarray:
+        """For each unit vector an upper bound of the chord to its k-th nearest row, from the lists of its ``probes``
+        nearest nodes."""
+        lists = np.isfinite(near[:, 0])
+        open_nodes = np.array([lists[m].any() for m in self.members], dtype=bool)
+        best = np.full((len(x), k), np.inf)
+        if not open_nodes.any():
+            return best[:, -1]
+        far = np.where(open_nodes, _chords(x, self.nodes), np.inf)
+        count = min(probes, int(open_nodes.sum()))
+        chosen = np.argpartition(far, count - 1, axis=1)[:, :count]
+        for j in np.unique(chosen).tolist():
+            at = np.flatnonzero((chosen == j).any(axis=1))
+            own = self.members[j][lists[self.members[j]]]
+            reach = (_chords(x[at], self.centres[own])[:, :, None] + near[None, own]).reshape(len(at), -1)
+            both = np.concatenate([best[at], reach], axis=1)
+            best[at] = np.partition(both, k - 1, axis=1)[:, :k]
+        return best.max(axis=1)
+
+    def open_lists(self, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, list) pairs of the lists that can hold a row within the bound of the vector."""
+        slack = _widened(bound)
+        far = _chords(x, self.nodes)
+        whose, which = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for j in np.flatnonzero((far - self.node_radius <= slack[:, None]).any(axis=0)).tolist():
+            at = np.flatnonzero(far[:, j] - self.node_radius[j] <= slack)
+            own = self.members[j]
+            rows, cols = np.nonzero(_chords(x[at], self.centres[own]) - self.radius[own] <= slack[at, None])
+            whose.append(at[rows])
+            which.append(own[cols])
+        return np.concatenate(whose), np.concatenate(which)
+
+    def open_slots(self, x: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
+        """The slots of each vector's open lists."""
+        whose, which = self.open_lists(x, bound)
+        first, count = self.first_slot[which], self.slots[which]
+        whose = np.repeat(whose, count)
+        slot = np.repeat(first, count) + np.arange(len(whose)) - np.repeat(np.cumsum(count) - count, count)
+        width = int((self.first_slot + self.slots).max())
+        whose, slot = np.divmod(np.unique(whose * width + slot), width)
+        return np.split(slot.astype(np.int32), np.searchsorted(whose, np.arange(1, len(x))))
+
+
+def build_tree(
+    corpus: DataFrame, k: int, flag: str | None = None, lists: int | None = None, block_rows: int = BLOCK_ROWS,
+) -> PivotTree | None:
+    """The tree of a corpus (id, embedding and, if named, a flag column), for searches of up to k rows; None if no row has
+    a direction. Rows without one (null, empty or zero vectors) are near nothing and left out.
+
+    There are about twice as many lists as the root of the corpus, MAX_LISTS at most, and about the root of that many
+    nodes. Rows are dealt to slots of about ``block_rows``: small lists of a node share one, a crowded list has several.
+    """
+    usable = corpus.select(
+        "id", "embedding",
+        (F.coalesce(F.col(flag), F.lit(False)) if flag else F.lit(False)).alias("flagged"),
+    ).filter(F.exists("embedding", lambda v: v != 0))
+    if lists is None:
+        lists = min(MAX_LISTS, max(1, round(2 * usable.count() ** 0.5)))
+    centres = pivots(usable, lists)
     if not len(centres):
-        return queries.sparkSession.createDataFrame([], schema + ", rank int")
-    probes = min(probes, len(centres))
+        return None
+    nodes = centres[: max(1, round(len(centres) ** 0.5))]
+    node_of = _chords(centres, nodes).argmin(axis=1)
+    members = [np.flatnonzero(node_of == j) for j in range(len(nodes))]
 
     @F.pandas_udf("list int, away double")
     def placed(x: pd.Series) -> pd.DataFrame:
+        unit = _unit_matrix(x) if len(x) else np.zeros((0, centres.shape[1]))
+        place, away = np.zeros(len(unit), dtype=np.int32), np.zeros(len(unit))
+        node = _chords(unit, nodes).argmin(axis=1)
+        for j in np.unique(node).tolist():
+            at = np.flatnonzero(node == j)
+            d = _chords(unit[at], centres[members[j]])
+            best = d.argmin(axis=1)
+            place[at], away[at] = members[j][best], d[np.arange(len(at)), best]
+        return pd.DataFrame({"list": place, "away": away})
+
+    table = materialize(usable.withColumn("_at", placed("embedding")).select("id", "embedding", "flagged", "_at.*"), "lists")
+
+    def smallest(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each task's counts, radii and k + 1 smallest distances per list."""
+        for pdf in pdfs:
+            for (place, flagged), part in pdf.groupby(["list", "flagged"]):
+                away = part["away"].to_numpy()
+                yield pd.DataFrame({
+                    "list": [place], "flagged": [flagged], "n": [len(away)], "away": [away.max()],
+                    "near": [np.sort(np.partition(away, k)[: k + 1] if len(away) > k + 1 else away)],
+                })
+
+    stats = table.select("list", "flagged", "away").mapInPandas(
+        smallest, "list int, flagged boolean, n bigint, away double, near array<double>"
+    ).groupBy("list", "flagged").agg(
+        F.sum("n").alias("n"), F.max("away").alias("away"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"),
+    ).collect()  # at most two rows per list
+    n, radius = np.zeros(len(centres), dtype=np.int64), np.full(len(centres), -np.inf)
+    near = {f: np.full((len(centres), k + 1), np.inf) for f in (False, True)}
+    for row in stats:
+        n[row["list"]] += row.n
+        radius[row["list"]] = max(radius[row["list"]], row.away)
+        near[row.flagged][row["list"], : len(row.near)] = row.near
+    every = np.sort(np.concatenate([near[False], near[True]], axis=1), axis=1)[:, : k + 1]
+    first_slot, slots = slots_of(n, node_of, block_rows)
+    return PivotTree(table, centres, node_of, nodes, radius, every, near[True], first_slot, slots)
+
+
+def slots_of(sizes: np.ndarray, node_of: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First slot and number of slots of each list: neighbours in a node share a slot up to ``block_rows``."""
+    first, count = np.zeros(len(sizes), dtype=np.int64), np.ones(len(sizes), dtype=np.int64)
+    slot, held, node = -1, 0, -1
+    for at in np.argsort(node_of, kind="stable").tolist():
+        own = max(1, -(-int(sizes[at]) // block_rows))
+        if slot < 0 or own > 1 or held + sizes[at] > block_rows or (node_of[at] != node and held > block_rows // 2):
+            slot, held = slot + 1, 0
+        first[at], count[at] = slot, own
+        slot, held, node = slot + own - 1, held + int(sizes[at]) if own == 1 else block_rows, int(node_of[at])
+    return first, count
+
+
+def visits(tree: PivotTree, queries: DataFrame, bounds: Callable) -> DataFrame:
+    """A stage table with one row per query and open slot: q_id, q_embedding, bound and slot.
+
+    ``bounds`` gives the bound of each unit vector; queries without a direction visit nothing.
+    """
+    @F.pandas_udf("bound double, slots array<int>")
+    def opened(x: pd.Series) -> pd.DataFrame:
         if not len(x):
-            return pd.DataFrame({"list": [], "away": []})
-        d = _chords(np.nan_to_num(_unit_matrix(x)), centres)
-        near = d.argmin(axis=1)
-        return pd.DataFrame({"list": near.astype(np.int32), "away": d[np.arange(len(d)), near]})
-
-    @F.pandas_udf("array<int>")
-    def nearest_lists(x: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype=object)
-        d = _chords(np.nan_to_num(_unit_matrix(x)), centres)
-        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :probes].astype(np.int32)))
-
-    left, right = _sides(queries, corpus)
-    right = materialize(right.withColumn("_at", placed("c_embedding")).select("*", "_at.*").drop("_at"), "lists")
-    radius = np.full(len(centres), -np.inf)
-    for row in right.groupBy("list").agg(F.max("away").alias("away")).collect():  # one row per list
-        radius[row["list"]] = row.away
-
-    first = materialize(_search_lists(
-        left.withColumn("list", F.explode(nearest_lists("q_embedding"))), right, k, exclude_self, block_rows, schema
-    ), "nearest")
-    found = _rank(first, k, None).groupBy("query_id").agg(F.max("distance").alias("far"), F.count("*").alias("n"))
-
-    @F.pandas_udf("array<int>")
-    def other_lists(x: pd.Series, far: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype=object)
+            return pd.DataFrame({"bound": [], "slots": []})
         unit = _unit_matrix(x)
-        d = _chords(np.nan_to_num(unit), centres)
-        bound = np.sqrt(2.0 * np.maximum(far.fillna(np.inf).to_numpy(dtype=float), 0.0) + 1e-8) + 1e-6
-        open_ = (d - radius[None, :] <= bound[:, None]) & ~np.isnan(unit).any(axis=1)[:, None]
-        np.put_along_axis(open_, np.argsort(d, axis=1, kind="stable")[:, :probes], False, axis=1)
-        return pd.Series([np.flatnonzero(o).astype(np.int32) for o in open_])
+        bound = bounds(unit)
+        return pd.DataFrame({"bound": bound, "slots": tree.open_slots(unit, bound)})
 
-    far = F.when(F.col("n") >= k, F.col("far"))
-    bounded = left.join(found, F.col("q_id") == F.col("query_id"), "left").select("q_id", "q_embedding", far.alias("far"))
-    more = bounded.withColumn("list", F.explode(other_lists("q_embedding", "far"))).drop("far")
-    second = _search_lists(more, right, k, exclude_self, block_rows, schema)
-    return _rank(first.unionByName(second), k, max_distance)
+    usable = queries.select(F.col("id").alias("q_id"), F.col("embedding").alias("q_embedding")).filter(
+        F.exists("q_embedding", lambda v: v != 0)
+    )
+    return materialize(usable.withColumn("_v", opened("q_embedding")).select(
+        "*", F.col("_v.bound").alias("bound"), F.explode("_v.slots").alias("slot")
+    ).drop("_v"), "visits")
 
 
-def _match(k: int, exclude_self: bool):
-    """Task function of one block pair: the k best corpus rows per query of the block."""
+def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str, block_rows: int) -> DataFrame:
+    """``match`` on each pair of a slot's rows and a block of the queries that visit it.
 
-    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(a) and len(b):
-            c, c_ids = _unit_matrix(b["c_embedding"]), b["c_id"].to_numpy()
-            q, q_ids = _unit_matrix(a["q_embedding"]), a["q_id"].to_numpy()
-            parts = [
-                _candidates(q[s:s + 1024], q_ids[s:s + 1024], c, c_ids, k, exclude_self) for s in range(0, len(q), 1024)
-            ]
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "id": [], "distance": []})
-
-    return match
-
-
-def _sides(queries: DataFrame, corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (
-        queries.select(F.col("id").alias("q_id"), F.col("embedding").alias("q_embedding")),
-        corpus.select(F.col("id").alias("c_id"), F.col("embedding").alias("c_embedding")),
+    Both sides of a slot are bounded: its rows by construction, its queries by hashing them to as many blocks as their
+    number asks for; only then are the slot's rows copied, once per block.
+    """
+    blocks = F.broadcast(left.groupBy("slot").agg(  # one row per slot
+        F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks")
+    ))
+    rows = tree.slotted().join(blocks, "slot").select(
+        "slot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("id").alias("c_id"), F.col("embedding").alias("c_embedding"), "flagged", "list",
     )
+    dealt = left.join(blocks, "slot").withColumn("block", F.pmod(F.xxhash64("q_id"), F.col("blocks")).cast("int"))
+    return dealt.drop("blocks").groupBy("slot", "block").cogroup(rows.groupBy("slot", "block")).applyInPandas(match, schema)
+
+
+def _within(tree: PivotTree, q: np.ndarray, bound: np.ndarray, c: np.ndarray, lists: np.ndarray) -> Iterator[tuple]:
+    """For each list of a slot, whose rows are sorted by list: the queries that it is open for, where its rows start, and
+    the cosine distances."""
+    which, starts = np.unique(lists, return_index=True)
+    for s in range(0, len(q), QUERY_ROWS):
+        part = q[s: s + QUERY_ROWS]
+        reach = _chords(part, tree.centres[which]) - tree.radius[which]
+        is_open = reach <= _widened(bound[s: s + QUERY_ROWS, None])
+        for n, (start, end) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(lists)])):
+            at = np.flatnonzero(is_open[:, n])
+            if len(at):
+                yield s + at, start, 1.0 - part[at] @ c[start:end].T
+
+
+def _first_of_each(group: np.ndarray, dist: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best of each group, by (rounded distance, tie)."""
+    order = np.lexsort((tie, np.round(dist, TIE_DIGITS), group))
+    ordered = group[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(order) else order
+    nth = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    return order[nth < k]
+
+
+def search(
+    tree: PivotTree, queries: DataFrame, k: int, flagged: bool = False, max_distance: float | None = None,
+    exclude_self: bool = False, block_rows: int = BLOCK_ROWS, probes: int = NEAR_NODES,
+) -> DataFrame:
+    """(query_id, id, distance, flagged): a few candidates per query, among them its k nearest rows and, if asked for,
+    its k nearest flagged rows. One pass over the tree serves both.
+    """
+    def bounds(x: np.ndarray) -> np.ndarray:
+        more = k + exclude_self  # the query itself may be one of the rows behind the bound
+        bound = tree.bounds(x, more, tree.near, probes)
+        if flagged:
+            bound = np.maximum(bound, tree.bounds(x, more, tree.flagged_near, probes))
+        return bound if max_distance is None else np.minimum(bound, max(2.0 * max_distance, 0.0) ** 0.5)
 
+    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"query_id": [], "id": [], "distance": [], "flagged": []})
+        b = b.sort_values("list", kind="stable")
+        q_ids, c_ids, marks = a["q_id"].to_numpy(), b["c_id"].to_numpy(), b["flagged"].to_numpy(dtype=bool)
+        tie = np.unique(c_ids, return_inverse=True)[1]
+        whose, which, far = [], [], []
+        for at, start, dist in _within(
+            tree, _unit_matrix(a["q_embedding"]), a["bound"].to_numpy(), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
+        ):
+            own = slice(start, start + dist.shape[1])
+            if exclude_self:
+                dist[q_ids[at][:, None] == c_ids[None, own]] = np.inf
+            picks = [_best(dist, tie[own], k)]
+            if flagged and marks[own].any():
+                rows, cols = _best(dist[:, marks[own]], tie[own][marks[own]], k)
+                picks.append((rows, np.flatnonzero(marks[own])[cols]))
+            cells = np.unique(np.concatenate([rows * dist.shape[1] + cols for rows, cols in picks]))
+            rows, cols = np.divmod(cells, dist.shape[1])
+            kept = np.isfinite(dist[rows, cols])
+            whose.append(at[rows[kept]])
+            which.append(start + cols[kept])
+            far.append(dist[rows[kept], cols[kept]])
+        if not whose:
+            return pd.DataFrame({"query_id": [], "id": [], "distance": [], "flagged": []})
+        whose, which, far = np.concatenate(whose), np.concatenate(which), np.concatenate(far)
+        best = _first_of_each(whose, far, tie[which], k)
+        if flagged:
+            bad = np.flatnonzero(marks[which])
+            best = np.union1d(best, bad[_first_of_each(whose[bad], far[bad], tie[which[bad]], k)])
+        return pd.DataFrame({
+            "query_id": q_ids[whose[best]], "id": c_ids[which[best]], "distance": far[best], "flagged": marks[which[best]]
+        })
+
+    schema = f"query_id {dict(queries.dtypes)['id']}, id {dict(tree.rows.dtypes)['id']}, distance double, flagged boolean"
+    return meet(tree, visits(tree, queries, bounds), match, schema, block_rows)
+
+
+def _ranked(candidates: DataFrame, *also: str) -> Column:
+    return F.row_number().over(Window.partitionBy("query_id", *also).orderBy(F.round("distance", TIE_DIGITS), "id"))
 
-def _search_lists(left, right, k, exclude_self, block_rows, schema) -> DataFrame:
-    """Candidates of queries (list, q_id, q_embedding) among rows (list, c_id, c_embedding) of the same list."""
-    def blocks_of(df: DataFrame, out: str) -> DataFrame:
-        size = F.ceil(F.count("*") / F.lit(block_rows)).cast("int")
-        return df.groupBy("list").agg(size.alias(out))  # one row per list
 
-    small = F.broadcast(blocks_of(left, "q_blocks").join(blocks_of(right, "c_blocks"), "list"))
+def knn_search(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, max_distance: float | None = None, exclude_self: bool = False,
+    lists: int | None = None, probes: int = NEAR_NODES, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """k nearest corpus rows per query, both frames with (id, embedding): (query_id, id, distance, rank). Exact.
 
-    def own(column: str, blocks: str):
-        return F.pmod(F.xxhash64(column), F.col(blocks)).cast("int")
+    See ``PivotTree``: what is known of a query's nearest lists bounds its k-th distance, and by the triangle inequality
+    only lists whose pivot is near enough for their radius can hold a nearer row. The others are never visited.
+    """
+    tree = build_tree(corpus, k + exclude_self, None, lists, block_rows)
+    if tree is None:
+        types = f"query_id {dict(queries.dtypes)['id']}, id {dict(corpus.dtypes)['id']}"
+        return queries.sparkSession.createDataFrame([], f"{types}, distance double, rank int")
+    found = search(tree, queries, k, False, max_distance, exclude_self, block_rows, probes).drop("flagged")
+    top = found.withColumn("rank", _ranked(found)).filter(F.col("rank") <= k)
+    return top if max_distance is None else top.filter(F.col("distance") <= max_distance)
 
-    def copies(blocks: str):
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
-    left = left.join(small, "list").withColumn("qb", own("q_id", "q_blocks")).withColumn("cb", copies("c_blocks"))
-    right = right.join(small, "list").withColumn("cb", own("c_id", "c_blocks")).withColumn("qb", copies("q_blocks"))
-    keys = ["list", "qb", "cb"]
-    return left.select(*keys, "q_id", "q_embedding").groupBy(*keys).cogroup(
-        right.select(*keys, "c_id", "c_embedding").groupBy(*keys)
-    ).applyInPandas(_match(k, exclude_self), schema)
+def nearest_pairs(
+    rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS, lists: int | None = None,
+) -> DataFrame:
+    """The n closest pairs (id_a, id_b, distance), both orders of a pair, over all rows of different id. Exact.
 
+    The pairs inside the slots of a ``PivotTree`` give an n-th distance. It bounds the rest: a row visits only lists that
+    can hold another row within that distance, so pairs of lists further apart are never formed.
+    """
+    ids = dict(rows.dtypes)["id"]
+    schema = f"id_a {ids}, id_b {ids}, distance double"
+    tree = build_tree(rows, 1, None, lists, block_rows)
+    if tree is None:
+        return rows.sparkSession.createDataFrame([], schema)
+
+    def closest(q_ids: np.ndarray, c_ids: np.ndarray, parts: Iterator[tuple], top: float) -> pd.DataFrame:
+        """The n closest pairs with the smaller id first, among distance matrices of some queries and rows from a start."""
+        names, rank = np.unique(np.concatenate([q_ids, c_ids]), return_inverse=True)
+        q_rank, c_rank = rank[: len(q_ids)], rank[len(q_ids):]
+        a, b, far = np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
+        for at, start, dist in parts:
+            x, y = q_rank[at], c_rank[start: start + dist.shape[1]]
+            ordered = x[:, None] < y[None, :]
+            if top == np.inf and (some := np.round(dist[ordered], TIE_DIGITS)).size > n:
+                top = float(np.partition(some, n - 1)[n - 1])
+            r, c = np.nonzero(ordered & (dist <= top + TIE))
+            a, b, far = np.append(a, x[r]), np.append(b, y[c]), np.append(far, dist[r, c])
+            if len(far) > n:
+                edge = np.partition(np.round(far, TIE_DIGITS), n - 1)[n - 1]
+                top = min(top, float(edge))
+                near = np.flatnonzero(np.round(far, TIE_DIGITS) <= edge)
+                best = near[np.lexsort((b[near], a[near], np.round(far[near], TIE_DIGITS)))[:n]]
+                a, b, far = a[best], b[best], far[best]
+        return pd.DataFrame({"id_a": names[a], "id_b": names[b], "distance": far})
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        unit, own = _unit_matrix(pdf["embedding"]), pdf["id"].to_numpy()
+        steps = (
+            (np.arange(s, min(s + QUERY_ROWS, len(own))), 0, 1.0 - unit[s: s + QUERY_ROWS] @ unit.T)
+            for s in range(0, len(own), QUERY_ROWS)
+        )
+        return closest(own, own, steps, np.inf)
+
+    order = (F.round("distance", TIE_DIGITS), "id_a", "id_b")
+    some = tree.slotted().groupBy("slot").applyInPandas(inside, schema).orderBy(*order).limit(n).collect()
+    top = max((r.distance for r in some), default=np.inf) if len(some) == n else np.inf
+    bound = (2.0 * max(top, 0.0)) ** 0.5
 
-def nearest_pairs(rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The n closest pairs (id_a, id_b, distance), both orders of a pair, over all rows.
+    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"id_a": [], "id_b": [], "distance": []})
+        b = b.sort_values("list", kind="stable")
+        parts = _within(
+            tree, _unit_matrix(a["q_embedding"]), a["bound"].to_numpy(), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
+        )
+        return closest(a["q_id"].to_numpy(), b["c_id"].to_numpy(), parts, top)
+
+    found = meet(tree, visits(tree, rows, lambda x: np.full(len(x), bound)), match, schema, block_rows)
+    both = found.orderBy(*order).limit(n).select(
+        "distance", F.inline(F.array(F.struct("id_a", "id_b"), F.struct(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))))
+    ).select("id_a", "id_b", "distance")
+    return both.orderBy(*order).limit(n)
+
+
+def explain_verdict(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, exclude_self: bool = False, lists: int | None = None,
+    probes: int = NEAR_NODES, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Verdict per query from its k nearest stored cases; corpus: (id, embedding, is_fraud and what else a case holds).
 
-    Rows are hashed into blocks; each unordered pair of blocks is one task that emits its n closest pairs.
+    One tree and one search give the nearest cases and the nearest fraud cases. ``cases`` has the three nearest ones
+    whole, with all columns of the corpus but the vector, ``similar_cases`` their ids.
     """
-    rows = rows.select("id", "embedding")
-    count = rows.count()
-    blocks = max(1, -(-count // block_rows))
-    id_type = dict(rows.dtypes)["id"]
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    placed = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    placed = placed.select(
-        "id", "embedding", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
-    )
-
-    def closest(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        a = pdf[pdf["own"] == lo]
-        b = a if lo == hi else pdf[pdf["own"] == hi]
-        parts = [pd.DataFrame({"id_a": a["id"][:0], "id_b": a["id"][:0], "distance": np.zeros(0)})]
-        if len(a) and len(b):
-            left, right = _unit_matrix(a["embedding"]), _unit_matrix(b["embedding"])
-            ids_a, ids_b = a["id"].to_numpy(), b["id"].to_numpy()
-            for s in range(0, len(left), 1024):
-                dist = 1.0 - left[s:s + 1024] @ right.T
-                if lo == hi:
-                    dist[np.arange(s, s + len(dist))[:, None] >= np.arange(len(right))[None, :]] = np.nan
-                flat = dist.ravel()
-                valid = np.flatnonzero(~np.isnan(flat))
-                d = np.round(flat[valid], TIE_DIGITS)
-                if len(valid) > n:
-                    valid = valid[d <= np.partition(d, n - 1)[n - 1]]
-                r, c = np.unravel_index(valid, dist.shape)
-                x, y = ids_a[s + r], ids_b[c]
-                swap = x > y
-                parts.append(pd.DataFrame({
-                    "id_a": np.where(swap, y, x), "id_b": np.where(swap, x, y), "distance": flat[valid]
-                }))
-        out = pd.concat(parts)
-        out["_d"] = out["distance"].round(TIE_DIGITS)
-        return out.sort_values(["_d", "id_a", "id_b"]).head(n).drop(columns="_d")
-
-    found = placed.groupBy("lo", "hi").applyInPandas(closest, f"id_a {id_type}, id_b {id_type}, distance double")
-    both = found.unionByName(found.select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), "distance"))
-    return both.orderBy(F.round("distance", TIE_DIGITS), "id_a", "id_b").limit(n)
-
-
-def explain_verdict(queries: DataFrame, corpus: DataFrame, k: int = 5, exclude_self: bool = False, **options) -> DataFrame:
-    """Verdict per query from its k nearest stored cases; corpus: (id, embedding, is_fraud)."""
-    flags = corpus.select("id", "is_fraud")
-    every = knn_search(queries, corpus, k, exclude_self=exclude_self, **options).join(flags, "id")
-    fraud = knn_search(queries, corpus.filter("is_fraud"), k, exclude_self=exclude_self, **options)
-    near = every.groupBy("query_id").agg(
-        F.avg(F.col("is_fraud").cast("double")).alias("confidence"), F.count("*").alias("total_neighbors"),
-        F.min(F.when(~F.col("is_fraud"), F.col("distance"))).alias("nearest_legit_distance"),
-        F.transform(
-            F.slice(F.sort_array(F.collect_list(F.struct("rank", "id"))), 1, 3), lambda x: x["id"]
-        ).alias("similar_cases"),
-    )
-    bad = fraud.groupBy("query_id").agg(
-        F.count("*").alias("fraud_neighbors"), F.min("distance").alias("nearest_fraud_distance")
+    kept = [c for c in corpus.columns if c not in ("id", "embedding")]
+    ids = queries.select(F.col("id").alias("query_id"))
+    tree = build_tree(corpus, k + exclude_self, "is_fraud", lists, block_rows)
+    if tree is None:
+        types = f"query_id {dict(queries.dtypes)['id']}, id {dict(corpus.dtypes)['id']}"
+        found = queries.sparkSession.createDataFrame([], f"{types}, distance double, flagged boolean")
+    else:
+        found = search(tree, queries, k, True, None, exclude_self, block_rows, probes)
+    ranked = found.withColumns({"rank": _ranked(found), "fraud_rank": F.when(F.col("flagged"), _ranked(found, "flagged"))})
+    near = ranked.filter((F.col("rank") <= k) | (F.col("fraud_rank") <= k)).join(corpus.select("id", *kept), "id")
+    nearest, bad = F.col("rank") <= k, F.col("fraud_rank") <= k
+    case = F.struct("rank", "id", "distance", *kept)
+    per_query = near.groupBy("query_id").agg(
+        F.avg(F.when(nearest, F.col("is_fraud").cast("double"))).alias("confidence"),
+        F.count_if(nearest).alias("total_neighbors"),
+        F.min(F.when(nearest & ~F.col("is_fraud"), F.col("distance"))).alias("nearest_legit_distance"),
+        F.count_if(F.coalesce(bad, F.lit(False))).alias("fraud_neighbors"),
+        F.min(F.when(bad, F.col("distance"))).alias("nearest_fraud_distance"),
+        F.array_sort(F.collect_list(F.when(F.col("rank") <= 3, case))).alias("cases"),
     )
     c = F.col("confidence")
     verdict = (
         F.when(c.isNull(), "NO_HISTORY").when(c >= 0.8, "CONFIRMED_FRAUD").when(c >= 0.5, "LIKELY_FRAUD")
         .when(c >= 0.3, "UNCERTAIN").otherwise("LIKELY_LEGIT")
     )
-    ids = queries.select(F.col("id").alias("query_id"))
-    return ids.join(near, "query_id", "left").join(bad, "query_id", "left").select(
+    return ids.join(per_query, "query_id", "left").select(
         "query_id", verdict.alias("verdict"), F.coalesce(c, F.lit(0.0)).alias("confidence"),
         F.coalesce("fraud_neighbors", F.lit(0)).alias("fraud_neighbors"),
         F.coalesce("total_neighbors", F.lit(0)).alias("total_neighbors"),
-        "nearest_fraud_distance", "nearest_legit_distance", "similar_cases",
+        "nearest_fraud_distance", "nearest_legit_distance",
+        F.transform("cases", lambda x: x["id"]).alias("similar_cases"), "cases",
     )
 
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators import neighbours as K
 from riskloom.operators.neighbours import checked_store
@@ -88,3 +89,104 @@ def test_store_checks_the_length(spark):
     assert checked_store(rows, 2).first().metadata == "{}"
     with pytest.raises(Exception, match="expected 32 values per embedding, got 2"):
         checked_store(rows, 32).collect()
+
+
+def clusters(n_clusters=40, size=50, d=16, seed=7):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n_clusters, d))
+    return (np.repeat(centres, size, axis=0) + rng.normal(size=(n_clusters * size, d)) * 0.02).astype(np.float32)
+
+
+def test_lists_visited(spark):
+    """On clustered rows a query opens a few lists of the tree, and those hold its true neighbours."""
+    x = clusters()
+    tree = K.build_tree(frame(spark, x), 5)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    bound = tree.bounds(unit, 5, tree.near, K.NEAR_NODES)
+    fifth = np.sort(K._chords(unit, unit), axis=1)[:, 4]
+    assert (bound >= fifth - 1e-9).all()
+    whose, which = tree.open_lists(unit, bound)
+    per_query = np.bincount(whose, minlength=len(x))
+    assert len(tree.centres) == 89 and per_query.mean() < 89 / 8
+    rows = {r.id: r["list"] for r in tree.rows.select("id", "list").collect()}
+    opened = set(zip(whose.tolist(), which.tolist()))
+    nearest = np.argsort(K._chords(unit, unit), axis=1, kind="stable")[:, :5]
+    assert all((q, rows[c]) in opened for q in range(len(x)) for c in nearest[q].tolist())
+
+
+def test_bounds_of_flagged_rows(spark):
+    x = clusters(10, 30)
+    flagged = np.arange(len(x)) % 30 < 2
+    tree = K.build_tree(frame(spark, x, flagged), 3, "is_fraud", lists=20)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    third = np.sort(K._chords(unit, unit[flagged]), axis=1)[:, 2]
+    bound = tree.bounds(unit, 3, tree.flagged_near, K.NEAR_NODES)
+    assert (bound >= third - 1e-9).all() and np.isfinite(bound).all()
+
+
+def test_pairs_of_far_lists_are_never_formed(spark):
+    """The rows that visit slots grow like the rows on clustered data, not like their square."""
+    def visits(n_clusters):
+        x = clusters(n_clusters)
+        seen = []
+        whole, K.visits = K.visits, lambda *a: seen.append(whole(*a)) or seen[-1]
+        try:
+            got = [(r.id_a, r.id_b) for r in K.nearest_pairs(frame(spark, x), 20, block_rows=60).collect()]
+        finally:
+            K.visits = whole
+        d = np.round(distances(x), K.TIE_DIGITS)
+        a, b = np.triu_indices(len(x), 1)
+        best = np.lexsort((b, a, d[a, b]))[:10]
+        assert got == [p for i in best for p in ((a[i], b[i]), (b[i], a[i]))]
+        return seen[0].count(), len(x)
+
+    small, n = visits(10)
+    large, m = visits(40)
+    assert m == 4 * n and large < 8 * small and large < m * 10
+
+
+def test_pairs_of_copies_and_few_rows(spark):
+    x = np.array([[1, 0], [1, 0], [0, 1], [0, 0]])
+    got = [(r.id_a, r.id_b, round(r.distance, 6)) for r in K.nearest_pairs(frame(spark, x), 100).collect()]
+    assert got == [(0, 1, 0.0), (1, 0, 0.0), (0, 2, 1.0), (1, 2, 1.0), (2, 0, 1.0), (2, 1, 1.0)]
+    assert K.nearest_pairs(frame(spark, x).filter("id = 3"), 5).count() == 0
+
+
+def test_slots():
+    first, count = K.slots_of(np.array([5, 3, 25, 0, 4, 9]), np.array([0, 0, 0, 1, 1, 1]), 10)
+    assert count.tolist() == [1, 1, 3, 1, 1, 1]
+    taken = [set(range(f, f + c)) for f, c in zip(first.tolist(), count.tolist())]
+    assert taken[0] == taken[1] and not taken[2] & (taken[0] | taken[3] | taken[4] | taken[5])
+    assert set().union(*taken) == set(range(max(map(max, taken)) + 1))
+
+
+def test_whole_cases(spark):
+    x = np.array([[1, 0], [1, 0.01], [1, 0.02], [0, 1], [0.01, 1], [0.02, 1]])
+    cases = frame(spark, x, [1, 1, 1, 0, 0, 0]).selectExpr("*", "id / 10 AS fraud_score", "concat('{\"n\":', id, '}') AS metadata")
+    row = K.explain_verdict(frame(spark, np.array([[0, 1.0]])), cases, 3).first()
+    assert [(c.id, c.is_fraud, c.fraud_score, c.metadata) for c in row.cases] == [
+        (3, False, 0.3, '{"n":3}'), (4, False, 0.4, '{"n":4}'), (5, False, 0.5, '{"n":5}')
+    ]
+    assert [c.distance for c in row.cases] == sorted(c.distance for c in row.cases) and row.similar_cases == [3, 4, 5]
+    assert row.fraud_neighbors == 3 and row.nearest_fraud_distance > 0.9
+
+
+def test_few_fraud_cases_and_string_ids(spark):
+    x = vectors(200)
+    fraud = np.arange(200) % 90 == 5
+    corpus = frame(spark, x, fraud).withColumn("id", F.format_string("c%03d", "id"))
+    got = {r.query_id: r for r in K.explain_verdict(frame(spark, x), corpus, 5, lists=15).collect()}
+    d = np.round(distances(x), K.TIE_DIGITS)
+    for i in range(200):
+        near = sorted(range(200), key=lambda j: (d[i, j], j))[:5]
+        assert got[i].similar_cases == [f"c{j:03d}" for j in near[:3]]
+        assert got[i].fraud_neighbors == 3 and abs(got[i].nearest_fraud_distance - d[i, fraud].min()) < 1e-6
+        assert abs(got[i].confidence - fraud[near].mean()) < 1e-9
+
+
+def test_null_vectors_are_near_nothing(spark):
+    rows = [(0, [1.0, 0.0], True), (1, None, True), (2, [0.0, 0.0], False), (3, [], False), (4, [1.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>, is_fraud boolean")
+    assert result(K.knn_search(df, df, 5)) == {0: [0, 4], 4: [4, 0]}
+    got = {r.query_id: r.verdict for r in K.explain_verdict(df, df, 5).collect()}
+    assert got[1] == got[2] == got[3] == "NO_HISTORY" and got[0] == "CONFIRMED_FRAUD"
