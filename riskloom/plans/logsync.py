@@ -17,6 +17,7 @@ from riskloom.session import scratch_dir
 from riskloom.sources.tables import table
 from riskloom.streaming import flows as R
 from riskloom.streaming import sync as Y
+from riskloom.streaming.trailing import trailing_stream
 
 
 def split_parts(spark, sf):
@@ -159,6 +160,19 @@ def stream_velocity(spark, sf):
     return R.run_updates(counts, ["window_start", "user_id"], "velocity")
 
 
+@query("stream_velocity_events", """
+SELECT event_id, user_id, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
+  AS velocity_1h FROM events""")
+def stream_velocity_events(spark, sf):
+    """The trailing hour of each event on a stream of several micro-batches, equal to the batch query."""
+    path = scratch_dir(spark, "events")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id")
+    events.repartition(3, "event_id").write.parquet(f"{path}/events.parquet")  # every batch holds rows of all times
+    stream = R.stream_table(spark, path, "events", files_per_batch=1)
+    counts = trailing_stream(stream, "user_id", "ts", "event_id", late="60 days")
+    return R.run_updates(counts, ["event_id"], "trailing")
+
+
 @query("stream_score", with_views("infra", f"""
 SELECT order_id, round(raw, 9) AS efficiency, CASE WHEN raw > 0.75 THEN 'OK' WHEN raw > 0.45 THEN 'WARN' ELSE 'CRITICAL' END AS status
 FROM ({model_sql(HEALTH, H_NAMES, 'infra')}) WHERE cs_auth_status IS NOT NULL"""))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,5 +58,27 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any store that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """A stage table that is removed at the end, for frames that are read up by then."""
+    path = scratch_dir(df.sparkSession, purpose)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove(df.sparkSession, path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -16,27 +16,34 @@ ENVELOPE = (
 )
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """A table of the data folder, one file or a folder of files, as a stream."""
     base = f"{sf_dir.rstrip('/')}/{name}"
     schema = spark.read.parquet(f"{base}.parquet").schema
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # A stream takes the path of a single file only as a pattern; this one matches nothing but the name itself.
-    return spark.readStream.schema(schema).parquet(f"{base}.parque[t]")
+    return reader.parquet(f"{base}.parque[t]")
 
 
-def read_log_topic(spark: SparkSession, source: str, servers: str | None = None, schema: str | None = None) -> DataFrame:
+def read_log_topic(
+    spark: SparkSession, source: str, servers: str | None = None, schema: str | None = None, per_batch: int | None = None,
+) -> DataFrame:
     """Bounded replay of a log from its earliest offset: (partition, offset, key, value).
 
-    With ``servers`` the source is a Kafka topic, which needs the connector on the classpath; otherwise it is a folder
+    ``per_batch`` bounds a micro-batch, in offsets of a topic or in files. With ``servers`` the source is a Kafka topic, which needs the connector on the classpath; otherwise it is a folder
     of files with the same columns.
     """
     if servers:
         rows = (
             spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", source)
-            .option("startingOffsets", "earliest").load()
+            .option("startingOffsets", "earliest")
         )
+        rows = (rows.option("maxOffsetsPerTrigger", per_batch) if per_batch else rows).load()
         return rows.select("partition", "offset", "key", "value")
-    return spark.readStream.schema(schema or "partition int, offset bigint, key string, value string").json(source)
+    files = spark.readStream.schema(schema or "partition int, offset bigint, key string, value string")
+    return (files.option("maxFilesPerTrigger", per_batch) if per_batch else files).json(source)
 
 
 def log_messages(df: DataFrame, key: str, value: Column | None = None) -> DataFrame:
@@ -67,7 +74,10 @@ def run_to_files(stream: DataFrame, purpose: str) -> DataFrame:
 
 
 def run_updates(stream: DataFrame, keys: list[str], purpose: str) -> DataFrame:
-    """Run an update stream over what is there now; the result is the last state of every key."""
+    """Run an update stream over what is there now; the result is the last state of every key.
+
+    If a batch gives a key several states, the one with the largest values counts.
+    """
     spark = stream.sparkSession
     path, checkpoint = scratch_dir(spark, purpose), scratch_dir(spark, f"{purpose}-checkpoint")
 
@@ -81,7 +91,7 @@ def run_updates(stream: DataFrame, keys: list[str], purpose: str) -> DataFrame:
     ).start().awaitTermination()
     states = spark.read.parquet(path)
     rest = [c for c in stream.columns if c not in keys]
-    last = states.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("s"))
+    last = states.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("batch_id", *rest)).alias("s"))
     return last.select(*keys, "s.*")
 
 

@@ -4,36 +4,35 @@ from __future__ import annotations
 
 import functools
 import json
-import operator
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType
 
 from riskloom.operators.joins import insert_ignore
+from riskloom.session import exists, materialize, staged
+from riskloom.streaming.flows import write_log_topic
 
 KEY = ["partition", "offset"]
-TABLE_SCHEMA = "partition int, offset bigint, payload string, batch_id bigint"
+TABLE_SCHEMA = "partition int, offset bigint, payload string, batch_id bigint, offset_range bigint"
+
+#: Offsets of a partition that share a folder of a table.
+OFFSETS_PER_RANGE = 1_000_000
 
 # Fixed value: number of missing rows from which a table counts as lagging.
 LAG_THRESHOLD = 5
 
 
 @F.pandas_udf(StringType())
-def json_error(text: pd.Series) -> pd.Series:
-    """Why a text is no JSON document, null when it is one.
-
-    Spark's own parser accepts trailing text and rejects repeated keys and bare NaN, so the check uses the standard
-    decoder.
-    """
+def decoder_error(text: pd.Series) -> pd.Series:
+    """Why the standard decoder takes a text for no JSON document; null for null and for a document."""
 
     def check(t):
         if t is None:
-            return "payload is missing"
+            return None
         try:
             json.loads(t)
             return None
@@ -43,6 +42,36 @@ def json_error(text: pd.Series) -> pd.Series:
     return text.map(check)
 
 
+def surely_json(text: Column) -> Column:
+    """Whether Spark's own parser proves a text to be one JSON document. False proves nothing.
+
+    The parser reads one value and ignores what follows. As the only element of an array, a text may be followed by a
+    comma and a value; as the only member of an object, by a comma and a name with its value. No text is both, so what
+    is accepted in both places has nothing behind its value. Repeated names and NaN, which the standard decoder allows,
+    are not accepted.
+    """
+    def accepted(*parts: Column) -> Column:
+        return F.try_parse_json(F.concat(*parts)).isNotNull()
+
+    return F.coalesce(
+        accepted(F.lit("["), text, F.lit("]")) & accepted(F.lit('{"a":'), text, F.lit("}")), F.lit(False)
+    )
+
+
+def doubtful(text: Column) -> Column:
+    """The texts that only the standard decoder can judge, null for the others."""
+    return F.when(~surely_json(text), text)
+
+
+def json_error(text: Column) -> Column:
+    """Why a text is no JSON document, null when it is one.
+
+    In two stages: Spark's strict parser clears ordinary documents inside the JVM, and only the texts that it rejects
+    reach the Python decoder, whose verdict counts.
+    """
+    return F.when(text.isNull(), "payload is missing").otherwise(decoder_error(doubtful(text)))
+
+
 def decode_strict(value: Column) -> Column:
     """UTF-8 text of a binary column, null where the bytes are no valid UTF-8."""
     return F.try_validate_utf8(value.cast("string"))
@@ -59,10 +88,10 @@ def checked(log: DataFrame) -> DataFrame:
         strict, loose = decode_strict(F.col("value")), decode_replace(F.col("value"))
         rows = log.select(*KEY, strict.alias("_strict"), loose.alias("_text"))
         error = F.when(F.col("_strict").isNull() & F.col("_text").isNotNull(), "payload is no valid UTF-8").otherwise(
-            json_error("_strict")
+            json_error(F.col("_strict"))
         )
         return rows.select(*KEY, F.col("_text").alias("value"), error.alias("error"))
-    return log.select(*KEY, "value", json_error("value").alias("error"))
+    return log.select(*KEY, "value", json_error(F.col("value")).alias("error"))
 
 
 def main_rows(rows: DataFrame) -> DataFrame:
@@ -75,8 +104,8 @@ def dead_rows(rows: DataFrame) -> DataFrame:
 
 
 def dlq_split(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows for the main table and rows for the dead-letter table."""
-    rows = checked(log)
+    """Rows for the main table and rows for the dead-letter table; each payload is decoded once for both."""
+    rows = materialize(checked(log), "checked")
     return main_rows(rows), dead_rows(rows)
 
 
@@ -121,41 +150,93 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def ensure_tables(spark: SparkSession, *paths: str) -> None:
     for path in paths:
-        spark.createDataFrame([], TABLE_SCHEMA).write.mode("ignore").partitionBy("batch_id").parquet(path)
+        spark.createDataFrame([], TABLE_SCHEMA).write.mode("ignore").partitionBy("offset_range").parquet(path)
 
 
-def sync_batch(main_path: str, dead_path: str) -> Callable[[DataFrame, int], None]:
-    """Writer of one micro-batch.
+def offset_range(offset: Column) -> Column:
+    return F.floor(offset / F.lit(OFFSETS_PER_RANGE)).cast("bigint")
 
-    A repeated batch overwrites its own folder. Offsets that earlier batches already wrote are left out; only stored
-    rows from the batch's smallest offset of each partition on are read for that, a filter that reaches the parquet scan.
+
+def append_new(rows: DataFrame, stored: DataFrame, path: str, batch_id: int) -> None:
+    """Append the rows (partition, offset, payload) whose positions the stored rows do not hold."""
+    new = insert_ignore(stored.select(*KEY, "payload"), rows, KEY)
+    new.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "offset_range": offset_range(F.col("offset"))}).write.mode(
+        "append"
+    ).partitionBy("offset_range").parquet(path)
+
+
+def compact(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """A copy of a table with one sorted run of files per range of offsets, whatever batches wrote it."""
+    rows = read_table(spark, path)
+    rows.repartition("offset_range", "partition").sortWithinPartitions("offset_range", "partition", "offset").write.partitionBy(
+        "offset_range"
+    ).parquet(target)
+    return read_table(spark, target)
+
+
+def dead_messages(rows: DataFrame) -> DataFrame:
+    """Dead letters as keyed messages; the key is the position in the log."""
+    return rows.select(F.concat_ws("-", *KEY).alias("key"), F.col("payload").alias("value"), *KEY)
+
+
+def publish_new(messages: DataFrame, topic: str, servers: str | None) -> None:
+    """Write the messages whose keys the topic does not hold yet.
+
+    A topic takes what it is sent, so a repeated batch has to look: the topic itself, and not the dead-letter table, says
+    what it holds, as a batch may have ended between the two.
     """
+    spark = messages.sparkSession
+    held = topic_messages(spark, topic, servers)
+    new = messages.dropDuplicates(["key"]) if held is None else messages.dropDuplicates(["key"]).join(
+        held.select("key"), "key", "left_anti"
+    )
+    write_log_topic(new.select("key", "value"), topic, servers)
 
+
+def topic_messages(spark: SparkSession, topic: str, servers: str | None = None) -> DataFrame | None:
+    """(key, value) of all messages of a topic, None if a topic of files does not exist yet."""
+    if servers:
+        rows = spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+        return rows.option("startingOffsets", "earliest").load().selectExpr("CAST(key AS STRING)", "CAST(value AS STRING)")
+    return spark.read.schema("key string, value string").json(topic) if exists(spark, topic) else None
+
+
+def sync_batch(
+    main_path: str, dead_path: str, dead_topic: str | None = None, servers: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Writer of one micro-batch: rows to the main table, dead letters to their table and, if named, to their topic.
+
+    Tables are laid out by ranges of offsets. A batch reads what the ranges that it touches hold, a partition filter, and
+    appends the positions that are missing. Each sink is compared with its own content, so after a failure at any point
+    the repeated batch adds what was lost and nothing twice.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = checked(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            firsts = rows.groupBy("partition").agg(F.min("offset").alias("first")).collect()  # one row per partition
-            if not firsts:
+        with staged(checked(batch).withColumn("offset_range", offset_range(F.col("offset"))), "batch") as rows:
+            bounds = rows.agg(F.min("offset_range").alias("low"), F.max("offset_range").alias("high")).first()
+            if bounds.low is None:
                 return
-            later = functools.reduce(operator.or_, [
-                (F.col("partition") == f.partition) & (F.col("offset") >= f.first) for f in firsts
-            ])
-            for path, part in ((main_path, main_rows(rows)), (dead_path, dead_rows(rows))):
-                stored = read_table(spark, path).filter(later & (F.col("batch_id") != batch_id))
-                new = insert_ignore(stored, part, KEY).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-        finally:
-            rows.unpersist()
+            touched = F.col("offset_range").between(bounds.low, bounds.high)
+            dead = dead_rows(rows)
+            for path, part in ((main_path, main_rows(rows)), (dead_path, dead)):
+                append_new(part, read_table(spark, path).filter(touched), path, batch_id)
+            if dead_topic:
+                publish_new(dead_messages(dead), dead_topic, servers)
 
     return write
 
 
-def start_sync(log: DataFrame, main_path: str, dead_path: str, checkpoint: str) -> StreamingQuery:
-    """Copy what a streaming log holds now into the two tables."""
+def start_sync(
+    log: DataFrame, main_path: str, dead_path: str, checkpoint: str, dead_topic: str | None = None,
+    servers: str | None = None,
+) -> StreamingQuery:
+    """Copy what a streaming log holds now into the two tables and, if named, the dead-letter topic.
+
+    The size of a micro-batch is the source's matter: maxFilesPerTrigger of files, maxOffsetsPerTrigger of a topic.
+    """
     ensure_tables(log.sparkSession, main_path, dead_path)
     return (
-        log.writeStream.foreachBatch(sync_batch(main_path, dead_path))
+        log.writeStream.foreachBatch(sync_batch(main_path, dead_path, dead_topic, servers))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 

@@ -1,11 +1,14 @@
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskloom.session import scratch_dir
 from riskloom.streaming import flows as R
 from riskloom.streaming import sync as Y
+from riskloom.streaming.trailing import trailing_stream
 
 SCHEMA = "partition int, offset bigint, value string"
 ROWS = [
@@ -125,3 +128,134 @@ def test_a_payload_nested_too_deeply_is_a_dead_letter(spark):
 
     main, dead = sync.dlq_split(rows)
     assert [r.offset for r in main.collect()] == [1] and [r.offset for r in dead.collect()] == [0]
+
+
+TEXTS = [
+    '{"a": 1}', ' [1, 2.5e3, null, "x"] ', '"s"', "12", "-0.5", "true", "null", "", " ", "1 2", "1, 2", '1, "b": 2', '{"a": 1} x',
+    "] [", "}{", '1}, "a":{', "1], [2", '"x": 1', '{"a": 1, "a": 2}', "NaN", "-Infinity", "{'a': 1}", '{"a": 01}', '{a: 1}', "[1,]",
+    '"\\ud800"', '"\\u00zz"', '"tab\tinside"', "﻿{}", '{"a": 1}\u0000', "/* c */ 1", "[" * 1200 + "]" * 1200, "[" * 50 + "]" * 50,
+    "9" * 5000, "1.", "+1", "1e5", '"é😀"', '[1] // c', "tru", '{"a" 1}', '{"a": {"b": [1, {"c": null}]}}',
+]
+
+
+def test_native_check_never_clears_what_the_decoder_rejects(spark):
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "k int, value string")
+    sure = {r.k: r.sure for r in rows.select("k", Y.surely_json(F.col("value")).alias("sure")).collect()}
+    dead = {r.k: r.error is not None for r in rows.select("k", Y.json_error(F.col("value")).alias("error")).collect()}
+    for k, text in enumerate(TEXTS):
+        try:
+            json.loads(text)
+            valid = True
+        except Exception:
+            valid = False
+        assert dead[k] is not valid, text
+        assert valid or not sure[k], text
+    ordinary = [0, 1, 2, 3, 4, 5, 6, 32, 36, 37, 41]
+    assert all(sure[k] for k in ordinary)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text('{}[]:,"a1 .\\\n', max_size=12), min_size=200, max_size=300))
+def test_native_check_on_random_texts(spark, texts):
+    def valid(text):
+        try:
+            json.loads(text)
+            return True
+        except Exception:
+            return False
+
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, value string")
+    assert all(valid(texts[r.k]) for r in rows.filter(Y.surely_json(F.col("value"))).select("k").collect())
+
+
+def test_only_doubtful_texts_reach_the_decoder(spark, sf):
+    from riskloom.plans import views as V
+
+    log = V.log(spark, sf)
+    seen = log.select(Y.doubtful(F.col("value")).alias("t")).filter("t IS NOT NULL").count()
+    dead = Y.checked(log).filter("error IS NOT NULL").count()
+    assert dead <= seen < log.count() / 10
+
+
+def test_dead_letters_reach_the_topic_once(spark, monkeypatch):
+    """The writer ends between the sinks, at each of them; the repeated batch completes every one."""
+    batch = spark.createDataFrame(ROWS, SCHEMA)
+    for sink in range(3):
+        main, dead, topic = (scratch_dir(spark, p) for p in ("main", "dead", "topic"))
+        Y.ensure_tables(spark, main, dead)
+        write = Y.sync_batch(main, dead, topic)
+        calls, append, publish = [], Y.append_new, Y.publish_new
+
+        def ending(own):
+            def run(*args):
+                if len(calls) == sink:
+                    raise RuntimeError("ended here")
+                calls.append(own)
+                own(*args)
+            return run
+
+        monkeypatch.setattr(Y, "append_new", ending(append))
+        monkeypatch.setattr(Y, "publish_new", ending(publish))
+        with pytest.raises(RuntimeError, match="ended here"):
+            write(batch, 0)
+        monkeypatch.undo()
+        write(batch, 0)
+        write(batch, 1)
+        assert Y.read_table(spark, main).count() == len(ROWS) - len(DEAD)
+        assert Y.read_table(spark, dead).count() == len(DEAD)
+        messages = Y.topic_messages(spark, topic).collect()
+        assert sorted(m.key for m in messages) == sorted(f"{p}-{o}" for p, o in DEAD)
+        assert all(json.loads(m.value).keys() >= {"error_message"} for m in messages)
+
+
+def test_small_batches_and_compaction(spark, monkeypatch):
+    monkeypatch.setattr(Y, "OFFSETS_PER_RANGE", 10)
+    path, main, dead, topic = (scratch_dir(spark, p) for p in ("log", "main", "dead", "topic"))
+    for start in range(0, 40, 8):
+        write_log(spark, [(o % 2, o, "{}" if o % 5 else "{bad") for o in range(start, start + 8)], path)
+    stream = R.read_log_topic(spark, path, schema=SCHEMA, per_batch=1)
+    Y.start_sync(stream, main, dead, scratch_dir(spark, "cp"), topic).awaitTermination()
+    rows = Y.read_table(spark, main)
+    assert rows.count() == 32 and rows.select("batch_id").distinct().count() == 5
+    assert {r.offset_range for r in rows.collect()} == {0, 1, 2, 3}
+    small = Y.compact(spark, main, scratch_dir(spark, "compact"))
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, rows.collect()))
+    assert len(small.inputFiles()) < len(rows.inputFiles())
+    assert Y.topic_messages(spark, topic).count() == Y.read_table(spark, dead).count() == 8
+
+
+def test_stage_tables_of_batches_are_removed(spark):
+    from riskloom.session import exists, staged
+
+    with staged(spark.range(3), "short") as rows:
+        folder = rows.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows.count() == 3 and exists(spark, folder)
+    assert not exists(spark, folder)
+
+
+def test_trailing_counts_follow_late_rows(spark):
+    path, out = scratch_dir(spark, "events"), scratch_dir(spark, "out")
+    cp = scratch_dir(spark, "cp")
+    schema = "event_id long, user_id string, ts timestamp"
+    seen = []
+
+    def add(*rows):
+        batch = spark.createDataFrame(rows, "event_id long, user_id string, ts string")
+        batch.select("event_id", "user_id", F.to_timestamp("ts").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+        counts = trailing_stream(
+            spark.readStream.schema(schema).parquet(path), "user_id", "ts", "event_id", late="2 hours", block_seconds=7200
+        )
+        seen.clear()
+        counts.writeStream.outputMode("update").foreachBatch(lambda df, _: seen.extend(df.collect())).option(
+            "checkpointLocation", cp
+        ).trigger(availableNow=True).start().awaitTermination()
+        return {r.event_id: r.velocity_1h for r in seen}
+
+    assert add((1, "a", "2024-01-01 01:30:00"), (2, "a", "2024-01-01 02:10:00"), (3, "b", "2024-01-01 02:10:00"),
+               (4, "a", "2024-01-01 02:31:00")) == {1: 1, 2: 2, 3: 1, 4: 2}
+    # A late row between, across the border of two blocks; a row at exactly one hour; nulls.
+    assert add((5, "a", "2024-01-01 01:50:00"), (6, "a", "2024-01-01 03:31:00"), (7, None, "2024-01-01 03:00:00"),
+               (8, "a", None)) == {5: 2, 2: 3, 4: 3, 6: 2}
+    # The watermark moves on: a row of long ago changes nothing, and its block is gone.
+    add((9, "b", "2024-01-03 00:00:00"))
+    assert add((10, "a", "2024-01-01 02:00:00"), (11, "b", "2024-01-03 00:30:00")) == {11: 2}
