@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ ERROR_WORDS = (
 # Starts of lines that are left out of a stack trace.
 TRACE_NOISE = ("ip-", "***", "▲▲▲", "▼▼▼", "[202")
 
+# Time, header and link patterns of the logs, the note without blocks and the mark of a cut text.
 LOG_TIME = r"\d{2}/\d{2}/\d{2}\s\d{2}:\d{2}:\d{2}"
 DIAGNOSTICS = r"ERROR\sClient: Application diagnostics message: User class threw exception:"
 NO_BLOCKS = (
@@ -99,8 +101,12 @@ def log_link_parts(log: Column) -> Column:
 def error_lines(log: Column, words: Sequence[str] = ERROR_WORDS) -> Column:
     """Lines with an error word; else the stack trace without noise lines; else lines that start 'ERROR -'."""
     lines = F.split(log, "\n")
+    # A word that holds another one says nothing more than that one.
+    telling = [w for w in words if not any(o != w and o in w for o in words)]
 
-    any_word = "(?iu)" + "|".join(re.escape(w) for w in words)  # one scan per line, whatever the case
+    def tells(text: Column) -> Column:
+        low = F.lower(text)
+        return functools.reduce(operator.or_, [low.contains(w) for w in telling])
 
     def noise(line: Column) -> Column:
         bare = F.trim(line)
@@ -109,11 +115,15 @@ def error_lines(log: Column, words: Sequence[str] = ERROR_WORDS) -> Column:
             hit = hit | bare.startswith(start)
         return hit
 
-    hits = F.filter(lines, lambda line: line.rlike(any_word))
-    trace_text = F.regexp_extract(log, r"(?is)(Traceback \(most recent call last\):.*)", 1)
-    trace = F.when(trace_text != "", F.filter(F.split(trace_text, "\n"), lambda x: ~noise(x)))
-    plain = F.filter(lines, lambda x: F.trim(x).startswith("ERROR -"))
-    return F.when(F.size(hits) > 0, hits).when(trace.isNotNull() & (F.size(trace) > 0), trace).otherwise(plain)
+    def chosen(hits: Column) -> Column:
+        trace_text = F.regexp_extract(log, r"(?is)(Traceback \(most recent call last\):.*)", 1)
+        trace = F.when(trace_text != "", F.filter(F.split(trace_text, "\n"), lambda x: ~noise(x)))
+        plain = F.filter(lines, lambda x: F.trim(x).startswith("ERROR -"))
+        return F.when(F.size(hits) > 0, hits).when(trace.isNotNull() & (F.size(trace) > 0), trace).otherwise(plain)
+
+    # Most logs are cleared as a whole; the lines found are bound to a name, as they are tested and returned.
+    hits = F.when(tells(log), F.filter(lines, tells)).when(log.isNotNull(), F.array().cast("array<string>"))
+    return F.transform(F.array(hits), chosen)[0]
 
 
 def error_blocks(log: Column, whole_block: bool = True) -> Column:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import materialize
+
 OTHERS = "others"
 
+#: Minutes of a range of the time axis.
+RANGE = 1440
+
 
 def _minutes(spans: DataFrame) -> DataFrame:
     """Spans as first and last minute; open spans and those that end before their first minute drop out."""
@@ -43,24 +48,45 @@ def by_minute(spans: DataFrame, top: int = 10) -> DataFrame:
 
     Each span adds +1 at its first minute and -1 after its last one. These changes are summed per group and minute,
     so the running total sees one row per change and not one per task and minute; a load is then spread over the
-    minutes up to the next change.
+    minutes up to the next change. The time axis is cut into ranges of RANGE minutes: a window holds one range of one
+    group, and starts with the load that the group brings into the range (see ``carried``).
     """
     minutes = _minutes(spans)
     members = top_members(dag_points(spans), "dag_id", "points", top)
     grouped = with_group(minutes, "dag_id", members)
-    change = F.explode(F.array(
-        F.struct(F.col("first").alias("at"), F.lit(1).alias("d")),
-        F.struct((F.col("last") + F.expr("INTERVAL 1 MINUTE")).alias("at"), F.lit(-1).alias("d")),
+    change = F.inline(F.array(
+        F.struct(_minute_number("first").alias("at"), F.lit(1).cast("bigint").alias("d")),
+        F.struct((_minute_number("last") + 1).alias("at"), F.lit(-1).cast("bigint").alias("d")),
     ))
-    deltas = grouped.select("dag_group", change.alias("c")).groupBy("dag_group", "c.at").agg(F.sum("c.d").alias("d"))
-    w = Window.partitionBy("dag_group").orderBy("at")
-    loads = deltas.select(
+    changes = grouped.select("dag_group", change).groupBy("dag_group", "at").agg(F.sum("d").alias("d"))
+    deltas = materialize(changes.withColumn("range", F.floor(F.col("at") / F.lit(RANGE))), "changes")
+    points = deltas.unionByName(carried(deltas)).groupBy("dag_group", "range", "at").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy("dag_group", "range").orderBy("at")
+    loads = points.select(
         "dag_group", "at", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("load"),
-        F.lead("at").over(w).alias("next"),
+        F.coalesce(F.lead("at").over(w), (F.col("range") + 1) * RANGE).alias("next"),
     ).filter("load > 0")
-    every = F.sequence("at", F.col("next") - F.expr("INTERVAL 1 MINUTE"), F.expr("INTERVAL 1 MINUTE"))
-    spread = loads.select(F.explode(every).alias("m"), "dag_group", "load")
-    return spread.select(F.col("m").cast("timestamp_ntz").alias("minute"), "dag_group", "load")
+    spread = loads.select(F.explode(F.sequence("at", F.col("next") - 1)).alias("m"), "dag_group", "load")
+    return spread.select(F.timestamp_seconds(F.col("m") * 60).cast("timestamp_ntz").alias("minute"), "dag_group", "load")
+
+
+def _minute_number(column: str) -> Column:
+    return F.expr(f"unix_seconds({column}) div 60")
+
+
+def carried(deltas: DataFrame) -> DataFrame:
+    """The load with which a group enters a range, as a change at the range's first minute.
+
+    Only sums per group and range are put in order, and a load that lasts over ranges without changes enters each of
+    them, so a span of any length is work of many ranges.
+    """
+    w = Window.partitionBy("dag_group").orderBy("range")
+    sums = deltas.groupBy("dag_group", "range").agg(F.sum("d").alias("d")).select(
+        "dag_group", F.col("range").alias("from"), F.lead("range").over(w).alias("to"),
+        F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("d"),
+    ).filter("d > 0")  # after its last change a group has no load
+    entered = sums.select("dag_group", "d", F.explode(F.sequence(F.col("from") + 1, F.col("to"))).alias("range"))
+    return entered.select("dag_group", (F.col("range") * RANGE).alias("at"), "d", "range")
 
 
 def pivot_minutes(loads: DataFrame) -> DataFrame:

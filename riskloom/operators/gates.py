@@ -87,3 +87,14 @@ def promote(registry: DataFrame, gate: str | Column) -> DataFrame:
 def gated(df: DataFrame, gate: DataFrame, health: DataFrame) -> DataFrame:
     """All rows, or none when the gate failed or the health check disabled scoring."""
     return df.filter((gate.select("gate").scalar() != "FAIL") & (health.select("status").scalar() != "DISABLED"))
+
+
+def gated_by_limits(df: DataFrame, gate: DataFrame, record: DataFrame | None, limits: list[float]) -> DataFrame:
+    """The rows once for each health limit under which scoring runs (``health_limit``), none when the gate failed.
+
+    The gate and the health score are read once; a limit costs no plan of its own.
+    """
+    score = health_gate(record, None).select("health_score").scalar()
+    kept = F.array(*[F.when(score >= limit, F.lit(float(limit))) for limit in limits])
+    rows = df.filter(gate.select("gate").scalar() != "FAIL")
+    return rows.withColumn("health_limit", F.explode(kept)).filter("health_limit IS NOT NULL")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import parse_number
+from riskloom.operators.joins import last_before
 
 # Baseline of a pipeline without history, and the drop that counts as a regression.
 NO_BASELINE = 10.0
@@ -128,3 +129,15 @@ def severity_counts(issues: DataFrame) -> DataFrame:
 def average_history_score(issues: DataFrame) -> DataFrame:
     mean = F.try_divide(F.sum(F.coalesce(F.col("overall_score"), F.lit(0.0))), F.count("*"))
     return issues.agg(F.coalesce(mean, F.lit(0.0)).alias("avg_score"), F.count("*").alias("n_issues"))
+
+
+def with_last_run(issues: DataFrame, runs: DataFrame) -> DataFrame:
+    """Issues with result_of_last_run and time_of_last_run: state and end of the last completed run that started before
+    the check; 'no_history' without one."""
+    completed = runs.filter(F.col("state").isin("success", "failed")).select(
+        "dag_id", "execution_date", "run_id", "state", "end_date"
+    )
+    found = last_before(issues, completed, "dag_id", "check_timestamp", "execution_date", "run_id", "_last")
+    return found.withColumns({
+        "result_of_last_run": F.coalesce("_last.state", F.lit("no_history")), "time_of_last_run": F.col("_last.end_date"),
+    }).drop("_last")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalar import cap as at_most
 from riskloom.functions.scalar import clip01
 from riskloom.operators.prefix import running_totals, value_sums
+from riskloom.session import materialize
 
 EPS = 1e-8
 
@@ -219,3 +220,17 @@ def class_weight(df: DataFrame, label: str = "is_fraud", cap: float = 12.0) -> D
     rate = F.avg(F.col(label).cast("double"))
     raw = (F.lit(1.0) - rate) / (rate + F.lit(EPS))
     return df.agg(rate.alias("rate"), raw.alias("raw_weight"), at_most(raw, cap).alias("weight"))
+
+
+def average_ranks(df: DataFrame, score: str = "score", out: str = "avg_rank") -> DataFrame:
+    """The rows with the average rank of their score, equal scores sharing the mean of their places, from 1 on.
+
+    A null score counts as 0, as in all metrics; NaN ranks above all numbers. Places come from counts per score and
+    from totals of earlier value ranges, so no task sorts more than a range of distinct scores, and rows of a score that
+    very many share meet one row of counts.
+    """
+    key = F.coalesce(F.col(score).cast("double"), F.lit(0.0))
+    rows = materialize(df.withColumn("_score", F.when(key == 0, F.lit(0.0)).otherwise(key)), "ranked")
+    counts = running_totals(rows.select("_score", F.lit(1).alias("_n")), "_score", ["_n"])
+    places = counts.select("_score", (F.col("_n_before") + 1 + (F.col("_n") - 1) / F.lit(2.0)).alias(out))
+    return rows.join(places, "_score", "left").select(*df.columns, out)

@@ -14,7 +14,8 @@ def range_bounds(df: DataFrame, value: str, parts: int) -> list[float]:
     if parts < 2:
         return []
     shares = [i / parts for i in range(1, parts)]
-    marks = df.agg(F.percentile_approx(value, shares, max(1000, 10 * parts))).first()[0] or []
+    numbers = F.when(~F.isnan(value), F.col(value))
+    marks = df.agg(F.percentile_approx(numbers, shares, max(1000, 10 * parts))).first()[0] or []
     return sorted({float(m) for m in marks})
 
 

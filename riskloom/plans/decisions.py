@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import scalar as S
 from riskloom.models import documents as D
 from riskloom.models.engines import compare_engines, get_engine
+from riskloom.models.evaluation import evaluate_benchmark as evaluate
 from riskloom.operators import gates as G
 from riskloom.operators import metrics as M
 from riskloom.plans import views as V
@@ -14,6 +15,7 @@ from riskloom.plans.metrics import PRF, auc_sql, counts_sql, prf_sql
 from riskloom.plans.scalar import MD5, HASH_TEXT, r6, r10
 from riskloom.plans.views import with_views
 from riskloom.registry import query
+from riskloom.session import materialize
 from riskloom.sources.tables import table
 
 FRAUD = D.PairModel.from_document(D.FRAUD_MODEL)
@@ -140,29 +142,15 @@ SELECT (SELECT count(*) FROM scored) AS row_count, round((SELECT avg(is_fraud) F
 FROM m, a, g"""))
 def evaluate_benchmark(spark, sf):
     """Normalise, score with the rule model, compute all metrics and apply the gate."""
-    rows = S.normalize_benchmark(V.txn(spark, sf))
-    scored = rows.withColumn(
-        "score", S.rule_score(F.col("semantic_risk"), F.col("velocity_1h"), F.col("proxy_score"))
-    )
-    metrics = M.evaluate(scored)
-    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    weights = F.struct(F.lit(0.5).alias("semantic_risk"), F.lit(0.3).alias("proxy_score"), F.lit(0.2).alias("velocity_1h"))
-    model = F.to_json(F.struct(F.lit("simple_rule_based_fraud_model").alias("description"), weights.alias("weights")))
-    ok = F.lit(True)
-    for name, limit in M.GATE_THRESHOLDS.items():
-        ok = ok & (F.col(name) >= limit)
-    return metrics.select(
-        n.alias("row_count"), r6("fraud_rate", M.ratio(F.col("tp") + F.col("fn"), n)), "tp", "fp", "fn", "tn",
-        *[r6(c) for c in METRIC_COLS], F.when(ok, "PASS").otherwise("FAIL").alias("gate"), model.alias("model"),
-    )
+    out = evaluate(V.txn(spark, sf))
+    return out.withColumns({c: F.round(c, 6) for c in ("fraud_rate", *METRIC_COLS)})
 
 
 @query("evaluate_benchmark_model", with_views("txn", f""", scored AS (SELECT is_fraud, {SHORT} AS score FROM txn), {EVAL_SQL}
 SELECT tp, fp, fn, tn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(auc_roc, 6) AS auc_roc FROM m, a"""))
 def evaluate_benchmark_model(spark, sf):
     """The same with the stored model as deployed (master coefficients on raw features)."""
-    scored = get_engine("pair_shortcut")(S.normalize_benchmark(V.txn(spark, sf)))
-    return M.evaluate(scored).select("tp", "fp", "fn", "tn", *[r6(c) for c in METRIC_COLS])
+    return evaluate(V.txn(spark, sf), FRAUD).select("tp", "fp", "fn", "tn", *[r6(c) for c in METRIC_COLS])
 
 
 def epoch_metrics(spark, sf):
@@ -256,18 +244,17 @@ h AS (SELECT l AS health_limit, avg(architecture_efficiency) >= l AS ok FROM inf
 SELECT health_limit, txn_id, round(pair_score, 6) AS score, CASE WHEN pair_score > 0.55 THEN 'BLOCK' ELSE 'ALLOW' END AS decision
 FROM ({PAIR_SQL}), h WHERE (SELECT ok FROM g) AND h.ok"""))
 def gated_inference(spark, sf):
-    gate = G.gate_result(M.evaluate(pseudo_scored(spark, sf)))
+    """One stored feature table serves the evaluation, the gate and the scoring under both limits."""
+    rows = materialize(V.txn(spark, sf), "features")
+    pseudo = rows.withColumn(
+        "score", S.pseudo_score(F.col("semantic_risk"), F.col("proxy_score"), F.col("amount_deviation"))
+    )
+    gate = G.gate_result(M.evaluate(pseudo))
     record = V.infra(spark, sf).filter("cs_auth_status IS NOT NULL").agg(
         F.avg("architecture_efficiency").alias("health_score")
     )
-    out = None
-    for limit in (G.HEALTH_LIMIT, 0.2):
-        rows = G.gated(V.txn(spark, sf), gate, G.health_gate(record, None, limit))
-        one = get_engine("pair_model")(rows).select(
-            F.lit(limit).alias("health_limit"), "txn_id", r6("score"), "decision"
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    passed = G.gated_by_limits(rows, gate, record, [G.HEALTH_LIMIT, 0.2])
+    return get_engine("pair_model")(passed).select("health_limit", "txn_id", r6("score"), "decision")
 
 
 @query("coef_bound_check", f"""SELECT 'published' AS model_id, 2::bigint AS n_nodes, round({max(abs(c) for n in [*FRAUD.nodes, FRAUD.master] for c in n.coeffs)!r}e0, 6) AS max_coef,

@@ -136,12 +136,7 @@ def cum_positives(spark, sf):
 @query("avg_rank", with_views("scored", """
 SELECT txn_id, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1)/2.0::double AS avg_rank FROM scored"""))
 def avg_rank(spark, sf):
-    from riskloom.operators.prefix import running_totals
-
-    rows = V.scored_txn(spark, sf).select("txn_id", "score")
-    ranks = running_totals(rows.withColumn("n", F.lit(1)), "score", ["n"])
-    mid = F.col("n_before") + 1 + (F.col("n") - 1) / F.lit(2.0)
-    return rows.join(ranks.select("score", mid.alias("avg_rank")), "score").select("txn_id", "avg_rank")
+    return M.average_ranks(V.scored_txn(spark, sf).select("txn_id", "score")).select("txn_id", "avg_rank")
 
 
 def sweep_sql(grid, cond=">="):

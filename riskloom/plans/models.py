@@ -307,6 +307,68 @@ def wide_result(spark, model):
     return nodes
 
 
+# --- fits of any size in SQL: elimination without square roots, one step per recursion ---------------------------
+
+
+def eliminated(name: str, source: str, keys: str) -> str:
+    """A recursive expression that clears one column per step from all systems of ``source`` (keys, m): m has a system's
+    rows with the right side as last cell. The solution is ``{name}_solved`` (keys, c)."""
+    pivot = "list_transform(m[k], lambda x: x / m[k][k])"
+    step = "list_transform(m, lambda r, i: CASE WHEN i = k THEN p ELSE list_transform(r, lambda x, j: x - r[k] * p[j]) END)"
+    return f"""{name} AS (SELECT {keys}, 1 AS k, m, {pivot.replace("k]", "1]")} AS p FROM {source}
+  UNION ALL SELECT {keys}, k, m, {pivot} FROM (SELECT {keys}, k + 1 AS k, {step} AS m FROM {name} WHERE k <= len(m))),
+{name}_solved AS (SELECT {keys}, list_transform(m, lambda r: r[len(r)]) AS c FROM {name} WHERE k > len(m))"""
+
+
+def form_fits_sql(pairs: int, forms) -> str:
+    """Fits of the sampled pairs in every form as ``fits`` (a, b, form, c, train_mse, val_mse); scaled rows as ``sv``."""
+    plain, basis = P.moment_powers(forms)
+
+    def mono(p, q):
+        return "*".join(["1.0::double", *["xa"] * p, *["xb"] * q])
+
+    sums = [f"sum({mono(p, q)}) AS s{p}{q}" for p, q in plain] + [f"sum({mono(p, q)}*y) AS y{p}{q}" for p, q in basis]
+
+    def system(form):
+        rows = [[f"s{a1 + a2}{b1 + b2}" for a2, b2 in P.FORMS[form]] + [f"y{a1}{b1}"] for a1, b1 in P.FORMS[form]]
+        cells = ", ".join(f"[{', '.join(r)}]" for r in rows)
+        return f"SELECT a, b, {form} AS form, [{cells}] AS m FROM mo WHERE split = 'train'"
+
+    def fit(form):
+        powers = list(enumerate(P.FORMS[form], 1))
+
+        def mse(t):
+            quad = "+".join(f"c[{i}]*c[{j}]*{t}.s{a + d}{b + e}" for i, (a, b) in powers for j, (d, e) in powers)
+            cross = "+".join(f"c[{i}]*{t}.y{a}{b}" for i, (a, b) in powers)
+            return f"greatest(0.0, {t}.yy - 2*({cross}) + {quad})/{t}.s00"
+
+        return f"""SELECT f.a, f.b, form, c, {mse('t')} AS train_mse, {mse('v')} AS val_mse FROM fit_solved f
+  JOIN mo t ON t.a = f.a AND t.b = f.b AND t.split = 'train' JOIN mo v ON v.a = f.a AND v.b = f.b AND v.split = 'val' WHERE form = {form}"""
+
+    rows = wide_sql(pairs, True, True)
+    return f"""{rows[:rows.index("mo0 AS")].replace("WITH u", "WITH RECURSIVE u", 1)}
+mo AS MATERIALIZED (SELECT split, a, b, {', '.join(sums)}, sum(y*y) AS yy FROM tp GROUP BY split, a, b),
+systems AS ({' UNION ALL '.join(map(system, forms))}),
+{eliminated('fit', 'systems', 'a, b, form')},
+fits AS MATERIALIZED ({' UNION ALL '.join(map(fit, forms))})"""
+
+
+def second_layer_sql(nodes: int, order: str, clip: bool) -> str:
+    """Second-layer output of each row as ``out`` (vec_id, split, y, raw), on the first ``nodes`` fits of form 2."""
+    z = "c[1] + c[2]*v[a+1] + c[3]*v[b+1] + c[4]*v[a+1]*v[b+1]"
+    z = f"greatest(0.0, least(1.0, {z}))" if clip else z
+    return f"""best AS (SELECT *, row_number() OVER (ORDER BY {order}) AS n FROM fits QUALIFY n <= {nodes}),
+zr AS MATERIALIZED (SELECT vec_id, split, y, list_concat([1.0::double], list({z} ORDER BY n), [y]) AS r FROM sv, best GROUP BY vec_id, split, y),
+cells AS (SELECT i, j, sum(r[i] * r[j]) AS v FROM zr, range(1, {nodes + 2}) x(i), range(1, {nodes + 3}) z(j) WHERE split = 'train' GROUP BY i, j),
+layer AS (SELECT 1 AS sys, list(r ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS r FROM cells GROUP BY i)),
+{eliminated('top', 'layer', 'sys')},
+out AS (SELECT vec_id, split, y, list_inner_product(c, r[1:{nodes + 1}]) AS raw FROM zr, top_solved)"""
+
+
+FORM_SEARCH = f"""{form_fits_sql(300, tuple(P.FORMS))},
+kept AS (SELECT *, row_number() OVER (ORDER BY val_mse, a, b, form) - 1 AS rank FROM fits QUALIFY rank < 50)"""
+
+
 @query("pair_sample", """SELECT * FROM (SELECT a::int AS a, b::int AS b FROM range(64) x(a), range(64) z(b) WHERE a < b
   AND 64 = (SELECT max(len(embedding)) FROM embeddings) ORDER BY md5('42:'||a||':'||b) LIMIT 300)""")
 def pair_sample(spark, sf):
@@ -319,7 +381,10 @@ def pair_model_train_generic(spark, sf):
     return wide_result(spark, W.train_generic(rows, "x", "y", "split", n))
 
 
-@query("pair_model_train_full")
+@query("pair_model_train_full", f"""{form_fits_sql(100, (2,))}, {second_layer_sql(100, 'a, b', True)},
+err AS (SELECT split, power(raw - y, 2) AS e, power(greatest(0.0, least(1.0, raw)) - y, 2) AS clipped FROM out)
+SELECT metric, round(value, 6) AS value FROM (SELECT split || '_mse' AS metric, avg(e) AS value FROM err GROUP BY split
+  UNION ALL SELECT split || '_mse_clipped', avg(clipped) FROM err GROUP BY split UNION ALL SELECT 'full_mse_clipped', avg(clipped) FROM err)""")
 def pair_model_train_full(spark, sf):
     rows, n = scaled_wide(spark, sf)
     model = W.train_full(rows, "x", "y", "split", n)
@@ -338,20 +403,23 @@ def pair_model_train_selforg(spark, sf):
     return wide_result(spark, W.train_selforg(rows, "x", "y", "split", n))
 
 
-@query("pair_model_train_formsearch")
+@query("pair_model_train_formsearch", f"""{FORM_SEARCH} SELECT rank::int AS rank, a AS feat_i, b AS feat_j, form AS form_type,
+  round(val_mse, 6) AS val_mse, round(train_mse, 6) AS train_mse FROM kept""")
 def pair_model_train_formsearch(spark, sf):
     rows, n = scaled_wide(spark, sf)
     return wide_result(spark, W.train_formsearch(rows, "x", "y", "split", n))
 
 
-@query("form_histogram")
+@query("form_histogram", f"""{FORM_SEARCH} SELECT form AS form_type, count(*) AS n,
+  round(100.0::double * count(*) / sum(count(*)) OVER (), 6) AS percent FROM kept GROUP BY form""")
 def form_histogram(spark, sf):
     rows, n = scaled_wide(spark, sf)
     model = W.train_formsearch(rows, "x", "y", "split", n)
     return W.form_histogram(W.model_rows(spark, model)).select("form_type", "n", r6("percent"))
 
 
-@query("score_wide_model")
+@query("score_wide_model", f"""{form_fits_sql(500, (2,))}, {second_layer_sql(50, 'val_mse, a, b', False)}
+SELECT vec_id, round(greatest(0.0, least(1.0, raw)), 6) AS score FROM out""")
 def score_wide_model(spark, sf):
     rows, n = scaled_wide(spark, sf)
     model = W.train_selforg(rows, "x", "y", "split", n)

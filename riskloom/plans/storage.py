@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import zipfile
 
@@ -10,14 +11,15 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import scalar as S
 from riskloom.models import documents as D
+from riskloom.operators.history import with_last_run
 from riskloom.plans import views as V
 from riskloom.plans.decisions import FRAUD
 from riskloom.plans.scalar import r6
 from riskloom.plans.views import with_views
 from riskloom.registry import query
-from riskloom.session import scratch_dir
+from riskloom.session import materialize, scratch_dir
 from riskloom.sources import files
-from riskloom.sources.store import append_rows, ensure_table, unload
+from riskloom.sources.store import append_rows, ensure_table, table_folder, unload
 from riskloom.sources.tables import table
 
 COLUMNS = [*V.FEATURES, "is_fraud"]
@@ -114,38 +116,48 @@ def sink_unload_parquet(spark, sf):
     return unload(rows, scratch_dir(spark, "unload")).withColumn("overall_score", F.round("overall_score", 6))
 
 
+@contextlib.contextmanager
 def new_table(spark):
-    """An empty issue table in the shared folder."""
+    """An empty issue table in the shared folder; the catalog forgets it at the end."""
     path = scratch_dir(spark, "issues")
     name = "issues_" + path.rsplit("-", 1)[1]
     ensure_table(spark, name, location=path)
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @query("table_ensure", with_views("issues", """SELECT 'dag_id' AS col_name, 'string' AS data_type, count(*) AS n_rows FROM issues WHERE 1=0
 UNION ALL SELECT 'overall_score', 'double', 0 UNION ALL SELECT 'line_number', 'int', 0"""))
 def table_ensure(spark, sf):
     """Creating a table that exists already changes nothing."""
-    name = new_table(spark)
-    ensure_table(spark, name)
-    stored = spark.table(name)
-    types = dict(stored.dtypes)
+    with new_table(spark) as name:
+        ensure_table(spark, name)
+        types = dict(spark.table(name).dtypes)
+        stored = unload(spark.table(name), scratch_dir(spark, "ensured"))
     rows = [F.struct(F.lit(c).alias("col_name"), F.lit(types[c]).alias("data_type")) for c in ("dag_id", "overall_score", "line_number")]
     return stored.agg(F.count("*").alias("n_rows")).select("n_rows", F.explode(F.array(*rows)).alias("c")).select("c.*", "n_rows")
 
 
-@query("table_append_batches", with_views("issues", """SELECT dag_id, check_timestamp, round(overall_score, 6) AS overall_score, issue_type, symbol,
-  symbol_code, message, line_number FROM issues"""))
+@query("table_append_batches", with_views("issues runs", """SELECT i.dag_id, check_timestamp, round(overall_score, 6) AS overall_score, issue_type, symbol,
+  symbol_code, message, line_number, coalesce(state, 'no_history') AS result_of_last_run, end_date AS time_of_last_run
+FROM (SELECT *, row_number() OVER () AS row FROM issues) i LEFT JOIN runs r
+  ON r.dag_id = i.dag_id AND r.state IN ('success', 'failed') AND r.execution_date <= i.check_timestamp
+QUALIFY row_number() OVER (PARTITION BY i.row ORDER BY r.execution_date DESC NULLS LAST, r.run_id DESC) = 1"""))
 def table_append_batches(spark, sf):
-    name = new_table(spark)
-    rows = V.issues(spark, sf).withColumns({
-        "check_timestamp": F.col("check_timestamp").cast("timestamp"), "result_of_last_run": F.lit(None).cast("string"),
-        "time_of_last_run": F.lit(None).cast("timestamp"),
+    """Issues with the last completed run before their check, appended in batches, one of them empty."""
+    rows = with_last_run(V.issues(spark, sf), V.runs(spark, sf)).withColumns({
+        c: F.col(c).cast("timestamp") for c in ("check_timestamp", "time_of_last_run")
     })
-    append_rows(rows.filter("issue_type = 'E'"), name)
-    append_rows(rows.filter("issue_type = 'no such type'"), name)
-    append_rows(rows.filter("issue_type <> 'E'"), name)
-    return spark.table(name).select(
+    rows = materialize(rows, "checked")
+    with new_table(spark) as name:
+        append_rows(rows.filter("issue_type = 'E'"), name)
+        append_rows(rows.filter("issue_type = 'no such type'"), name)
+        append_rows(rows.filter("issue_type <> 'E'"), name)
+        stored = spark.read.schema(spark.table(name).schema).parquet(table_folder(spark, name))
+    return stored.select(
         "dag_id", F.col("check_timestamp").cast("timestamp_ntz").alias("check_timestamp"), r6("overall_score"), "issue_type",
-        "symbol", "symbol_code", "message", "line_number",
+        "symbol", "symbol_code", "message", "line_number", "result_of_last_run",
+        F.col("time_of_last_run").cast("timestamp_ntz").alias("time_of_last_run"),
     )

@@ -18,6 +18,12 @@ def ensure_table(spark: SparkSession, name: str, schema: str = ISSUE_SCHEMA, loc
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{place}")
 
 
+def table_folder(spark: SparkSession, name: str) -> str:
+    """Where the files of a table lie; for an external table they stay when the catalog forgets it."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return rows.first().data_type
+
+
 def append_rows(df: DataFrame, name: str) -> None:
     """Append to a table; a frame without rows adds none."""
     df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)

@@ -213,3 +213,43 @@ def test_network_document_round_trip(spark):
     y = 1 / (1 + np.exp(-(np.maximum(z, 0) @ np.array(doc["weights"][1]) + 0.4)))
     assert np.allclose(net.forward(x), y.ravel())
     assert np.allclose(N.DenseNetwork.from_document(net.to_document()).forward(x), y.ravel())
+
+
+def test_network_scores_against_a_plain_forward_pass(spark, sf):
+    """The fitted weights of the stored vectors' network, applied to every row in NumPy."""
+    from riskloom.models import network as N
+    from riskloom.plans.models import scaled_wide
+
+    rows, n = scaled_wide(spark, sf)
+    model = N.train_mlp(rows.filter("split = 'train'"), "x", "y", N.HIDDEN_LAYERS, n, max_iter=5)
+    scored = N.score_mlp(rows, "x", model).collect()
+    weights, layers = model.weights.toArray(), [n, *N.HIDDEN_LAYERS, 2]
+    out, at = np.array([r.x for r in scored]), 0
+    for k, (size, width) in enumerate(zip(layers, layers[1:])):
+        w = weights[at : at + size * width].reshape(size, width)  # Spark keeps the columns of a width x size matrix
+        out = out @ w + weights[at + size * width : at + (size + 1) * width]
+        at += (size + 1) * width
+        if k + 2 < len(layers):
+            out = 1 / (1 + np.exp(-out))
+    assert at == len(weights)
+    e = np.exp(out - out.max(axis=1, keepdims=True))
+    assert len(scored) > 400
+    np.testing.assert_allclose([r.score for r in scored], e[:, 1] / e.sum(axis=1), atol=1e-9)
+
+
+@pytest.mark.parametrize("size", [1, 3, 8, 40])
+def test_elimination_in_sql(size):
+    import duckdb
+
+    from riskloom.plans.models import eliminated
+
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(3 * size, size))
+    gram, moment = x.T @ x, rng.normal(size=size)
+    m = np.column_stack([gram, moment]).tolist()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE s AS SELECT 1 AS sys, ?::DOUBLE[][] AS m UNION ALL SELECT 2, ?::DOUBLE[][]", [m, (2 * np.array(m)).tolist()])
+    rows = con.execute(f"WITH RECURSIVE {eliminated('e', 's', 'sys')} SELECT sys, c FROM e_solved ORDER BY sys").fetchall()
+    assert [r[0] for r in rows] == [1, 2]
+    for _, c in rows:
+        np.testing.assert_allclose(c, np.linalg.solve(gram, moment), rtol=1e-6, atol=1e-9)

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
@@ -9,8 +10,8 @@ from riskloom.operators import gates as G
 from riskloom.operators import history as H
 from riskloom.operators import metrics as M
 from riskloom.operators import scaling, selection
-from riskloom.operators.behaviour import deviation_from_mean, trailing_count
-from riskloom.operators.joins import insert_ignore, upsert_by_key
+from riskloom.operators.behaviour import deviation_from_mean, sums_between, trailing_count
+from riskloom.operators.joins import insert_ignore, last_before, upsert_by_key
 from riskloom.operators.prefix import running_totals
 
 T0 = dt.datetime(2024, 1, 1)
@@ -122,6 +123,31 @@ def test_trailing_count(spark, slices):
         assert got[i] == want
 
 
+def test_sums_between_slices(spark):
+    """Totals over a long history against plain sums, with gaps and negative slices."""
+    rng = np.random.default_rng(5)
+    slices = {k: np.sort(rng.choice(np.arange(-400, 1200), size=500, replace=False)) for k in ("a", "b")}
+    rows = [(k, int(s), int(rng.integers(1, 9))) for k, own in slices.items() for s in own] + [(None, 3, 1), (None, 4, 1)]
+    totals = spark.createDataFrame(rows, "u string, _s long, _n long")
+    for lag in (1, 2, 7, 720):
+        got = {(r._key, r._slice): r._between for r in sums_between(totals, "u", lag).collect()}
+        assert got == {(k, s): sum(n for j, t, n in rows if j == k and s - lag < t < s) for k, s, _ in rows}
+
+
+def test_no_window_holds_a_whole_key(spark):
+    df = spark.createDataFrame([(1, 1, T0)], "id int, u int, ts timestamp_ntz")
+    plan = trailing_count(df, "u", "ts", 3600)._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[.*\], \[([^\]]*)\], \[[^\]]*\]\n", plan)
+    assert windows and all("," in keys for keys in windows)
+
+
+def test_trailing_count_of_null_keys_and_times(spark):
+    rows = [(1, None, T0), (2, None, T0 + dt.timedelta(seconds=1800)), (3, 1, None), (4, 1, T0)]
+    df = spark.createDataFrame(rows, "id int, u int, ts timestamp_ntz")
+    got = {r.id: r.velocity_1h for r in trailing_count(df, "u", "ts", 3600).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 1}
+
+
 def test_deviation_without_spread(spark):
     df = spark.createDataFrame([(1, 5.0), (1, 5.0), (2, 0.0), (2, 100.0)], "u int, v double")
     assert sorted(r.amount_deviation for r in deviation_from_mean(df, "u", "v").collect()) == [0.0, 0.0, 1.0, 1.0]
@@ -255,3 +281,85 @@ def test_only_one_failure_is_the_latest(spark):
 def test_default_health_without_any_table(spark):
     row = G.health_gate(None, None).first()
     assert (row.health_score, row.status) == (0.75, "ENABLED")
+
+
+def test_average_ranks(spark):
+    scores = [0.3, None, 0.0, -0.0, 0.7, 0.3, float("nan"), 0.3, -1.0, float("nan"), None, 2.0]
+    df = spark.createDataFrame(list(enumerate(scores)), "id int, score double").repartition(5)
+    got = {r.id: r.avg_rank for r in M.average_ranks(df).collect()}
+    key = [0.0 if s is None else np.inf if s != s else s for s in scores]
+    assert got == {
+        i: sum(k < own for k in key) + (sum(k == own for k in key) + 1) / 2 for i, own in enumerate(key)
+    }
+    hot = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") / 3000).alias("score"))
+    ranks = M.average_ranks(hot)
+    assert ranks.agg(F.sum("avg_rank")).first()[0] == 3000 * 3001 / 2
+    assert ranks.filter("score = 0.5").select("avg_rank").distinct().count() == 1
+    assert M.average_ranks(df.limit(0)).count() == 0
+
+
+def test_one_scan_for_average_ranks(spark, sf):
+    from riskloom.plans.metrics import avg_rank
+
+    plan = avg_rank(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "events.parquet" not in plan and "Join Inner" not in plan.split("Join LeftOuter")[0]
+
+
+def test_long_spans_are_cut_into_ranges(spark):
+    """A span over days, one without changes inside, and many short ones; counted minute by minute."""
+    minute = dt.timedelta(minutes=1)
+    spans = [("a", T0, T0 + 4000 * minute), ("b", T0 + 10 * minute, T0 + 10 * minute)]
+    spans += [("a", T0 + k * 37 * minute, T0 + (k * 37 + 20) * minute) for k in range(60)]
+    spans += [("b", T0 - 3000 * minute, T0 - 1000 * minute), ("c", T0, T0 - minute), ("c", T0, None)]
+    df = spark.createDataFrame(spans, "dag_id string, start_date timestamp_ntz, end_date timestamp_ntz")
+    want = {}
+    for dag, first, last in spans:
+        if last is not None and last >= first:
+            m = first.replace(second=0, microsecond=0)
+            while m <= last:
+                want[m, dag] = want.get((m, dag), 0) + 1
+                m += minute
+    got = {(r.minute, r.dag_group): r.load for r in C.by_minute(df).collect()}
+    assert got == want
+    plan = C.by_minute(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode(sequence(at") == 1
+
+
+def test_last_event_before(spark):
+    rng = np.random.default_rng(2)
+    events = [(int(k), T0 + dt.timedelta(hours=int(h)), i, f"e{i}") for i, (k, h) in enumerate(zip(rng.integers(0, 3, 80), rng.integers(0, 400, 80)))]
+    events += [(None, T0, 900, "no key"), (1, None, 901, "no time")]
+    rows = [(int(k), T0 + dt.timedelta(hours=int(h)), j) for j, (k, h) in enumerate(zip(rng.integers(0, 5, 120), rng.integers(-20, 430, 120)))]
+    rows += [(None, T0, 500), (1, None, 501), rows[0]]
+    left = spark.createDataFrame(rows, "k int, at timestamp_ntz, id int")
+    right = spark.createDataFrame(events, "k int, started timestamp_ntz, n int, name string")
+    for seconds in (3600, 86_400, 10**7):
+        got = last_before(left, right, "k", "at", "started", "n", slice_seconds=seconds)
+        assert got.columns == ["k", "at", "id", "last"]
+        found = sorted((r.id, r.last.name if r["last"] else None) for r in got.collect())
+        want = []
+        for k, at, i in rows:
+            past = [(s, n, name) for j, s, n, name in events if k is not None and at is not None and j == k and s is not None and s <= at]
+            want.append((i, max(past)[2] if past else None))
+        assert found == sorted(want)
+
+
+def test_issues_with_their_last_run(spark):
+    runs = [("d", T0, 1, "success", T0 + dt.timedelta(hours=1)), ("d", T0 + dt.timedelta(days=1), 2, "running", None),
+            ("d", T0 + dt.timedelta(days=2), 3, "failed", None)]
+    issues = [("d", T0 - dt.timedelta(hours=1)), ("d", T0 + dt.timedelta(days=1)), ("d", T0 + dt.timedelta(days=3)), ("e", T0)]
+    got = H.with_last_run(
+        spark.createDataFrame(issues, "dag_id string, check_timestamp timestamp_ntz"),
+        spark.createDataFrame(runs, "dag_id string, execution_date timestamp_ntz, run_id int, state string, end_date timestamp_ntz"),
+    )
+    assert sorted((r.dag_id, r.check_timestamp, r.result_of_last_run, r.time_of_last_run) for r in got.collect()) == [
+        (*issues[0], "no_history", None), (*issues[1], "success", T0 + dt.timedelta(hours=1)), (*issues[2], "failed", None),
+        (*issues[3], "no_history", None),
+    ]
+
+
+@pytest.mark.parametrize("gate,health,want", [("PASS", 0.3, [0.2]), ("PASS", 0.5, [0.2, 0.35]), ("FAIL", 0.9, []), ("PASS", None, [0.2, 0.35])])
+def test_rows_under_several_limits(spark, gate, health, want):
+    record = spark.createDataFrame([(health,)], "health_score double") if health else None
+    got = G.gated_by_limits(spark.range(2), spark.createDataFrame([(gate,)], "gate string"), record, [0.35, 0.2])
+    assert sorted(r.health_limit for r in got.collect()) == sorted(want * 2)
