@@ -23,8 +23,9 @@ MAX_LISTS = 16384
 # Nodes whose lists are looked at for a query's first bound.
 NEAR_NODES = 4
 
-# Queries compared at once.
-QUERY_ROWS = 1024
+# Queries compared at once, the least rows worth a task of their own, and the share of open lists from which a slot's
+# rows are compared in one product.
+QUERY_ROWS, LEAST_ROWS, MOSTLY_OPEN = 1024, 128, 0.3
 
 # Distances closer than this many digits count as equal and are ordered by id.
 TIE_DIGITS = 9
@@ -285,8 +286,11 @@ def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str, block_r
     Both sides of a slot are bounded: its rows by construction, its queries by hashing them to as many blocks as their
     number asks for; only then are the slot's rows copied, once per block.
     """
-    blocks = F.broadcast(left.groupBy("slot").agg(  # one row per slot
-        F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks")
+    # Fewer visits than the tasks could hold are spread over all cores.
+    share = F.sum("n").over(Window.partitionBy(F.lit(0))) / F.lit(left.sparkSession.sparkContext.defaultParallelism)
+    held = F.greatest(F.lit(min(LEAST_ROWS, block_rows)), F.least(F.lit(block_rows), share))
+    blocks = F.broadcast(left.groupBy("slot").agg(F.count("*").alias("n")).select(  # one row per slot
+        "slot", F.ceil(F.col("n") / held).cast("int").alias("blocks")
     ))
     rows = tree.slotted().join(blocks, "slot").select(
         "slot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
@@ -304,6 +308,9 @@ def _within(tree: PivotTree, q: np.ndarray, bound: np.ndarray, c: np.ndarray, li
         part = q[s: s + QUERY_ROWS]
         reach = _chords(part, tree.centres[which]) - tree.radius[which]
         is_open = reach <= _widened(bound[s: s + QUERY_ROWS, None])
+        if is_open.mean() > MOSTLY_OPEN:  # one product is cheaper than many
+            yield s + np.arange(len(part)), 0, 1.0 - part @ c.T
+            continue
         for n, (start, end) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(lists)])):
             at = np.flatnonzero(is_open[:, n])
             if len(at):
