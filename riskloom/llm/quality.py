@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.exprs import let, text_of, words
+from riskloom.session import materialize
 
 #: Runs of letters and digits, and runs of other characters, are tokens; the n-grams are the tokens and their pairs.
 TOKEN = r"[\p{L}\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}]+"
 SYMBOLS = r"[#*$%&|<>]"
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
 BUCKETS = 1 << 14
-#: Labelled documents that the trusted multinomial is fitted on, those of the least hashes of their ids.
-TRUSTED_DOCS = 50_000
 SMOOTHING = 1.0
+#: So many ids of trusted documents go to every task (some 40 MB); more are joined by a shuffle.
+BROADCAST_IDS = 500_000
 #: Least mean log-likelihood ratio (natural logarithm, per n-gram) of a kept document.
 THRESHOLD = -0.25
 MIN_WORDS = 50
@@ -40,23 +41,21 @@ def buckets_of(text: Column, buckets: int) -> Column:
     return let(tokens(text), grams)
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCS) -> DataFrame:
-    """Ids of documents labelled as good: at most ``limit``, so the frame may be broadcast."""
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    return good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+def ratio_table(grams: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
+    """One row with ``ratios``: ln(p trusted / p corpus) of each bucket, from (doc_id, buckets). The corpus counts are
+    those of all documents, the trusted ones those of all that a label calls good."""
+    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
 
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        each = rows.select(F.explode("buckets").alias("bucket"))
+        return each.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(F.count("*").alias(name))
 
-def ratio_table(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
-    trusted_docs: int = TRUSTED_DOCS,
-) -> DataFrame:
-    """One row with ``ratios``: ln(p trusted / p corpus) of each bucket. The corpus counts are those of all documents."""
-    chosen = F.broadcast(trusted_ids(labels, trusted_docs).withColumn("trusted", F.lit(1)))
-    rows = docs.select("doc_id", text_of("text").alias("text")).join(chosen, "doc_id", "left")
-    grams = rows.select(F.coalesce("trusted", F.lit(0)).alias("trusted"),
-                        F.explode(buckets_of(F.col("text"), buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("trusted"))
-    empty = docs.sparkSession.range(buckets).select(
+    counts = counted(grams, "corpus").unionByName(
+        counted(grams.join(good, "doc_id", "left_semi"), "trusted"), allowMissingColumns=True
+    )
+    empty = grams.sparkSession.range(buckets).select(
         F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("corpus"),
         F.lit(0).cast("bigint").alias("trusted"),
     )
@@ -122,27 +121,33 @@ def base_counts(text: Column) -> Column:
 
 def assess(
     docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
-    smoothing: float = SMOOTHING, trusted_docs: int = TRUSTED_DOCS,
+    smoothing: float = SMOOTHING, with_text: bool = True,
 ) -> DataFrame:
     """The rows of ``docs`` with the base counts, ``base_failed``, ``ratio`` and ``kept``.
 
     ``ratio`` is the mean over a document's n-grams of ln(p trusted / p corpus), hashed into ``buckets``; documents
     under the threshold go, as do those that fail the base rules (under 50 words, or more than half of the words in
-    repeated windows). The corpus is all of ``docs``. The table of ratios has a fixed size and reaches the tasks as
-    a literal; texts are not shuffled.
+    repeated windows). The corpus is all of ``docs``. Each text is read once: its counts and bucket numbers are written
+    to a stage table, from which the table of ratios and then the documents' means are made. That table has a fixed size
+    and reaches the tasks as a literal; texts are not shuffled. ``with_text=False`` leaves the text out.
 
     Null and empty texts have no words, so they fail; their ratio is 0. Without labels every n-gram is judged by the
     corpus alone, evenly. Null and repeated doc_ids are rows of their own. Columns of ``docs`` keep their names and
     come first; a clashing one (such as ``kept``) is replaced. An empty table gives no rows.
     """
-    table = ratio_table(docs, labels, buckets, smoothing, trusted_docs).first()[0]
+    own = F.col("_text")
+    held = [c for c in docs.columns if with_text or c != "text"]
+    read = docs.withColumn("_text", text_of("text")).select(
+        *held, base_counts(own).alias("_base"), buckets_of(own, buckets).cast("array<smallint>").alias("_buckets")
+    )
+    found = materialize(read, "grams")
+    table = ratio_table(found.select("doc_id", F.col("_buckets").alias("buckets")), labels, buckets, smoothing).first()[0]
     ratios = F.split(F.lit(" ".join(map(repr, table))), " ").cast("array<double>")  # folded to one literal
-    found = docs.withColumn("_text", text_of("text")).withColumn("_base", base_counts(F.col("_text")))
-    mean = let(buckets_of(F.col("_text"), buckets), lambda own: F.when(F.size(own) == 0, F.lit(0.0)).otherwise(
-        F.aggregate(own, F.lit(0.0), lambda s, b: s + F.get(ratios, b)) / F.size(own)
-    ))
+    mean = F.when(F.size("_buckets") == 0, F.lit(0.0)).otherwise(
+        F.aggregate("_buckets", F.lit(0.0), lambda s, b: s + F.get(ratios, b.cast("int"))) / F.size("_buckets")
+    )
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     counted = found.withColumn("ratio", mean).withColumns({c: F.col(f"_base.{c}") for c in base})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     judged = counted.withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold)).drop("_text", "_base")
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold)).drop("_base", "_buckets")

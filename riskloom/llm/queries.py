@@ -87,8 +87,8 @@ def op9_event_sourced_chat(spark, sf):
 
 @query("op2_ngram_ratio_quality")
 def op2_ngram_ratio_quality(spark, sf):
-    judged = quality.assess(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
-    return judged.drop("text").withColumn("ratio", F.round("ratio", 6))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.assess(docs, table(spark, sf, "labels"), with_text=False).withColumn("ratio", F.round("ratio", 6))
 
 
 NEAR_SQL = r"""
