@@ -29,8 +29,13 @@ ERROR_WORDS = (
 TRACE_NOISE = ("ip-", "***", "▲▲▲", "▼▼▼", "[202")
 
 # Time, header and link patterns of the logs, the note without blocks and the mark of a cut text.
-LOG_TIME = r"\d{2}/\d{2}/\d{2}\s\d{2}:\d{2}:\d{2}"
-DIAGNOSTICS = r"ERROR\sClient: Application diagnostics message: User class threw exception:"
+BLOCK = (
+    r"^\d{2}/\d{2}/\d{2}\s\d{2}:\d{2}:\d{2}\sERROR\sClient: Application diagnostics message: User class threw exception:.*?"
+    r"(?=\n\d{2}/\d{2}/\d{2}\s\d{2}:\d{2}:\d{2}|\z)"
+)
+BLOCK_HEADER = (
+    r"^\d{2}/\d{2}/\d{2}\s\d{2}:\d{2}:\d{2}\sERROR\sClient: Application diagnostics message: User class threw exception:.*?(?=$)"
+)
 NO_BLOCKS = (
     "No specific 'ERROR Client: Application diagnostics message: User class threw exception:' blocks found."
 )
@@ -132,9 +137,8 @@ def error_blocks(log: Column, whole_block: bool = True) -> Column:
     ``whole_block`` takes all lines up to the next line that starts with a time. Without it only the header
     line is taken: that is what a lazy multi-line match that may stop at any line end yields.
     """
-    end = rf"(?=\n{LOG_TIME}|\z)" if whole_block else r"(?=$)"
-    pattern = rf"(?dms)(^{LOG_TIME}\s{DIAGNOSTICS}.*?{end})"
-    blocks = F.regexp_extract_all(log, F.lit(pattern), F.lit(1))
+    pattern = BLOCK if whole_block else BLOCK_HEADER
+    blocks = F.regexp_extract_all(log, F.lit(f"(?dms)({pattern})"), F.lit(1))
     return F.when(F.size(blocks) > 0, F.array_join(blocks, "\n")).otherwise(NO_BLOCKS)
 
 

@@ -400,6 +400,20 @@ def knn_search(
     return top if max_distance is None else top.filter(F.col("distance") <= max_distance)
 
 
+def similar_cases(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, fraud_only: bool = False, max_distance: float | None = None, **options,
+) -> DataFrame:
+    """The k nearest stored cases per query, whole: query_id, rank, id, distance and the other columns of the corpus.
+
+    ``fraud_only`` searches the cases with ``is_fraud`` only.
+    """
+    stored = corpus.filter("is_fraud") if fraud_only else corpus
+    near = knn_search(queries, stored, k, max_distance, **options)
+    return near.join(stored.drop("embedding"), "id").select(
+        "query_id", "rank", "id", "distance", *[c for c in stored.columns if c not in ("id", "embedding")]
+    )
+
+
 def nearest_pairs(
     rows: DataFrame, n: int, block_rows: int = BLOCK_ROWS, lists: int | None = None,
 ) -> DataFrame:

@@ -205,12 +205,12 @@ def stream_score_pair(spark, sf):
     return R.run_to_files(scored, "stream-score-pair")
 
 
-FLAT = """SELECT '305-'||o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ingestion_ts, '2.1' AS schema_version,
+FLAT = """SELECT 'order-'||o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ingestion_ts, '2.1' AS schema_version,
   o_orderkey, o_orderstatus, o_custkey, o_totalprice FROM orders"""
 SHOP = f"""SELECT 'S-'||o_orderkey AS event_id, 'SHOP' AS source_system, ingestion_ts, schema_version, order_id, o_orderstatus AS order_status,
-  'PROD-'||(o_custkey%500) AS sku, (o_orderkey%3+1)::int AS quantity, NULL::varchar AS decision, NULL::bigint AS amount, NULL::int AS fraud_score FROM ({FLAT})"""
+  'item-'||(o_custkey%500) AS sku, (o_orderkey%3+1)::int AS quantity, NULL::varchar AS decision, NULL::bigint AS amount, NULL::int AS fraud_score FROM ({FLAT})"""
 PAY = f"""SELECT 'P-'||o_orderkey, 'PAYMENT', ingestion_ts, schema_version, order_id, NULL, NULL, NULL,
-  CASE o_orderkey%3 WHEN 0 THEN 'ACCEPT' WHEN 1 THEN 'REJECT' ELSE 'REVIEW' END, floor(o_totalprice)::bigint, (o_custkey%101)::int FROM ({FLAT})"""
+  CASE o_orderkey%3 WHEN 0 THEN 'paid' WHEN 1 THEN 'refused' ELSE 'held' END, floor(o_totalprice)::bigint, (o_custkey%101)::int FROM ({FLAT})"""
 
 
 @query("envelope_flatten", f"{SHOP} UNION ALL {PAY}")
@@ -248,7 +248,7 @@ def stream_pair_events(spark, sf):
     return R.run_to_files(flat_pairs, "pair-events")
 
 
-@query("stream_partition_key", """SELECT '305-'||o_orderkey AS key, 2::bigint AS n_events, 1::bigint AS n_partitions FROM orders""")
+@query("stream_partition_key", """SELECT 'order-'||o_orderkey AS key, 2::bigint AS n_events, 1::bigint AS n_partitions FROM orders""")
 def stream_partition_key(spark, sf):
     """Events of one key share a partition."""
     placed = V.envelopes(spark, sf).repartition("key").withColumn("p", F.spark_partition_id())

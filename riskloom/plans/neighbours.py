@@ -116,6 +116,36 @@ def explain_verdict(spark, sf):
     )
 
 
+CASE_SQL = """round(r.distance, 6) AS distance, e.transaction_id, round(e.fraud_score, 6) AS fraud_score, e.is_fraud,
+  '{"label":"'||e.vec_id%10||'"}' AS metadata"""
+
+
+def whole_cases(spark, sf):
+    meta = F.to_json(F.struct((F.col("vec_id") % 10).cast("string").alias("label")))
+    return V.emb(spark, sf).select(
+        F.col("vec_id").alias("id"), "embedding", "transaction_id", "fraud_score", "is_fraud", meta.alias("metadata")
+    )
+
+
+@query("similar_cases", with_views("emb", f""", r AS ({ranked_sql('b.is_fraud')})
+SELECT query_id, rank::int AS rank, r.id, {CASE_SQL} FROM r JOIN emb e ON e.vec_id = r.id WHERE rank <= 4"""))
+def similar_cases(spark, sf):
+    """The nearest stored fraud cases with all that is stored of them."""
+    rows = whole_cases(spark, sf)
+    return K.similar_cases(rows.select("id", "embedding"), rows, 4, fraud_only=True).withColumns({
+        c: r6(c) for c in ("distance", "fraud_score")
+    })
+
+
+@query("explain_verdict_cases", with_views("emb", f""", r AS ({ranked_sql()})
+SELECT query_id, rank::int AS rank, r.id, {CASE_SQL} FROM r JOIN emb e ON e.vec_id = r.id WHERE rank <= 3"""))
+def explain_verdict_cases(spark, sf):
+    """The cases that an explanation shows, whole."""
+    rows = whole_cases(spark, sf)
+    shown = K.explain_verdict(rows.select("id", "embedding"), rows, 5).select("query_id", F.inline("cases"))
+    return shown.withColumns({c: r6(c) for c in ("distance", "fraud_score")})
+
+
 @query("embedding_drift", with_views("emb", f""", al AS ({ranked_sql('NOT a.is_fraud AND b.is_fraud')})
 SELECT count(*) AS n, round(avg(distance), 6) AS mean_distance, round(max(distance), 6) AS max_distance,
   round(avg((distance > 0.6)::int), 6) AS share_above FROM al WHERE rank = 1"""))

@@ -168,7 +168,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_rows(orders: DataFrame) -> DataFrame:
     """Two events per order: one system reports the order, the other one the payment."""
-    order_id = F.concat(F.lit("305-"), F.col("o_orderkey").cast("string"))
+    order_id = F.concat(F.lit("order-"), F.col("o_orderkey").cast("string"))
     at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
 
     def envelope(tag: str, system: str, payload: list[Column]) -> Column:
@@ -180,11 +180,11 @@ def envelope_rows(orders: DataFrame) -> DataFrame:
 
     shop = envelope("S", "SHOP", [
         F.col("o_orderstatus").alias("order_status"),
-        F.concat(F.lit("PROD-"), (F.col("o_custkey") % 500).cast("string")).alias("sku"),
+        F.concat(F.lit("item-"), (F.col("o_custkey") % 500).cast("string")).alias("sku"),
         (F.col("o_orderkey") % 3 + 1).cast("int").alias("quantity"),
     ])
     pay = envelope("P", "PAYMENT", [
-        _pick(F.col("o_orderkey") % 3, "ACCEPT", "REJECT", "REVIEW").alias("decision"),
+        _pick(F.col("o_orderkey") % 3, "paid", "refused", "held").alias("decision"),
         F.floor("o_totalprice").alias("amount"), (F.col("o_custkey") % 101).cast("int").alias("fraud_score"),
     ])
     return orders.select(order_id.alias("key"), F.explode(F.array(shop, pay)).alias("value"))

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: list[str] = []
+_STAGES: list[str] = []
 
 
 def build_session(app: str = "riskloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,10 +55,17 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     The passes then read the stored columns and not the whole pipeline behind them, also after an executor was lost.
     """
     path = scratch_dir(df.sparkSession, purpose)
+    _STAGES.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_stages(spark: SparkSession) -> None:
+    """Remove the stage tables that this driver has written so far: call it when the frames made from them are read up."""
+    while _STAGES:
+        remove(spark, _STAGES.pop())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of any store that Spark reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -190,3 +190,14 @@ def test_null_vectors_are_near_nothing(spark):
     assert result(K.knn_search(df, df, 5)) == {0: [0, 4], 4: [4, 0]}
     got = {r.query_id: r.verdict for r in K.explain_verdict(df, df, 5).collect()}
     assert got[1] == got[2] == got[3] == "NO_HISTORY" and got[0] == "CONFIRMED_FRAUD"
+
+
+def test_similar_cases(spark):
+    x = np.array([[1, 0], [1, 0.01], [0, 1], [0.01, 1]])
+    cases = frame(spark, x, [1, 0, 0, 1]).selectExpr("*", "id / 10 AS fraud_score", "concat('m', id) AS metadata")
+    got = K.similar_cases(frame(spark, np.array([[1, 0.0]])), cases, 2).orderBy("rank").collect()
+    assert [(r.rank, r.id, r.is_fraud, r.fraud_score, r.metadata) for r in got] == [(1, 0, True, 0.0, "m0"), (2, 1, False, 0.1, "m1")]
+    bad = K.similar_cases(frame(spark, np.array([[1, 0.0]])), cases, 2, fraud_only=True).orderBy("rank").collect()
+    assert [(r.rank, r.id) for r in bad] == [(1, 0), (2, 3)]
+    near = K.similar_cases(frame(spark, np.array([[1, 0.0]])), cases, 4, max_distance=0.5)
+    assert near.columns == ["query_id", "rank", "id", "distance", "is_fraud", "fraud_score", "metadata"] and near.count() == 2

@@ -233,6 +233,15 @@ def test_stage_tables_of_batches_are_removed(spark):
     assert not exists(spark, folder)
 
 
+def test_stage_tables_are_removed_on_demand(spark):
+    from riskloom.session import exists, materialize, remove_stages
+
+    folder = materialize(spark.range(3), "long").inputFiles()[0].rsplit("/", 1)[0]
+    assert exists(spark, folder)
+    remove_stages(spark)
+    assert not exists(spark, folder)
+
+
 def test_trailing_counts_follow_late_rows(spark):
     path, out = scratch_dir(spark, "events"), scratch_dir(spark, "out")
     cp = scratch_dir(spark, "cp")
