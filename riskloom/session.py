@@ -88,11 +88,5 @@ def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
         remove(df.sparkSession, path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop what finished jobs left: its cleaner removes shuffle files and broadcasts, on executors too, only
-    when the driver's garbage is collected, and the driver gives memory back."""
-    spark._jvm.System.gc()
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
