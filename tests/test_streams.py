@@ -1,5 +1,6 @@
 import json
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -268,3 +269,42 @@ def test_trailing_counts_follow_late_rows(spark):
     # The watermark moves on: a row of long ago changes nothing, and its block is gone.
     add((9, "b", "2024-01-03 00:00:00"))
     assert add((10, "a", "2024-01-01 02:00:00"), (11, "b", "2024-01-03 00:30:00")) == {11: 2}
+
+
+def test_trailing_counts_of_many_users_take_few_calls():
+    """Users with a few rows share the state and the call of a group; their counts stay apart."""
+    from riskloom.streaming import trailing
+
+    class Held(list):
+        def get(self):
+            return iter(list(self))
+
+        def appendValue(self, row):
+            self.append(row)
+
+    counter = trailing.TrailingCounter(10, 100)
+    counter.held, timers = Held(), []
+    counter.handle = type("Handle", (), {"registerTimer": staticmethod(timers.append)})
+
+    def call(*rows):
+        new = pd.DataFrame(rows, columns=["user", "t", "id", "own"])
+        got = pd.concat(counter.handleInputRows((0, 0), iter([new]), None))
+        return {r.id: (r.user, r.t, r.n) for r in got.itertuples()}
+
+    assert call((b"a", 5, 1, True), (b"b", 5, 2, True), (b"b", 99, 3, True), (b"c", 100, 4, False)) == {
+        1: (b"a", 5, 1), 2: (b"b", 5, 1), 3: (b"b", 99, 1)}
+    assert call((b"b", 89, 5, True), (b"a", 0, 6, True)) == {5: (b"b", 89, 1), 3: (b"b", 99, 2), 6: (b"a", 0, 1), 1: (b"a", 5, 2)}
+    assert len(counter.held) == 2 and timers == [0]
+
+
+def test_trailing_state_grows_with_days_not_users(spark):
+    """5,000 users on two days: as many states as groups and days, not as users and days."""
+    path = scratch_dir(spark, "events")
+    rows = spark.range(10_000).selectExpr("id AS event_id", "id % 5000 AS user_id", "timestamp_seconds(1704067200 + id * 16) AS ts")
+    rows.write.parquet(path)
+    counts = trailing_stream(spark.readStream.schema(rows.schema).parquet(path), "user_id", "ts", "event_id", late="9 days", groups=4)
+    query = counts.writeStream.outputMode("update").format("noop").option("checkpointLocation", scratch_dir(spark, "cp")).trigger(
+        availableNow=True).start()
+    query.awaitTermination()
+    held = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(held) <= 100
