@@ -15,7 +15,9 @@ from riskloom.session import materialize
 
 EMBEDDING_DIM = 32
 
-BLOCK_ROWS = 8192
+# Least rows of a slot, and the slots that a table may have before they grow, up to so many values: every row is copied to
+# the blocks that it meets, so slots of one size would be copied more often the larger the table is.
+BLOCK_ROWS, SLOTS, BLOCK_VALUES = 8192, 4, 2**22
 
 # Most lists of the index: their pivots go to every task.
 MAX_LISTS = 16384
@@ -27,6 +29,10 @@ NEAR_NODES = 4
 # rows are compared in one product.
 QUERY_ROWS, LEAST_ROWS, MOSTLY_OPEN = 1024, 128, 0.3
 
+# Rows that queries are compared with at once, first and later; cells of a table of queries and lists; and the share of
+# cells from which they are computed in one product and not one by one.
+FIRST_COLUMNS, COLUMNS, CELLS, DENSE = 512, 4096, 2**21, 1 / 32
+
 # Distances closer than this many digits count as equal and are ordered by id.
 TIE_DIGITS = 9
 TIE = 10.0**-TIE_DIGITS
@@ -67,9 +73,13 @@ def _best(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     """Positions of the k best columns per row, by (rounded distance, id)."""
     rounded = np.round(dist, TIE_DIGITS)
     if dist.shape[1] > 4 * k + 16:
-        # Everything up to the k-th rounded distance stays in, so ties at the edge are decided by id.
+        # What is nearer than the k-th rounded distance stays in, and of what ties with it the first ids.
         edge = np.partition(rounded, k - 1, axis=1)[:, k - 1: k]
-        rows, cols = np.nonzero(rounded <= edge)
+        by_id = np.argsort(ids, kind="stable")
+        tied = (rounded == edge)[:, by_id]
+        rows, cols = np.nonzero(tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= k))
+        less = np.nonzero(rounded < edge)
+        rows, cols = np.concatenate([less[0], rows]), np.concatenate([less[1], by_id[cols]])
     else:
         rows, cols = np.nonzero(~np.isnan(rounded))
     order = np.lexsort((ids[cols], rounded[rows, cols], rows))
@@ -114,6 +124,7 @@ class PivotTree:
     flagged_near: np.ndarray
     first_slot: np.ndarray
     slots: np.ndarray
+    block_rows: int
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"rows": None}  # tasks get the arrays only
@@ -173,14 +184,18 @@ class PivotTree:
         return np.concatenate(whose), np.concatenate(which)
 
     def open_slots(self, x: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
-        """The slots of each vector's open lists."""
-        whose, which = self.open_lists(x, bound)
-        first, count = self.first_slot[which], self.slots[which]
-        whose = np.repeat(whose, count)
-        slot = np.repeat(first, count) + np.arange(len(whose)) - np.repeat(np.cumsum(count) - count, count)
-        width = int((self.first_slot + self.slots).max())
-        whose, slot = np.divmod(np.unique(whose * width + slot), width)
-        return np.split(slot.astype(np.int32), np.searchsorted(whose, np.arange(1, len(x))))
+        """The slots of each vector's open lists; a few vectors at a time, as all lists may be open for all of them."""
+        width, out = int((self.first_slot + self.slots).max()), []
+        step = max(1, min(QUERY_ROWS, CELLS // len(self.centres)))
+        for s in range(0, len(x), step):
+            whose, which = self.open_lists(x[s: s + step], bound[s: s + step])
+            first, count = self.first_slot[which], self.slots[which]
+            whose = np.repeat(whose, count)
+            slot = np.repeat(first, count) + np.arange(len(whose)) - np.repeat(np.cumsum(count) - count, count)
+            is_open = np.zeros((len(x[s: s + step]), width), dtype=bool)
+            is_open[whose, slot] = True
+            out += [np.flatnonzero(row).astype(np.int32) for row in is_open]
+        return out
 
 
 def build_tree(
@@ -190,7 +205,8 @@ def build_tree(
     a direction. Rows without one (null, empty or zero vectors) are near nothing and left out.
 
     There are about twice as many lists as the root of the corpus, MAX_LISTS at most, and about the root of that many
-    nodes. Rows are dealt to slots of about ``block_rows``: small lists of a node share one, a crowded list has several.
+    nodes. Rows are dealt to slots of about ``block_rows``, or on larger tables of a SLOTS-th of the rows up to
+    BLOCK_VALUES: small lists of a node share one, a crowded list has several.
     """
     usable = corpus.select(
         "id", "embedding",
@@ -222,12 +238,13 @@ def build_tree(
     def smallest(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Each task's counts, radii and k + 1 smallest distances per list."""
         for pdf in pdfs:
-            for (place, flagged), part in pdf.groupby(["list", "flagged"]):
-                away = part["away"].to_numpy()
-                yield pd.DataFrame({
-                    "list": [place], "flagged": [flagged], "n": [len(away)], "away": [away.max()],
-                    "near": [np.sort(np.partition(away, k)[: k + 1] if len(away) > k + 1 else away)],
-                })
+            pdf = pdf.sort_values(["list", "flagged", "away"])
+            group, away = pdf["list"].to_numpy() * 2 + pdf["flagged"].to_numpy(dtype=bool), pdf["away"].to_numpy()
+            which, starts, n = np.unique(group, return_index=True, return_counts=True)
+            yield pd.DataFrame({
+                "list": which // 2, "flagged": which % 2 == 1, "n": n, "away": away[starts + n - 1],
+                "near": [away[start: start + min(held, k + 1)] for start, held in zip(starts, n)],
+            })
 
     stats = table.select("list", "flagged", "away").mapInPandas(
         smallest, "list int, flagged boolean, n bigint, away double, near array<double>"
@@ -242,8 +259,9 @@ def build_tree(
         radius[row["list"]] = max(radius[row["list"]], row.away)
         near[row.flagged][row["list"], : len(row.near)] = row.near
     every = np.sort(np.concatenate([near[False], near[True]], axis=1), axis=1)[:, : k + 1]
+    block_rows = max(block_rows, min(BLOCK_VALUES // centres.shape[1], -(-int(n.sum()) // SLOTS)))
     first_slot, slots = slots_of(n, node_of, block_rows)
-    return PivotTree(table, centres, node_of, nodes, radius, every, near[True], first_slot, slots)
+    return PivotTree(table, centres, node_of, nodes, radius, every, near[True], first_slot, slots, block_rows)
 
 
 def slots_of(sizes: np.ndarray, node_of: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -260,7 +278,7 @@ def slots_of(sizes: np.ndarray, node_of: np.ndarray, block_rows: int) -> tuple[n
 
 
 def visits(tree: PivotTree, queries: DataFrame, bounds: Callable) -> DataFrame:
-    """A stage table with one row per query and open slot: q_id, q_embedding, bound and slot.
+    """One row per query and open slot: q_id, q_embedding, bound and slot, from a stage table with one row per query.
 
     ``bounds`` gives the bound of each unit vector; queries without a direction visit nothing.
     """
@@ -269,26 +287,26 @@ def visits(tree: PivotTree, queries: DataFrame, bounds: Callable) -> DataFrame:
         if not len(x):
             return pd.DataFrame({"bound": [], "slots": []})
         unit = _unit_matrix(x)
-        bound = bounds(unit)
+        bound = np.concatenate([bounds(unit[s: s + QUERY_ROWS]) for s in range(0, len(unit), QUERY_ROWS)])
         return pd.DataFrame({"bound": bound, "slots": tree.open_slots(unit, bound)})
 
     usable = queries.select(F.col("id").alias("q_id"), F.col("embedding").alias("q_embedding")).filter(
         F.exists("q_embedding", lambda v: v != 0)
     )
-    return materialize(usable.withColumn("_v", opened("q_embedding")).select(
-        "*", F.col("_v.bound").alias("bound"), F.explode("_v.slots").alias("slot")
-    ).drop("_v"), "visits")
+    opening = materialize(usable.withColumn("_v", opened("q_embedding")).select("q_id", "q_embedding", "_v.*"), "visits")
+    return opening.select("q_id", "q_embedding", "bound", F.explode("slots").alias("slot"))
 
 
-def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str, block_rows: int) -> DataFrame:
+def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str) -> DataFrame:
     """``match`` on each pair of a slot's rows and a block of the queries that visit it.
 
     Both sides of a slot are bounded: its rows by construction, its queries by hashing them to as many blocks as their
     number asks for; only then are the slot's rows copied, once per block.
     """
-    # Fewer visits than the tasks could hold are spread over all cores.
-    share = F.sum("n").over(Window.partitionBy(F.lit(0))) / F.lit(left.sparkSession.sparkContext.defaultParallelism)
-    held = F.greatest(F.lit(min(LEAST_ROWS, block_rows)), F.least(F.lit(block_rows), share))
+    # Fewer visits than the tasks could hold are spread over all cores, a few blocks each.
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    share = F.sum("n").over(Window.partitionBy(F.lit(0))) / F.lit(SLOTS * cores)
+    held = F.greatest(F.lit(min(LEAST_ROWS, tree.block_rows)), F.least(F.lit(tree.block_rows), share))
     blocks = F.broadcast(left.groupBy("slot").agg(F.count("*").alias("n")).select(  # one row per slot
         "slot", F.ceil(F.col("n") / held).cast("int").alias("blocks")
     ))
@@ -300,21 +318,103 @@ def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str, block_r
     return dealt.drop("blocks").groupBy("slot", "block").cogroup(rows.groupBy("slot", "block")).applyInPandas(match, schema)
 
 
-def _within(tree: PivotTree, q: np.ndarray, bound: np.ndarray, c: np.ndarray, lists: np.ndarray) -> Iterator[tuple]:
-    """For each list of a slot, whose rows are sorted by list: the queries that it is open for, where its rows start, and
-    the cosine distances."""
+def _single(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Unit vectors in single precision, and how far a product of two of them can be from the one in double precision."""
+    return x.astype(np.float32), (x.shape[1] + 8) * 2.0**-23
+
+
+def _exact(q: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Cosine distances of some cells in double precision."""
+    out, step = np.empty(len(rows)), max(1, CELLS // q.shape[1])
+    for s in range(0, len(rows), step):
+        out[s: s + step] = 1.0 - np.einsum("ij,ij->i", q[rows[s: s + step]], c[cols[s: s + step]])
+    return out
+
+
+def _columns(n: int) -> list[tuple[int, int]]:
+    """Ranges of n rows, few at first, as long as the distance that matters is not known."""
+    edges = [0]
+    while edges[-1] < n:
+        edges.append(min(n, edges[-1] + min(COLUMNS, max(FIRST_COLUMNS, edges[-1]))))
+    return list(zip(edges, edges[1:]))
+
+
+def _tiles(tree: PivotTree, q: np.ndarray, lists: np.ndarray, cut: Callable) -> Iterator[tuple]:
+    """Which queries of a part meet which rows of a slot, whose rows are sorted by list: (queries, start, end).
+
+    ``cut`` gives the largest distance that still matters to each query. Only lists that can hold such a row are met, each
+    by its own queries, the nearest lists first; if most lists are open, one product is cheaper than many.
+    """
     which, starts = np.unique(lists, return_index=True)
-    for s in range(0, len(q), QUERY_ROWS):
-        part = q[s: s + QUERY_ROWS]
-        reach = _chords(part, tree.centres[which]) - tree.radius[which]
-        is_open = reach <= _widened(bound[s: s + QUERY_ROWS, None])
-        if is_open.mean() > MOSTLY_OPEN:  # one product is cheaper than many
-            yield s + np.arange(len(part)), 0, 1.0 - part @ c.T
-            continue
-        for n, (start, end) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(lists)])):
-            at = np.flatnonzero(is_open[:, n])
+    ends = np.append(starts[1:], len(lists))
+    reach = _chords(q, tree.centres[which]) - tree.radius[which]
+    if (reach <= _widened((2.0 * cut())**0.5)[:, None]).mean() > MOSTLY_OPEN:
+        yield from ((np.arange(len(q)), start, end) for start, end in _columns(len(lists)))
+        return
+    for n in np.argsort(reach.min(axis=0), kind="stable").tolist():
+        for start in range(starts[n], ends[n], COLUMNS):
+            at = np.flatnonzero(reach[:, n] <= _widened((2.0 * cut())**0.5))
             if len(at):
-                yield s + at, start, 1.0 - part[at] @ c[start:end].T
+                yield at, start, min(start + COLUMNS, ends[n])
+
+
+class _Nearest:
+    """The k nearest rows of each query of a part among those seen so far, and the distance that a further row must not
+    exceed to be one of them."""
+
+    def __init__(self, bound: np.ndarray, k: int):
+        self.cut, self.k = _widened(bound)**2 / 2.0, k
+        self.whose, self.which, self.far = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+
+    def add(self, whose: np.ndarray, which: np.ndarray, far: np.ndarray, tie: np.ndarray) -> None:
+        whose, which, far = (np.concatenate(x) for x in ((self.whose, whose), (self.which, which), (self.far, far)))
+        best = _first_of_each(whose, far, tie[which], self.k)
+        self.whose, self.which, self.far = whose[best], which[best], far[best]
+        held = np.bincount(self.whose, minlength=len(self.cut))
+        full = np.flatnonzero(held == self.k)
+        last = np.round(self.far[np.cumsum(held)[full] - 1], TIE_DIGITS) + TIE
+        self.cut[full] = np.minimum(self.cut[full], last)
+
+
+def _nearest(
+    tree: PivotTree, q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.ndarray, c_ids: np.ndarray, lists: np.ndarray,
+    k: int, exclude_self: bool,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, distance) of each query's k nearest rows of a slot, as far as they can be among its k nearest of all.
+
+    Products in single precision tell which cells can be within a query's cut; only these are computed in double precision.
+    """
+    tie = np.unique(c_ids, return_inverse=True)[1]
+    (q_single, error), (c_single, _) = _single(q), _single(c)
+    whose, which, far = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+    for s in range(0, len(q) if len(c) else 0, QUERY_ROWS):
+        part, own = q[s: s + QUERY_ROWS], q_ids[s: s + QUERY_ROWS]
+        found = _Nearest(bound[s: s + QUERY_ROWS], k)
+        for at, start, end in _tiles(tree, part, lists, lambda f=found: f.cut):
+            near = q_single[s + at] @ c_single[start:end].T >= (1.0 - found.cut[at] - error)[:, None].astype(np.float32)
+            cells = []
+            if np.count_nonzero(near) > DENSE * near.size:
+                many = np.flatnonzero(near.mean(axis=1) > DENSE)
+                near[many] = False
+                dist = 1.0 - part[at[many]] @ c[start:end].T
+                if exclude_self:
+                    dist[own[at[many]][:, None] == c_ids[None, start:end]] = np.inf
+                rows, cols = _best(dist, tie[start:end], k)
+                kept = np.isfinite(dist[rows, cols])
+                cells.append((at[many[rows[kept]]], start + cols[kept], dist[rows[kept], cols[kept]]))
+            rows, cols = np.divmod(np.flatnonzero(near), end - start)
+            rows, cols = at[rows], start + cols
+            if exclude_self:
+                kept = own[rows] != c_ids[cols]
+                rows, cols = rows[kept], cols[kept]
+            cells.append((rows, cols, _exact(part, c, rows, cols)))
+            rows, cols, dist = (np.concatenate(x) for x in zip(*cells))
+            if len(rows):
+                found.add(rows, cols, dist, tie)
+        whose.append(s + found.whose)
+        which.append(found.which)
+        far.append(found.far)
+    return np.concatenate(whose), np.concatenate(which), np.concatenate(far)
 
 
 def _first_of_each(group: np.ndarray, dist: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
@@ -328,7 +428,7 @@ def _first_of_each(group: np.ndarray, dist: np.ndarray, tie: np.ndarray, k: int)
 
 def search(
     tree: PivotTree, queries: DataFrame, k: int, flagged: bool = False, max_distance: float | None = None,
-    exclude_self: bool = False, block_rows: int = BLOCK_ROWS, probes: int = NEAR_NODES,
+    exclude_self: bool = False, probes: int = NEAR_NODES,
 ) -> DataFrame:
     """(query_id, id, distance, flagged): a few candidates per query, among them its k nearest rows and, if asked for,
     its k nearest flagged rows. One pass over the tree serves both.
@@ -346,26 +446,14 @@ def search(
         b = b.sort_values("list", kind="stable")
         q_ids, c_ids, marks = a["q_id"].to_numpy(), b["c_id"].to_numpy(), b["flagged"].to_numpy(dtype=bool)
         tie = np.unique(c_ids, return_inverse=True)[1]
-        whose, which, far = [], [], []
-        for at, start, dist in _within(
-            tree, _unit_matrix(a["q_embedding"]), a["bound"].to_numpy(), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
-        ):
-            own = slice(start, start + dist.shape[1])
-            if exclude_self:
-                dist[q_ids[at][:, None] == c_ids[None, own]] = np.inf
-            picks = [_best(dist, tie[own], k)]
-            if flagged and marks[own].any():
-                rows, cols = _best(dist[:, marks[own]], tie[own][marks[own]], k)
-                picks.append((rows, np.flatnonzero(marks[own])[cols]))
-            cells = np.unique(np.concatenate([rows * dist.shape[1] + cols for rows, cols in picks]))
-            rows, cols = np.divmod(cells, dist.shape[1])
-            kept = np.isfinite(dist[rows, cols])
-            whose.append(at[rows[kept]])
-            which.append(start + cols[kept])
-            far.append(dist[rows[kept], cols[kept]])
-        if not whose:
-            return pd.DataFrame({"query_id": [], "id": [], "distance": [], "flagged": []})
-        whose, which, far = np.concatenate(whose), np.concatenate(which), np.concatenate(far)
+        q, c, lists = _unit_matrix(a["q_embedding"]), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
+        found = []
+        for own in (np.flatnonzero(marks), np.flatnonzero(~marks)) if flagged else (np.arange(len(b)),):
+            x, y, far = _nearest(
+                tree, q, q_ids, a["bound"].to_numpy(), c[own], c_ids[own], lists[own], k, exclude_self
+            )
+            found.append((x, own[y], far))
+        whose, which, far = (np.concatenate(x) for x in zip(*found))
         best = _first_of_each(whose, far, tie[which], k)
         if flagged:
             bad = np.flatnonzero(marks[which])
@@ -375,7 +463,7 @@ def search(
         })
 
     schema = f"query_id {dict(queries.dtypes)['id']}, id {dict(tree.rows.dtypes)['id']}, distance double, flagged boolean"
-    return meet(tree, visits(tree, queries, bounds), match, schema, block_rows)
+    return meet(tree, visits(tree, queries, bounds), match, schema)
 
 
 def _ranked(candidates: DataFrame, *also: str) -> Column:
@@ -395,7 +483,7 @@ def knn_search(
     if tree is None:
         types = f"query_id {dict(queries.dtypes)['id']}, id {dict(corpus.dtypes)['id']}"
         return queries.sparkSession.createDataFrame([], f"{types}, distance double, rank int")
-    found = search(tree, queries, k, False, max_distance, exclude_self, block_rows, probes).drop("flagged")
+    found = search(tree, queries, k, False, max_distance, exclude_self, probes).drop("flagged")
     top = found.withColumn("rank", _ranked(found)).filter(F.col("rank") <= k)
     return top if max_distance is None else top.filter(F.col("distance") <= max_distance)
 
@@ -428,33 +516,47 @@ def nearest_pairs(
     if tree is None:
         return rows.sparkSession.createDataFrame([], schema)
 
-    def closest(q_ids: np.ndarray, c_ids: np.ndarray, parts: Iterator[tuple], top: float) -> pd.DataFrame:
-        """The n closest pairs with the smaller id first, among distance matrices of some queries and rows from a start."""
+    def closest(
+        q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, parts: Callable, top: float
+    ) -> pd.DataFrame:
+        """The n closest pairs with the smaller id first, of the tiles that ``parts`` gives for some of the queries."""
         names, rank = np.unique(np.concatenate([q_ids, c_ids]), return_inverse=True)
         q_rank, c_rank = rank[: len(q_ids)], rank[len(q_ids):]
+        (q_single, error), (c_single, _) = _single(q), _single(c)
         a, b, far = np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
-        for at, start, dist in parts:
-            x, y = q_rank[at], c_rank[start: start + dist.shape[1]]
-            ordered = x[:, None] < y[None, :]
-            if top == np.inf and (some := np.round(dist[ordered], TIE_DIGITS)).size > n:
-                top = float(np.partition(some, n - 1)[n - 1])
-            r, c = np.nonzero(ordered & (dist <= top + TIE))
-            a, b, far = np.append(a, x[r]), np.append(b, y[c]), np.append(far, dist[r, c])
-            if len(far) > n:
-                edge = np.partition(np.round(far, TIE_DIGITS), n - 1)[n - 1]
-                top = min(top, float(edge))
-                near = np.flatnonzero(np.round(far, TIE_DIGITS) <= edge)
-                best = near[np.lexsort((b[near], a[near], np.round(far[near], TIE_DIGITS)))[:n]]
-                a, b, far = a[best], b[best], far[best]
+        for s in range(0, len(q), QUERY_ROWS):
+            for at, start, end in parts(s):
+                near = q_single[at] @ c_single[start:end].T >= np.float32(1.0 - top - TIE - error)
+                if np.count_nonzero(near) > DENSE * near.size:
+                    dist = 1.0 - q[at] @ c[start:end].T
+                    near &= q_rank[at][:, None] < c_rank[None, start:end]
+                    if (some := np.round(dist[near], TIE_DIGITS)).size > n:
+                        top = min(top, float(np.partition(some, n - 1)[n - 1]))
+                    rows, cols = np.nonzero(near & (dist <= top + TIE))
+                    dist, rows, cols = dist[rows, cols], at[rows], start + cols
+                else:
+                    rows, cols = np.divmod(np.flatnonzero(near), end - start)
+                    rows, cols = at[rows], start + cols
+                    kept = q_rank[rows] < c_rank[cols]
+                    rows, cols = rows[kept], cols[kept]
+                    dist = _exact(q, c, rows, cols)
+                a, b, far = np.append(a, q_rank[rows]), np.append(b, c_rank[cols]), np.append(far, dist)
+                kept = np.flatnonzero(far <= top + TIE)
+                a, b, far = a[kept], b[kept], far[kept]
+                if len(far) > n:
+                    best = np.lexsort((b, a, np.round(far, TIE_DIGITS)))[:n]
+                    a, b, far = a[best], b[best], far[best]
+                    top = min(top, float(np.round(far[-1], TIE_DIGITS)))
         return pd.DataFrame({"id_a": names[a], "id_b": names[b], "distance": far})
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         unit, own = _unit_matrix(pdf["embedding"]), pdf["id"].to_numpy()
-        steps = (
-            (np.arange(s, min(s + QUERY_ROWS, len(own))), 0, 1.0 - unit[s: s + QUERY_ROWS] @ unit.T)
-            for s in range(0, len(own), QUERY_ROWS)
-        )
-        return closest(own, own, steps, np.inf)
+
+        def parts(s: int) -> Iterator[tuple]:
+            at = np.arange(s, min(s + QUERY_ROWS, len(own)))
+            return ((at, start, end) for start, end in _columns(len(own)))
+
+        return closest(own, unit, own, unit, parts, np.inf)
 
     order = (F.round("distance", TIE_DIGITS), "id_a", "id_b")
     some = tree.slotted().groupBy("slot").applyInPandas(inside, schema).orderBy(*order).limit(n).collect()
@@ -465,12 +567,16 @@ def nearest_pairs(
         if not len(a) or not len(b):
             return pd.DataFrame({"id_a": [], "id_b": [], "distance": []})
         b = b.sort_values("list", kind="stable")
-        parts = _within(
-            tree, _unit_matrix(a["q_embedding"]), a["bound"].to_numpy(), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
-        )
-        return closest(a["q_id"].to_numpy(), b["c_id"].to_numpy(), parts, top)
+        q, c, lists = _unit_matrix(a["q_embedding"]), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
+        cut = a["bound"].to_numpy()**2 / 2.0
+
+        def parts(s: int) -> Iterator[tuple]:
+            tiles = _tiles(tree, q[s: s + QUERY_ROWS], lists, lambda: cut[s: s + QUERY_ROWS])
+            return ((s + at, start, end) for at, start, end in tiles)
+
+        return closest(a["q_id"].to_numpy(), q, b["c_id"].to_numpy(), c, parts, top)
 
-    found = meet(tree, visits(tree, rows, lambda x: np.full(len(x), bound)), match, schema, block_rows)
+    found = meet(tree, visits(tree, rows, lambda x: np.full(len(x), bound)), match, schema)
     both = found.orderBy(*order).limit(n).select(
         "distance", F.inline(F.array(F.struct("id_a", "id_b"), F.struct(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))))
     ).select("id_a", "id_b", "distance")
@@ -493,7 +599,7 @@ def explain_verdict(
         types = f"query_id {dict(queries.dtypes)['id']}, id {dict(corpus.dtypes)['id']}"
         found = queries.sparkSession.createDataFrame([], f"{types}, distance double, flagged boolean")
     else:
-        found = search(tree, queries, k, True, None, exclude_self, block_rows, probes)
+        found = search(tree, queries, k, True, None, exclude_self, probes)
     ranked = found.withColumns({"rank": _ranked(found), "fraud_rank": F.when(F.col("flagged"), _ranked(found, "flagged"))})
     near = ranked.filter((F.col("rank") <= k) | (F.col("fraud_rank") <= k)).join(corpus.select("id", *kept), "id")
     nearest, bad = F.col("rank") <= k, F.col("fraud_rank") <= k

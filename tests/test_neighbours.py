@@ -201,3 +201,15 @@ def test_similar_cases(spark):
     assert [(r.rank, r.id) for r in bad] == [(1, 0), (2, 3)]
     near = K.similar_cases(frame(spark, np.array([[1, 0.0]])), cases, 4, max_distance=0.5)
     assert near.columns == ["query_id", "rank", "id", "distance", "is_fraud", "fraud_score", "metadata"] and near.count() == 2
+
+
+def test_small_slots_grow_with_the_table(spark):
+    """Rows without structure meet all slots: how often they are copied must not grow with the rows."""
+    x = np.random.default_rng(3).normal(size=(1500, 8)).astype(np.float32)
+    df = frame(spark, x, np.arange(1500) % 3 == 0)
+    tree = K.build_tree(df, 3, "is_fraud", lists=2, block_rows=20)
+    seen = K.visits(tree, df, lambda x: np.full(len(x), 2.0))
+    assert seen.count() <= 1500 * 3 * K.SLOTS
+    assert K.search(tree, df, 2, True, exclude_self=True).count() <= 1500 * 3 * K.SLOTS * 4
+    got = result(K.knn_search(df, df, 2, exclude_self=True, lists=2, block_rows=20))
+    assert got == brute(x, 2, True)
