@@ -213,3 +213,20 @@ def test_small_slots_grow_with_the_table(spark):
     assert K.search(tree, df, 2, True, exclude_self=True).count() <= 1500 * 3 * K.SLOTS * 4
     got = result(K.knn_search(df, df, 2, exclude_self=True, lists=2, block_rows=20))
     assert got == brute(x, 2, True)
+
+
+def test_closest_pairs_of_small_slots(spark):
+    x = np.random.default_rng(5).normal(size=(1500, 8)).astype(np.float32)
+    x[700:720] = x[7]
+    x[1400] = x[3] + np.float32(1e-4)
+    seen, whole = [], K.visits
+    K.visits = lambda *a: seen.append(whole(*a)) or seen[-1]
+    try:
+        got = [(r.id_a, r.id_b) for r in K.nearest_pairs(frame(spark, x), 30, block_rows=10, lists=2).collect()]
+    finally:
+        K.visits = whole
+    a, b = np.triu_indices(len(x), 1)
+    d = np.round(distances(x), K.TIE_DIGITS)[a, b]
+    best = np.lexsort((b, a, d))[:30]
+    assert got == sorted(p for i in best for p in ((a[i], b[i]), (b[i], a[i])))[:30] and d[best].max() == 0
+    assert seen[0].count() <= 1500 * 3 * K.SLOTS
