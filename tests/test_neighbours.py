@@ -230,3 +230,16 @@ def test_closest_pairs_of_small_slots(spark):
     best = np.lexsort((b, a, d))[:30]
     assert got == sorted(p for i in best for p in ((a[i], b[i]), (b[i], a[i])))[:30] and d[best].max() == 0
     assert seen[0].count() <= 1500 * 3 * K.SLOTS
+
+
+def test_neighbours_closer_than_single_precision_tells(spark):
+    """Distances of about 1e-8 and many copies, in tables of several tiles."""
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(1, 24)) + rng.normal(size=(1300, 24)) * 1e-4).astype(np.float32)
+    x[600:1000] = x[5]
+    df = frame(spark, x, np.arange(1300) % 7 == 0)
+    assert result(K.knn_search(df, df, 4, exclude_self=True)) == brute(x, 4, True)
+    d = np.round(distances(x), K.TIE_DIGITS)
+    for r in K.explain_verdict(df, df, 4).filter("query_id % 50 = 0").collect():
+        near = sorted(range(1300), key=lambda j: (d[r.query_id, j], j))[:4]
+        assert r.similar_cases == near[:3] and r.fraud_neighbors == 4 and r.confidence == np.mean([j % 7 == 0 for j in near])
