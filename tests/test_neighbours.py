@@ -243,3 +243,24 @@ def test_neighbours_closer_than_single_precision_tells(spark):
     for r in K.explain_verdict(df, df, 4).filter("query_id % 50 = 0").collect():
         near = sorted(range(1300), key=lambda j: (d[r.query_id, j], j))[:4]
         assert r.similar_cases == near[:3] and r.fraud_neighbors == 4 and r.confidence == np.mean([j % 7 == 0 for j in near])
+
+
+def test_slots_of_vectors_that_open_all_lists():
+    """4,000 vectors that open 2,000 lists each do not hold all pairs of vectors and lists at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(2000, 4))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    nodes, n = centres[:45], np.full(2000, 50)
+    node_of = K._chords(centres, nodes).argmin(axis=1)
+    first, count = K.slots_of(n, node_of, 1000)
+    near = np.zeros((2000, 3))
+    tree = K.PivotTree(None, centres, node_of, nodes, np.full(2000, 2.0), near, near, first, count, 1000)
+    x = np.tile(centres, (2, 1))
+    tracemalloc.start()
+    slots = tree.open_slots(x, np.full(4000, 1.0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(slots) == 4000 and all(len(s) == len(np.unique(first)) for s in slots)
+    assert peak < 250e6
