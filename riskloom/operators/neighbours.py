@@ -22,16 +22,19 @@ BLOCK_ROWS, SLOTS, BLOCK_VALUES = 8192, 4, 2**22
 # Most lists of the index: their pivots go to every task.
 MAX_LISTS = 16384
 
-# Nodes whose lists are looked at for a query's first bound.
-NEAR_NODES = 4
+# Nodes whose lists are looked at for a query's first bound, and the first lists whose nearest rows give another one.
+NEAR_NODES, FIRST_LISTS = 4, 512
 
-# Queries compared at once, the least rows worth a task of their own, and the share of open lists from which a slot's
-# rows are compared in one product.
-QUERY_ROWS, LEAST_ROWS, MOSTLY_OPEN = 1024, 128, 0.3
+# Queries compared at once, the least and (in shares of a slot's rows) the most of them worth a task of their own, and the
+# share of open lists from which a slot's rows are compared in one product.
+QUERY_ROWS, LEAST_ROWS, BLOCK_SHARE, MOSTLY_OPEN = 512, 128, 2, 0.3
 
-# Rows that queries are compared with at once, first and later; cells of a table of queries and lists; and the share of
-# cells from which they are computed in one product and not one by one.
-FIRST_COLUMNS, COLUMNS, CELLS, DENSE = 512, 4096, 2**21, 1 / 32
+# Partitions for each block of queries and slot, so that seldom many of them fall to one task.
+SPREAD = 4
+
+# Rows that queries are compared with at once, first and later (their products fit a processor's cache); cells of a table
+# of queries and lists; and the share of cells from which they are computed in one product and not one by one.
+FIRST_COLUMNS, COLUMNS, CELLS, DENSE = 512, 2048, 2**21, 1 / 32
 
 # Distances closer than this many digits count as equal and are ordered by id.
 TIE_DIGITS = 9
@@ -153,7 +156,7 @@ class PivotTree:
 
     def bounds(self, x: np.ndarray, k: int, near: np.ndarray, probes: int) -> np.ndarray:
         """For each unit vector an upper bound of the chord to its k-th nearest row, from the lists of its ``probes``
-        nearest nodes."""
+        nearest nodes, or from the row nearest to each of the first pivots: most often the pivot itself."""
         lists = np.isfinite(near[:, 0])
         open_nodes = np.array([lists[m].any() for m in self.members], dtype=bool)
         best = np.full((len(x), k), np.inf)
@@ -168,7 +171,10 @@ class PivotTree:
             reach = (_chords(x[at], self.centres[own])[:, :, None] + near[None, own]).reshape(len(at), -1)
             both = np.concatenate([best[at], reach], axis=1)
             best[at] = np.partition(both, k - 1, axis=1)[:, :k]
-        return best.max(axis=1)
+        first = near[:FIRST_LISTS, 0]
+        if len(first) < k:
+            return best.max(axis=1)
+        return np.minimum(best.max(axis=1), np.partition(_chords(x, self.centres[:FIRST_LISTS]) + first, k - 1, axis=1)[:, k - 1])
 
     def open_lists(self, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(vector, list) pairs of the lists that can hold a row within the bound of the vector."""
@@ -183,17 +189,27 @@ class PivotTree:
             which.append(own[cols])
         return np.concatenate(whose), np.concatenate(which)
 
+    @functools.cached_property
+    def by_slot(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Each node's lists in the order of their first slots, these slots, and where their lists start."""
+        ordered = [own[np.argsort(self.first_slot[own], kind="stable")] for own in self.members]
+        return [(own, *np.unique(self.first_slot[own], return_index=True)) for own in ordered]
+
     def open_slots(self, x: np.ndarray, bound: np.ndarray) -> list[np.ndarray]:
         """The slots of each vector's open lists; a few vectors at a time, as all lists may be open for all of them."""
         width, out = int((self.first_slot + self.slots).max()), []
+        crowded = [(int(self.first_slot[i]), int(self.slots[i])) for i in np.flatnonzero(self.slots > 1).tolist()]
         step = max(1, min(QUERY_ROWS, CELLS // len(self.centres)))
         for s in range(0, len(x), step):
-            whose, which = self.open_lists(x[s: s + step], bound[s: s + step])
-            first, count = self.first_slot[which], self.slots[which]
-            whose = np.repeat(whose, count)
-            slot = np.repeat(first, count) + np.arange(len(whose)) - np.repeat(np.cumsum(count) - count, count)
-            is_open = np.zeros((len(x[s: s + step]), width), dtype=bool)
-            is_open[whose, slot] = True
+            part, slack = x[s: s + step], _widened(bound[s: s + step])
+            is_open, far = np.zeros((len(part), width), dtype=bool), _chords(part, self.nodes)
+            for j in np.flatnonzero((far - self.node_radius <= slack[:, None]).any(axis=0)).tolist():
+                at = np.flatnonzero(far[:, j] - self.node_radius[j] <= slack)
+                own, slots, starts = self.by_slot[j]
+                lists = _chords(part[at], self.centres[own]) - self.radius[own] <= slack[at, None]
+                is_open[at[:, None], slots] |= np.logical_or.reduceat(lists, starts, axis=1)
+            for first, count in crowded:  # such a list has its slots for itself
+                is_open[:, first: first + count] |= is_open[:, first: first + 1]
             out += [np.flatnonzero(row).astype(np.int32) for row in is_open]
         return out
 
@@ -301,12 +317,14 @@ def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str) -> Data
     """``match`` on each pair of a slot's rows and a block of the queries that visit it.
 
     Both sides of a slot are bounded: its rows by construction, its queries by hashing them to as many blocks as their
-    number asks for; only then are the slot's rows copied, once per block.
+    number asks for; only then are the slot's rows copied, once per block. The pairs get more partitions than there are
+    pairs, as one may take a task for seconds however few bytes it has.
     """
     # Fewer visits than the tasks could hold are spread over all cores, a few blocks each.
     cores = left.sparkSession.sparkContext.defaultParallelism
     share = F.sum("n").over(Window.partitionBy(F.lit(0))) / F.lit(SLOTS * cores)
-    held = F.greatest(F.lit(min(LEAST_ROWS, tree.block_rows)), F.least(F.lit(tree.block_rows), share))
+    most = F.lit(max(1, tree.block_rows // BLOCK_SHARE))
+    held = F.greatest(F.lit(min(LEAST_ROWS, tree.block_rows)), F.least(most, share))
     blocks = F.broadcast(left.groupBy("slot").agg(F.count("*").alias("n")).select(  # one row per slot
         "slot", F.ceil(F.col("n") / held).cast("int").alias("blocks")
     ))
@@ -315,7 +333,9 @@ def meet(tree: PivotTree, left: DataFrame, match: Callable, schema: str) -> Data
         F.col("id").alias("c_id"), F.col("embedding").alias("c_embedding"), "flagged", "list",
     )
     dealt = left.join(blocks, "slot").withColumn("block", F.pmod(F.xxhash64("q_id"), F.col("blocks")).cast("int"))
-    return dealt.drop("blocks").groupBy("slot", "block").cogroup(rows.groupBy("slot", "block")).applyInPandas(match, schema)
+    width = SPREAD * (blocks.agg(F.sum("blocks")).first()[0] or 1)
+    sides = [side.repartition(width, "slot", "block").groupBy("slot", "block") for side in (dealt.drop("blocks"), rows)]
+    return sides[0].cogroup(sides[1]).applyInPandas(match, schema)
 
 
 def _single(x: np.ndarray) -> tuple[np.ndarray, float]:
@@ -358,40 +378,59 @@ def _tiles(tree: PivotTree, q: np.ndarray, lists: np.ndarray, cut: Callable) ->
                 yield at, start, min(start + COLUMNS, ends[n])
 
 
+def _true_cells(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of a table's few true cells, in order; eight cells at a time are seen to hold none."""
+    flat = table.reshape(-1)
+    whole = len(flat) // 8 * 8
+    cells = (np.flatnonzero(flat[:whole].view(np.uint64) != 0)[:, None] * 8 + np.arange(8)).reshape(-1)
+    cells = np.concatenate([cells, np.arange(whole, len(flat))])
+    return np.divmod(cells[flat[cells]], table.shape[1])
+
+
 class _Nearest:
     """The k nearest rows of each query of a part among those seen so far, and the distance that a further row must not
     exceed to be one of them."""
 
-    def __init__(self, bound: np.ndarray, k: int):
-        self.cut, self.k = _widened(bound)**2 / 2.0, k
-        self.whose, self.which, self.far = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    def __init__(self, cut: np.ndarray, k: int):
+        self.cut, self.k = cut.copy(), k
+        self.which, self.far = np.zeros((len(cut), k), dtype=np.int64), np.full((len(cut), k), np.inf)
 
     def add(self, whose: np.ndarray, which: np.ndarray, far: np.ndarray, tie: np.ndarray) -> None:
-        whose, which, far = (np.concatenate(x) for x in ((self.whose, whose), (self.which, which), (self.far, far)))
-        best = _first_of_each(whose, far, tie[which], self.k)
-        self.whose, self.which, self.far = whose[best], which[best], far[best]
-        held = np.bincount(self.whose, minlength=len(self.cut))
-        full = np.flatnonzero(held == self.k)
-        last = np.round(self.far[np.cumsum(held)[full] - 1], TIE_DIGITS) + TIE
-        self.cut[full] = np.minimum(self.cut[full], last)
+        near = far <= self.cut[whose]
+        whose, which, far = whose[near], which[near], far[near]
+        own = np.unique(whose)  # only their rows can change
+        whose = np.concatenate([np.repeat(own, self.k), whose])
+        which = np.concatenate([self.which[own].reshape(-1), which])
+        far = np.concatenate([self.far[own].reshape(-1), far])
+        best = _first_of_each(whose, far, tie[which], self.k).reshape(-1, self.k)
+        self.which[own], self.far[own] = which[best], far[best]
+        self.cut[own] = np.minimum(self.cut[own], np.round(far[best[:, -1]], TIE_DIGITS) + TIE)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        seen = np.isfinite(self.far)
+        return np.nonzero(seen)[0], self.which[seen], self.far[seen]
 
 
 def _nearest(
-    tree: PivotTree, q: np.ndarray, q_ids: np.ndarray, bound: np.ndarray, c: np.ndarray, c_ids: np.ndarray, lists: np.ndarray,
+    tree: PivotTree, q: np.ndarray, q_ids: np.ndarray, cut: np.ndarray, c: np.ndarray, c_ids: np.ndarray, lists: np.ndarray,
     k: int, exclude_self: bool,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, distance) of each query's k nearest rows of a slot, as far as they can be among its k nearest of all.
 
     Products in single precision tell which cells can be within a query's cut; only these are computed in double precision.
+    ``cut`` has the largest distance that matters to each query, and is lowered to that of its k-th row here.
     """
     tie = np.unique(c_ids, return_inverse=True)[1]
     (q_single, error), (c_single, _) = _single(q), _single(c)
     whose, which, far = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+    products = np.empty(QUERY_ROWS * COLUMNS, dtype=np.float32)
     for s in range(0, len(q) if len(c) else 0, QUERY_ROWS):
         part, own = q[s: s + QUERY_ROWS], q_ids[s: s + QUERY_ROWS]
-        found = _Nearest(bound[s: s + QUERY_ROWS], k)
+        found = _Nearest(cut[s: s + QUERY_ROWS], k)
         for at, start, end in _tiles(tree, part, lists, lambda f=found: f.cut):
-            near = q_single[s + at] @ c_single[start:end].T >= (1.0 - found.cut[at] - error)[:, None].astype(np.float32)
+            product = products[: len(at) * (end - start)].reshape(len(at), end - start)
+            np.matmul(q_single[s + at], c_single[start:end].T, out=product)
+            near = product >= (1.0 - found.cut[at] - error)[:, None].astype(np.float32)
             cells = []
             if np.count_nonzero(near) > DENSE * near.size:
                 many = np.flatnonzero(near.mean(axis=1) > DENSE)
@@ -402,7 +441,7 @@ def _nearest(
                 rows, cols = _best(dist, tie[start:end], k)
                 kept = np.isfinite(dist[rows, cols])
                 cells.append((at[many[rows[kept]]], start + cols[kept], dist[rows[kept], cols[kept]]))
-            rows, cols = np.divmod(np.flatnonzero(near), end - start)
+            rows, cols = _true_cells(near)
             rows, cols = at[rows], start + cols
             if exclude_self:
                 kept = own[rows] != c_ids[cols]
@@ -411,9 +450,11 @@ def _nearest(
             rows, cols, dist = (np.concatenate(x) for x in zip(*cells))
             if len(rows):
                 found.add(rows, cols, dist, tie)
-        whose.append(s + found.whose)
-        which.append(found.which)
-        far.append(found.far)
+        cut[s: s + QUERY_ROWS] = found.cut
+        rows, cols, dist = found.found()
+        whose.append(s + rows)
+        which.append(cols)
+        far.append(dist)
     return np.concatenate(whose), np.concatenate(which), np.concatenate(far)
 
 
@@ -447,12 +488,11 @@ def search(
         q_ids, c_ids, marks = a["q_id"].to_numpy(), b["c_id"].to_numpy(), b["flagged"].to_numpy(dtype=bool)
         tie = np.unique(c_ids, return_inverse=True)[1]
         q, c, lists = _unit_matrix(a["q_embedding"]), _unit_matrix(b["c_embedding"]), b["list"].to_numpy()
-        found = []
-        for own in (np.flatnonzero(marks), np.flatnonzero(~marks)) if flagged else (np.arange(len(b)),):
-            x, y, far = _nearest(
-                tree, q, q_ids, a["bound"].to_numpy(), c[own], c_ids[own], lists[own], k, exclude_self
-            )
-            found.append((x, own[y], far))
+        found, cut = [], _widened(a["bound"].to_numpy())**2 / 2.0
+        # The flagged rows first: a row without flag that is farther than k of them is not asked for.
+        for own in (np.flatnonzero(marks), np.flatnonzero(~marks)) if flagged else (slice(None),):
+            x, y, far = _nearest(tree, q, q_ids, cut, c[own], c_ids[own], lists[own], k, exclude_self)
+            found.append((x, own[y] if flagged else y, far))
         whose, which, far = (np.concatenate(x) for x in zip(*found))
         best = _first_of_each(whose, far, tie[which], k)
         if flagged:
@@ -600,7 +640,9 @@ def explain_verdict(
         found = queries.sparkSession.createDataFrame([], f"{types}, distance double, flagged boolean")
     else:
         found = search(tree, queries, k, True, None, exclude_self, probes)
-    ranked = found.withColumns({"rank": _ranked(found), "fraud_rank": F.when(F.col("flagged"), _ranked(found, "flagged"))})
+    # The k nearest of all are among the k nearest of each kind, so only these are ranked again.
+    few = found.withColumn("own_rank", _ranked(found, "flagged")).filter(F.col("own_rank") <= k)
+    ranked = few.withColumns({"rank": _ranked(few), "fraud_rank": F.when(F.col("flagged"), F.col("own_rank"))})
     near = ranked.filter((F.col("rank") <= k) | (F.col("fraud_rank") <= k)).join(corpus.select("id", *kept), "id")
     nearest, bad = F.col("rank") <= k, F.col("fraud_rank") <= k
     case = F.struct("rank", "id", "distance", *kept)

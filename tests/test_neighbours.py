@@ -264,3 +264,14 @@ def test_slots_of_vectors_that_open_all_lists():
     tracemalloc.stop()
     assert len(slots) == 4000 and all(len(s) == len(np.unique(first)) for s in slots)
     assert peak < 250e6
+
+
+def test_a_task_holds_queries_of_half_a_slot(spark):
+    """Many queries on few rows: a task holds no more of them than half of what a slot may have in rows."""
+    x = np.random.default_rng(9).normal(size=(6000, 4)).astype(np.float32)
+    df = frame(spark, x)
+    tree = K.build_tree(df.filter("id < 1200"), 2, lists=4, block_rows=20)
+    seen = K.visits(tree, df, lambda x: np.full(len(x), 2.0))
+    held = K.meet(tree, seen, lambda a, b: a[["slot"]].head(1).assign(n=len(a), m=len(b)), "slot int, n long, m long").collect()
+    assert sum(r.n for r in held) == seen.count() and all(r.m <= tree.block_rows for r in held)
+    assert np.mean([r.n for r in held]) <= tree.block_rows / 2
