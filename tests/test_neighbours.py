@@ -275,3 +275,32 @@ def test_a_task_holds_queries_of_half_a_slot(spark):
     held = K.meet(tree, seen, lambda a, b: a[["slot"]].head(1).assign(n=len(a), m=len(b)), "slot int, n long, m long").collect()
     assert sum(r.n for r in held) == seen.count() and all(r.m <= tree.block_rows for r in held)
     assert np.mean([r.n for r in held]) <= tree.block_rows / 2
+
+
+def test_bounds_from_the_first_pivots(spark):
+    """On rows without structure the pivots themselves, rows of the table, bound the k-th distance best."""
+    x = np.random.default_rng(10).normal(size=(900, 16)).astype(np.float32)
+    flagged = np.arange(900) % 3 == 0
+    tree = K.build_tree(frame(spark, x, flagged), 4, "is_fraud")
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    bound = tree.bounds(unit, 4, tree.near, 1)
+    assert (bound <= np.sort(K._chords(unit, tree.centres), axis=1)[:, 3] + 1e-6).all()
+    for rows, near in ((unit, tree.near), (unit[flagged], tree.flagged_near)):
+        assert (tree.bounds(unit, 4, near, 1) >= np.sort(K._chords(unit, rows), axis=1)[:, 3] - 1e-6).all()
+
+
+def test_rows_beyond_the_cut_are_not_computed(monkeypatch):
+    """A second kind of rows is met with the cut that the first has left, so that few of its cells are computed."""
+    unit = np.random.default_rng(12).normal(size=(4000, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    tree = K.PivotTree(None, unit[:1], np.zeros(1, dtype=int), unit[:1], np.full(1, 2.0), None, None, None, None, 4000)
+    cells, exact, best = [], K._exact, K._best
+    monkeypatch.setattr(K, "_exact", lambda q, c, rows, cols: cells.append(len(rows)) or exact(q, c, rows, cols))
+    monkeypatch.setattr(K, "_best", lambda dist, ids, k: cells.append(dist.size) or best(dist, ids, k))
+    cut, ids, lists = np.full(50, 2.0), np.arange(4000), np.zeros(2000, dtype=int)
+    K._nearest(tree, unit[:50], ids[:50], cut, unit[:2000], ids[:2000], lists, 3, False)
+    d = np.sort(1 - unit[:50] @ unit[:2000].T, axis=1)[:, 2]
+    assert np.abs(cut - d).max() < 1e-8
+    cells.clear()
+    whose, which, far = K._nearest(tree, unit[:50], ids[:50], cut, unit[2000:], ids[2000:], lists, 3, False)
+    assert (far <= d[whose] + 1e-8).all() and sum(cells) < 50 * 12
