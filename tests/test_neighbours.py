@@ -289,6 +289,15 @@ def test_bounds_from_the_first_pivots(spark):
         assert (tree.bounds(unit, 4, near, 1) >= np.sort(K._chords(unit, rows), axis=1)[:, 3] - 1e-6).all()
 
 
+def test_true_cells():
+    rng = np.random.default_rng(11)
+    for shape, share in (((1, 3), 0.5), ((7, 9), 0.1), ((64, 512), 0.001), ((5, 0), 0.5), ((33, 31), 0.0), ((4, 16), 1.0)):
+        table = rng.random(shape) < share
+        rows, cols = np.nonzero(table)
+        got = K._true_cells(table) if table.size else (rows, cols)
+        assert got[0].tolist() == rows.tolist() and got[1].tolist() == cols.tolist()
+
+
 def test_rows_beyond_the_cut_are_not_computed(monkeypatch):
     """A second kind of rows is met with the cut that the first has left, so that few of its cells are computed."""
     unit = np.random.default_rng(12).normal(size=(4000, 16))
